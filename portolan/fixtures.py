@@ -12,8 +12,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from portolan.functions.dates import date_to_day_number
+from portolan.sources.io import spread_single_file
 
 # Fixed values of the role views.
 RACE_VALUES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
@@ -23,13 +25,23 @@ INVALID_NATIONS = [k for k in range(25) if k % 7 == 3]
 INVALID_RENAMES = [("I94CTRY", f"{INVALID_PREFIX}NATION_{k}", f"NATION_{k}") for k in INVALID_NATIONS]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+# Schemas of the test tables, read once per path: later reads skip the footer job.
+_SCHEMAS: dict[str, StructType] = {}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
+    """A test table. ``spread_by`` spreads a single-file table over the cores, hashed on
+    that column (see ``spread_single_file``; a no-op for tables stored as many files)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    df = spark.read.schema(_SCHEMAS[path]).parquet(path)
+    return spread_single_file(df, spread_by) if spread_by else df
 
 
 def visits_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = lambda name: table(spark, sf_dir, name)
-    li, o, c, s, p = t("lineitem"), t("orders"), t("customer"), t("supplier"), t("part")
+    li, o, c, s, p = table(spark, sf_dir, "lineitem", spread_by="l_orderkey"), t("orders"), t("customer"), t("supplier"), t("part")
     rows = (li.join(o, li.l_orderkey == o.o_orderkey)
             .join(c, o.o_custkey == c.c_custkey)
             .join(s, li.l_suppkey == s.s_suppkey)

@@ -36,10 +36,11 @@ def lenient_cast(column: Column, source: T.DataType, target: T.DataType | str) -
 
 def convert_types(df: DataFrame, types: Mapping[str, T.DataType | str]) -> DataFrame:
     """Cast the named columns that exist; names absent from ``df`` are ignored."""
-    present = {name: dtype for name, dtype in types.items() if name in df.columns}
+    current = {field.name: field.dataType for field in df.schema.fields}
+    present = {name: dtype for name, dtype in types.items() if name in current}
     if not present:
         return df
-    return df.withColumns({name: lenient_cast(F.col(f"`{name}`"), df.schema[name].dataType, dtype)
+    return df.withColumns({name: lenient_cast(F.col(f"`{name}`"), current[name], dtype)
                            for name, dtype in present.items()})
 
 

@@ -1,10 +1,10 @@
 """Joins of a large fact to small dimensions and code lookups.
 
-A dimension is broadcast only after its size was checked: ``bounded_broadcast``
-counts at most ``max_rows + 1`` rows of it. Beyond the bound it is returned as is and
-Spark plans a shuffle join (with AQE's skew handling). Lookups and dimensions are
-keyed by bounded code domains, so in practice they are broadcast and the fact is
-never shuffled for them.
+Left joins keep every fact row; the lookup side is projected to its key and labels
+first. Which side is broadcast is the planner's decision, from measured sizes
+(``spark.sql.autoBroadcastJoinThreshold``, AQE at runtime). ``bounded_broadcast`` is
+for a side whose plan statistics are unreliable (a lazily aggregated frame): it
+counts at most ``max_rows + 1`` rows and hints a broadcast only within the bound.
 """
 
 from __future__ import annotations
@@ -34,21 +34,18 @@ def unique_on(df: DataFrame, key: str) -> DataFrame:
 
 
 def lookup_join(df: DataFrame, lookup: DataFrame, left_key: str | Column, right_key: str,
-                columns: Sequence[str] | None = None, prefix: str = "",
-                max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                columns: Sequence[str] | None = None, prefix: str = "") -> DataFrame:
     """Left join ``df`` to a code table on ``left_key == right_key`` and add its ``columns``
     (all but the key by default), optionally prefixed. The lookup key is dropped."""
     columns = [c for c in (columns or lookup.columns) if c != right_key]
     side = lookup.select(F.col(right_key).alias("_lk"),
                          *[F.col(f"`{c}`").alias(prefix + c) for c in columns])
-    side = bounded_broadcast(side, max_rows)
     left = F.col(left_key) if isinstance(left_key, str) else left_key
     return df.join(side, left == side["_lk"], "left").drop("_lk")
 
 
 def decode(df: DataFrame, code: str, lookup: DataFrame, lookup_key: str, label: str,
-           output: str | None = None, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+           output: str | None = None) -> DataFrame:
     """Add the label of ``code`` from a lookup (``null`` for unknown codes)."""
     side = lookup.select(F.col(lookup_key).alias(f"_{code}_key"), F.col(label).alias(output or label))
-    side = bounded_broadcast(side, max_rows)
     return df.join(side, df[code] == side[f"_{code}_key"], "left").drop(f"_{code}_key")

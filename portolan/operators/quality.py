@@ -13,7 +13,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portolan.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 
 
 class DataQualityError(ValueError):
@@ -77,19 +76,19 @@ def duplicate_key_report(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFra
     return _union(frames)
 
 
-def orphan_report(fact: DataFrame, relations: Sequence[tuple[str, str, DataFrame, str]],
-                  max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def orphan_report(fact: DataFrame, relations: Sequence[tuple[str, str, DataFrame, str]]) -> DataFrame:
     """(relationship, orphans): non-null foreign keys of ``fact`` without a dimension row.
 
     ``relations`` = [(name, fact column, dimension, dimension key)]. The fact is read
-    once: every dimension key set is joined (broadcast when its size allows) and one
-    aggregation counts the misses of all relationships.
+    once: every dimension's key set is left-joined (broadcast by the planner when the
+    dimension is a small table) and one aggregation counts the misses of all
+    relationships, instead of one anti-join scan per relationship.
     """
     used = sorted({col for _, col, _, _ in relations})
     joined = fact.select(*[F.col(f"`{c}`") for c in used])
     misses = []
     for i, (name, col, dim, key) in enumerate(relations):
-        keys = bounded_broadcast(dim.select(F.col(f"`{key}`").alias(f"_k{i}")).distinct(), max_rows)
+        keys = dim.select(F.col(f"`{key}`").alias(f"_k{i}")).distinct()
         joined = joined.join(keys, joined[col] == keys[f"_k{i}"], "left")
         misses.append(F.count_if(F.col(f"`{col}`").isNotNull() & F.col(f"_k{i}").isNull()).alias(name))
     wide = joined.agg(*misses)

@@ -3,7 +3,10 @@
 Two plan shapes, both without shuffling the fact:
 
 * per-row enrichment (star join, code decoding, state normalisation): the fact is
-  streamed through broadcast hash joins against dimensions whose size was checked;
+  streamed through broadcast hash joins. Pass dimensions as tables (the warehouse, or
+  ``portolan.session.stage``): their file size is known, so the planner broadcasts them
+  under ``spark.sql.autoBroadcastJoinThreshold`` and falls back to a sort-merge join
+  above it; a lazily computed dimension is left to AQE's runtime statistics;
 * counts by a dimension attribute: the fact is first aggregated by the foreign key
   (partial aggregation, at most one row per code per task), and only that small
   result is joined to the dimension and re-aggregated by the attribute.
@@ -21,30 +24,16 @@ from pyspark.sql import functions as F
 
 from portolan import schemas
 from portolan.functions.dates import date_parts, iso_date
-from portolan.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, decode
+from portolan.operators.joins import decode
 
 
-def _fits(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def _maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
-    return F.broadcast(df) if small else df
-
-
-def star_join(fact: DataFrame, country: DataFrame, states: DataFrame,
-              max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def star_join(fact: DataFrame, country: DataFrame, states: DataFrame) -> DataFrame:
     """Fact rows with country of birth and residence, state name and calendar parts of the
     arrival and departure days."""
-    country_small, states_small = _fits(country, max_rows), _fits(states, max_rows)
-    born = _maybe_broadcast(country.select(F.col("Code").alias("_born"),
-                                           F.col("Country").alias("born_country")), country_small)
-    home = _maybe_broadcast(country.select(F.col("Code").alias("_home"),
-                                           F.col("Country").alias("residence_country"),
-                                           F.col("Temperature").alias("residence_temperature")),
-                            country_small)
-    state = _maybe_broadcast(states.select(F.col("Code").alias("_state"),
-                                           F.col("State").alias("state")), states_small)
+    born = country.select(F.col("Code").alias("_born"), F.col("Country").alias("born_country"))
+    home = country.select(F.col("Code").alias("_home"), F.col("Country").alias("residence_country"),
+                          F.col("Temperature").alias("residence_temperature"))
+    state = states.select(F.col("Code").alias("_state"), F.col("State").alias("state"))
     joined = (fact.join(born, fact["i94cit"] == born["_born"], "left")
               .join(home, fact["i94res"] == home["_home"], "left")
               .join(state, fact["i94addr"] == state["_state"], "left"))
@@ -59,19 +48,18 @@ def star_join(fact: DataFrame, country: DataFrame, states: DataFrame,
 
 
 def decode_codes(fact: DataFrame, lookups: Sequence[tuple[str, DataFrame, str, str, str]],
-                 keep: Sequence[str] = ("cicid",), max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 keep: Sequence[str] = ("cicid",)) -> DataFrame:
     """Add the label of each coded column: ``[(code column, lookup, lookup key, label, output)]``."""
     out = fact.select(*keep, *[code for code, *_ in lookups])
     for code, lookup, key, label, output in lookups:
-        out = decode(out, code, lookup, key, label, output, max_rows)
+        out = decode(out, code, lookup, key, label, output)
     return out
 
 
 def normalize_state_codes(fact: DataFrame, states: DataFrame, column: str = "i94addr",
-                          other: str = schemas.OTHER_STATE_CODE,
-                          max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                          other: str = schemas.OTHER_STATE_CODE) -> DataFrame:
     """Codes outside the state list (and missing codes) become the catch-all code."""
-    codes = bounded_broadcast(states.select(F.col("Code").alias("_valid")).distinct(), max_rows)
+    codes = states.select(F.col("Code").alias("_valid")).distinct()
     joined = fact.join(codes, fact[column] == codes["_valid"], "left")
     return joined.withColumn(column, F.coalesce(F.col("_valid"), F.lit(other))).drop("_valid")
 

@@ -48,6 +48,10 @@ def load_table(df: DataFrame, table: str, overwrite: bool = True) -> None:
     if missing:
         raise ValueError(f"{table}: columns missing from the data: {missing}")
     aligned = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in target.fields])
+    partitions = df.sparkSession.catalog.listColumns(table) if "." in table else []
+    parts = [c.name for c in partitions if c.isPartition]
+    if parts:
+        aligned = aligned.hint("rebalance", *parts)
     aligned.write.insertInto(table, overwrite=overwrite)
 
 

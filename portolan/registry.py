@@ -23,7 +23,7 @@ from portolan.operators.aggregate import first_values, pivot_sum
 from portolan.operators.quality import (duplicate_key_report, null_key_report, orphan_report,
                                         row_count_report)
 from portolan.plans import analytics, countries, demographics, immigration, landing, warehouse
-from portolan.session import materialize, scratch_path
+from portolan.session import scratch_path, stage
 from portolan.sources.io import load_data, overwrite_partitions, read_partitioned, save_data
 from portolan.sources.labels import extract_pairs
 from portolan.sources.lookups import mode_lookup, visa_lookup
@@ -75,8 +75,8 @@ def country(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _dims(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Country and states dimensions, checkpointed: built once, then counted and broadcast."""
-    return materialize(country(spark, d)), materialize(states(spark, d))
+    """Country and states dimensions as staged tables (as the warehouse holds them)."""
+    return stage(country(spark, d), "country"), stage(states(spark, d), "states")
 
 
 # --- sources and sinks ---------------------------------------------------------------
@@ -144,7 +144,7 @@ def monthly_refresh(spark, d):
 
 
 def extract_key_values(spark, d):
-    return extract_pairs(fx.table(spark, d, "pages"), "html", keep=["page_id"])
+    return extract_pairs(fx.table(spark, d, "pages", spread_by="page_id"), "html", keep=["page_id"])
 
 
 # --- projections and scalar functions ---------------------------------------------------
@@ -255,7 +255,7 @@ def dq_duplicate_keys(spark, d):
 
 def dq_orphans(spark, d):
     country_dim, states_dim = _dims(spark, d)
-    day_dim = materialize(dates(spark, d))
+    day_dim = stage(dates(spark, d), "date")
     return orphan_report(facts(spark, d), [
         ("born_country", "i94cit", country_dim, "Code"),
         ("residence_country", "i94res", country_dim, "Code"),
@@ -289,7 +289,7 @@ def decode_codes(spark, d):
 
 
 def normalize_state_codes(spark, d):
-    normalized = analytics.normalize_state_codes(facts(spark, d), materialize(states(spark, d)))
+    normalized = analytics.normalize_state_codes(facts(spark, d), stage(states(spark, d), "states"))
     return analytics.visitors_by(normalized, "i94addr")
 
 

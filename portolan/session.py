@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 # mode is chosen per write (static for full loads, dynamic for monthly refreshes).
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -61,7 +62,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/portolan/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    Cuts lineage (a lost executor re-reads files instead of recomputing the plan) and
+    gives Catalyst a measured size, so a small dimension is broadcast by the planner's
+    own threshold and a large one falls back to a sort-merge join.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
