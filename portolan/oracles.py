@@ -170,6 +170,7 @@ def _oracles() -> dict[str, str]:
     o["land_airport"] = "SELECT s_suppkey, s_name, s_acctbal, s_nationkey FROM supplier"
     o["stage_table_load"] = with_views("SELECT * FROM date_dim", "date_dim")
     o["monthly_refresh"] = with_views(f"SELECT {FACT_COLUMNS} FROM fact", "fact")
+    o["monthly_stream_ingest"] = with_views(f"SELECT {FACT_COLUMNS} FROM fact", "fact")
     pattern = r'([A-Za-z-]+)="([^"]*)"'
     o["extract_key_values"] = f"""
 SELECT page_id, CAST(pos AS INTEGER) AS pos, regexp_extract(m, '{pattern}', 1) AS key,

@@ -27,6 +27,7 @@ from portolan.session import scratch_path, stage
 from portolan.sources.io import load_data, overwrite_partitions, read_partitioned, save_data
 from portolan.sources.labels import extract_pairs
 from portolan.sources.lookups import mode_lookup, visa_lookup
+from portolan.streaming.monthly import ingest_deliveries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -143,6 +144,18 @@ def monthly_refresh(spark, d):
     return read_partitioned(spark, path, schemas.IMMIGRATION_TABLE)
 
 
+def monthly_stream_ingest(spark, d):
+    """Deliveries land as files; a file stream turns each into fact rows exactly once.
+    The stream runs twice: the second run finds nothing new and adds nothing."""
+    raw = fx.visits_raw(spark, d)
+    landing, fact_path = scratch_path(spark, "landing"), scratch_path(spark, "stream-fact")
+    checkpoint = scratch_path(spark, "stream-checkpoint")
+    raw.repartition(4, "i94yr").write.parquet(landing)  # a few delivery files
+    for _ in range(2):
+        ingest_deliveries(spark, landing, fact_path, raw.schema, checkpoint)
+    return read_partitioned(spark, fact_path, schemas.IMMIGRATION_TABLE)
+
+
 def extract_key_values(spark, d):
     return extract_pairs(fx.table(spark, d, "pages", spread_by="page_id"), "html", keep=["page_id"])
 
@@ -336,6 +349,7 @@ QUERIES: dict[str, Query] = {
     "land_airport": land_airport,
     "stage_table_load": stage_table_load,
     "monthly_refresh": monthly_refresh,
+    "monthly_stream_ingest": monthly_stream_ingest,
     "extract_key_values": extract_key_values,
     "convert_types": convert_types_q,
     "drop_columns": drop_columns_q,
