@@ -8,7 +8,7 @@ so rerunning a load leaves the warehouse unchanged instead of doubling it.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,20 +55,26 @@ def load_table(df: DataFrame, table: str, overwrite: bool = True) -> None:
     aligned.write.insertInto(table, overwrite=overwrite)
 
 
-def warehouse_load(spark: SparkSession, database: str, location: str, tables: Mapping[str, DataFrame],
+def warehouse_load(spark: SparkSession, database: str, location: str,
+                   tables: Mapping[str, DataFrame | Callable[[], DataFrame]],
                    checks: Sequence[Mapping[str, object]] = tuple(schemas.NULL_KEY_CHECKS),
                    keys: Mapping[str, str] = schemas.WAREHOUSE_KEYS,
                    order: Sequence[str] = tuple(schemas.WAREHOUSE_TABLES),
                    table_schemas: Mapping[str, object] = schemas.WAREHOUSE_SCHEMAS) -> DataFrame:
     """Create tables, load the fact then the dimensions, run the checks.
 
+    A table may be given as a callable; it is called after the tables before it were
+    loaded, so a dimension derived from the fact (the date dimension) can read the
+    loaded fact's columns instead of recomputing the fact.
+
     Raises :class:`DataQualityError` listing every failed check; otherwise returns the
     per-table report (table, key, n_rows, null_keys) read from the loaded tables.
     """
     create_tables(spark, database, location, table_schemas)
     for name in order:
         if name in tables:
-            load_table(tables[name], f"`{database}`.`{name}`")
+            source = tables[name]
+            load_table(source() if callable(source) else source, f"`{database}`.`{name}`")
     previous = spark.catalog.currentDatabase()
     spark.catalog.setCurrentDatabase(database)
     try:

@@ -281,6 +281,8 @@ def dq_orphans(spark, d):
 def warehouse_load(spark, d):
     database = f"portolan_{uuid.uuid4().hex[:10]}"
     tables = {name: df for name, (df, _) in _warehouse_frames(spark, d).items()}
+    # The date dimension reads the two date columns of the loaded fact.
+    tables["date"] = lambda: immigration.date_dimension(spark.table(f"`{database}`.`immigration`"))
     table_schemas = dict(schemas.WAREHOUSE_SCHEMAS)
     table_schemas["states"] = STATES_FIXTURE_TABLE
     return warehouse.warehouse_load(spark, database, scratch_path(spark, "warehouse"), tables,

@@ -31,11 +31,23 @@ def port_lookup(spark: SparkSession, path: str) -> DataFrame:
     return read_lookup(spark, path, schemas.LOOKUP_PORT, "Port")
 
 
+def _values(spark: SparkSession, rows, schema: StructType) -> DataFrame:
+    """A small constant table as an inline ``VALUES`` relation: Catalyst knows its exact
+    size, so joins against it are broadcast (a frame built from a Python list is an RDD
+    of unknown size, which would make the planner shuffle the other side)."""
+    def lit(value: object) -> str:
+        return "'" + str(value).replace("'", "''") + "'" if isinstance(value, str) else str(value)
+    body = ", ".join("(" + ", ".join(lit(v) for v in row) + ")" for row in rows)
+    names = ", ".join(f.name for f in schema.fields)
+    df = spark.sql(f"SELECT * FROM VALUES {body} AS t({names})")
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+
+
 def mode_lookup(spark: SparkSession) -> DataFrame:
     """(ID, Mode): the four travel-mode codes."""
-    return spark.createDataFrame(schemas.MODE_LABELS, schemas.LOOKUP_MODE)
+    return _values(spark, schemas.MODE_LABELS, schemas.LOOKUP_MODE)
 
 
 def visa_lookup(spark: SparkSession) -> DataFrame:
     """(ID, Type): the three visa categories."""
-    return spark.createDataFrame(schemas.VISA_LABELS, schemas.LOOKUP_VISA)
+    return _values(spark, schemas.VISA_LABELS, schemas.LOOKUP_VISA)
