@@ -18,10 +18,19 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
+def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most ``max_rows + 1``)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
+    """Hint a broadcast of ``df`` when its size was shown to be bounded."""
+    return F.broadcast(df) if small else df
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df`` unchanged."""
-    rows = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if rows <= max_rows else df
+    return broadcast_if(df, fits(df, max_rows))
 
 
 def unique_on(df: DataFrame, key: str) -> DataFrame:

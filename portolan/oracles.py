@@ -104,8 +104,8 @@ VIEWS: dict[str, tuple[list[str], str]] = {
   WHERE City IS NOT NULL AND State IS NOT NULL AND State_Code IS NOT NULL
   GROUP BY City, State, State_Code"""),
     "rollup": (["cities"], """
-  SELECT State_Code, State, """ + ", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in STATE_COLUMNS) + """
-  FROM cities GROUP BY State_Code, State"""),
+  SELECT State_Code, min(State) AS State, """ + ", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in STATE_COLUMNS) + """
+  FROM cities GROUP BY State_Code"""),
     "states": (["lookup_state", "rollup"], f"""
   SELECT l.Code, coalesce(r.State, {TITLE('l.State')}) AS State, """
         + ", ".join(f"r.{c}" for c in STATE_COLUMNS) + """
@@ -188,13 +188,15 @@ FROM (SELECT page_id, unnest(ms) AS m, unnest(range(len(ms))) AS pos
         "Total_Population AS TotalPopulation, Median_Age AS MedianAge FROM demographics_raw",
         "demographics_raw")
     o["value_refactoring"] = with_views(
-        "SELECT Code, CASE WHEN s = 'NATION_3' THEN 'NATION_THREE' ELSE s END AS I94CTRY "
-        "FROM (SELECT Code, regexp_replace(I94CTRY, '^INVALID: ', '') AS s FROM lookup_country) t",
-        "lookup_country")
+        "SELECT cicid, CASE visatype WHEN 'AUTOMOBILE' THEN 'CAR' WHEN 'AUTO' THEN 'CAR' "
+        "WHEN 'HOUSEHOLD' THEN 'HOME' ELSE visatype END AS visatype, "
+        "CASE WHEN airline = 'PROMO' THEN 'PROMOTION' ELSE airline END AS airline, "
+        "CASE WHEN gender = 'N' THEN 'X' ELSE gender END AS gender FROM visits_raw", "visits_raw")
     o["title_case"] = with_views(
         f"SELECT 'state' AS source, Code, State AS label, {TITLE('State')} AS title FROM lookup_state "
-        f"UNION ALL SELECT 'country', CAST(Code AS VARCHAR), I94CTRY, {TITLE('I94CTRY')} FROM lookup_country",
-        "lookup_state", "lookup_country")
+        f"UNION ALL SELECT 'country', CAST(Code AS VARCHAR), I94CTRY, {TITLE('I94CTRY')} FROM lookup_country "
+        f"UNION ALL SELECT 'city', CAST(seq AS VARCHAR), upper(City), {TITLE('upper(City)')} FROM demographics_raw",
+        "lookup_state", "lookup_country", "demographics_raw")
     o["sas_dates"] = with_views(
         f"SELECT cicid, {_iso('arrdate')} AS arrdate, {_iso('depdate')} AS depdate FROM visits_raw", "visits_raw")
     o["stay_length"] = with_views(

@@ -24,16 +24,23 @@ from pyspark.sql import functions as F
 
 from portolan import schemas
 from portolan.functions.dates import date_parts, iso_date
-from portolan.operators.joins import decode
+from portolan.operators.joins import broadcast_if, decode
 
 
-def star_join(fact: DataFrame, country: DataFrame, states: DataFrame) -> DataFrame:
+def star_join(fact: DataFrame, country: DataFrame, states: DataFrame, broadcast_dims: bool = False) -> DataFrame:
     """Fact rows with country of birth and residence, state name and calendar parts of the
-    arrival and departure days."""
-    born = country.select(F.col("Code").alias("_born"), F.col("Country").alias("born_country"))
-    home = country.select(F.col("Code").alias("_home"), F.col("Country").alias("residence_country"),
-                          F.col("Temperature").alias("residence_temperature"))
-    state = states.select(F.col("Code").alias("_state"), F.col("State").alias("state"))
+    arrival and departure days.
+
+    ``broadcast_dims`` hints broadcasts for dimensions the caller has shown to be small
+    (e.g. built from lookups of checked size: each dimension has one row per lookup
+    row); otherwise the planner decides from the dimensions' statistics.
+    """
+    born = broadcast_if(country.select(F.col("Code").alias("_born"), F.col("Country").alias("born_country")),
+                        broadcast_dims)
+    home = broadcast_if(country.select(F.col("Code").alias("_home"), F.col("Country").alias("residence_country"),
+                                       F.col("Temperature").alias("residence_temperature")), broadcast_dims)
+    state = broadcast_if(states.select(F.col("Code").alias("_state"), F.col("State").alias("state")),
+                         broadcast_dims)
     joined = (fact.join(born, fact["i94cit"] == born["_born"], "left")
               .join(home, fact["i94res"] == home["_home"], "left")
               .join(state, fact["i94addr"] == state["_state"], "left"))

@@ -47,7 +47,8 @@ def country_dimension(temps: DataFrame, lookup: DataFrame,
     """(Code, Country, Temperature, Latitude, Longitude) for every lookup code.
 
     Country is the temperature source's name where the lower-cased names match, else
-    the title-cased lookup label; climate columns are null without a match.
+    the title-cased lookup label; climate columns are null without a match. One row
+    per lookup row: the climate side has one row per (lower-cased) name.
     """
     named = refactor_values(temps, temperature_renames).withColumn("_key", F.lower("Country"))
     climate = mean_and_first(named, "_key", "AverageTemperature", ["Country", "Latitude", "Longitude"],

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from portolan import schemas
 from portolan.functions.columns import convert_types, fill_zero
 from portolan.functions.text import title_case
-from portolan.operators.aggregate import first_value_columns, pivot_sum_columns, sum_by
+from portolan.operators.aggregate import first_value_columns, pivot_sum_columns
 from portolan.sources.io import load_data, save_data
 
 
@@ -52,15 +52,23 @@ def city_demographics(df: DataFrame, keys: Sequence[str] = tuple(schemas.DEMOGRA
 
 def state_rollup(cities: DataFrame, keys: Sequence[str] = ("State Code", "State"),
                  columns: Sequence[str] = tuple(schemas.STATE_SUM_COLUMNS)) -> DataFrame:
-    """Sum of each numeric city column per state."""
-    return sum_by(cities, keys, columns)
+    """Sum of each numeric city column per state code, with the state's name.
+
+    Grouped by the code alone (the name is the smallest one seen for the code), so the
+    states dimension has exactly one row per lookup code even if a code were spelt
+    with two names.
+    """
+    code, *names = keys
+    return (cities.groupBy(_c(code))
+            .agg(*[F.min(_c(n)).alias(n) for n in names], *[F.sum(_c(c)).alias(c) for c in columns]))
 
 
 def states_dimension(lookup: DataFrame, rollup: DataFrame, code: str = "Code", label: str = "State",
                      rollup_code: str = "State Code", rollup_name: str = "State",
                      columns: Sequence[str] | None = None) -> DataFrame:
     """Every lookup code with its state's sums (null where no city is known) and a name:
-    the demographics name, else the title-cased lookup label."""
+    the demographics name, else the title-cased lookup label. One row per lookup row
+    (the roll-up has one row per code)."""
     columns = list(columns) if columns is not None else [
         c for c in rollup.columns if c not in (rollup_code, rollup_name)]
     left = lookup.select(_c(code).alias("Code"), _c(label).alias("_label"))

@@ -20,6 +20,7 @@ from portolan.functions.columns import convert_types, drop_columns, refactor_val
 from portolan.functions.dates import convert_day_numbers, date_difference
 from portolan.functions.text import title_case
 from portolan.operators.aggregate import first_values, pivot_sum
+from portolan.operators.joins import fits
 from portolan.operators.quality import (duplicate_key_report, null_key_report, orphan_report,
                                         row_count_report)
 from portolan.plans import analytics, countries, demographics, immigration, landing, warehouse
@@ -110,10 +111,9 @@ def partitioned_fact_write(spark, d):
 def land_temperature(spark, d):
     temps = fx.temperature_raw(spark, d)
     path = scratch_path(spark, "temperature")
-    landing.land(temps, path, ["Country", "City"])
-    fields = [f for f in temps.schema.fields if f.name not in ("Country", "City")]
-    schema = StructType([*fields, StructField("Country", StringType()), StructField("City", StringType())])
-    return read_partitioned(spark, path, schema)
+    landing.land(temps, path, ["Country"])
+    fields = [f for f in temps.schema.fields if f.name != "Country"]
+    return read_partitioned(spark, path, StructType([*fields, StructField("Country", StringType())]))
 
 
 def land_airport(spark, d):
@@ -177,17 +177,26 @@ def rename_columns_q(spark, d):
                            "Median_Age": "MedianAge", "Not_There": "Ignored"})
 
 
+# Sequential value repairs over the whole arrivals source: AUTOMOBILE -> AUTO -> CAR
+# shows that a later rule sees the result of an earlier one.
+VALUE_RULES = [("visatype", "AUTOMOBILE", "AUTO"), ("visatype", "AUTO", "CAR"),
+               ("visatype", "HOUSEHOLD", "HOME"), ("airline", "PROMO", "PROMOTION"),
+               ("gender", "N", "X"), ("not_a_column", "a", "b")]
+
+
 def value_refactoring(spark, d):
-    rules = [*fx.INVALID_RENAMES, ("I94CTRY", "NATION_3", "NATION_THREE"), ("Missing", "a", "b")]
-    return refactor_values(fx.lookup_country(spark, d), rules)
+    raw = fx.visits_raw(spark, d).select("cicid", "visatype", "airline", "gender")
+    return refactor_values(raw, VALUE_RULES)
 
 
 def title_case_q(spark, d):
     st = fx.lookup_state(spark, d).select(F.lit("state").alias("source"), "Code", F.col("State").alias("label"))
     co = fx.lookup_country(spark, d).select(F.lit("country").alias("source"), F.col("Code").cast("string"),
                                             F.col("I94CTRY").alias("label"))
-    both = st.unionByName(co)
-    return both.withColumn("title", title_case(F.col("label")))
+    city = fx.demographics_raw(spark, d).select(F.lit("city").alias("source"), F.col("seq").cast("string"),
+                                                 F.upper("City").alias("label"))
+    labels = st.unionByName(co).unionByName(city.withColumnRenamed("seq", "Code"))
+    return labels.withColumn("title", title_case(F.col("label")))
 
 
 def sas_dates(spark, d):
@@ -250,8 +259,10 @@ def country_dimension(spark, d):
 # --- warehouse and quality ---------------------------------------------------------------
 
 def _warehouse_frames(spark, d):
-    return {"immigration": (facts(spark, d), "cicid"), "country": (country(spark, d), "Code"),
-            "states": (states(spark, d), "Code"), "date": (dates(spark, d), "date")}
+    """The four tables; the fact is staged once and the date dimension reads it back."""
+    fact = stage(facts(spark, d), "immigration")
+    return {"immigration": (fact, "cicid"), "country": (country(spark, d), "Code"),
+            "states": (states(spark, d), "Code"), "date": (immigration.date_dimension(fact), "date")}
 
 
 def dq_null_keys(spark, d):
@@ -268,8 +279,9 @@ def dq_duplicate_keys(spark, d):
 
 def dq_orphans(spark, d):
     country_dim, states_dim = _dims(spark, d)
-    day_dim = stage(dates(spark, d), "date")
-    return orphan_report(facts(spark, d), [
+    fact = stage(facts(spark, d), "immigration")
+    day_dim = immigration.date_dimension(fact)
+    return orphan_report(fact, [
         ("born_country", "i94cit", country_dim, "Code"),
         ("residence_country", "i94res", country_dim, "Code"),
         ("state", "i94addr", states_dim, "Code"),
@@ -280,9 +292,9 @@ def dq_orphans(spark, d):
 
 def warehouse_load(spark, d):
     database = f"portolan_{uuid.uuid4().hex[:10]}"
-    tables = {name: df for name, (df, _) in _warehouse_frames(spark, d).items()}
-    # The date dimension reads the two date columns of the loaded fact.
-    tables["date"] = lambda: immigration.date_dimension(spark.table(f"`{database}`.`immigration`"))
+    tables = {"immigration": facts(spark, d), "country": country(spark, d), "states": states(spark, d),
+              # The date dimension reads the two date columns of the loaded fact.
+              "date": lambda: immigration.date_dimension(spark.table(f"`{database}`.`immigration`"))}
     table_schemas = dict(schemas.WAREHOUSE_SCHEMAS)
     table_schemas["states"] = STATES_FIXTURE_TABLE
     return warehouse.warehouse_load(spark, database, scratch_path(spark, "warehouse"), tables,
@@ -292,8 +304,10 @@ def warehouse_load(spark, d):
 # --- analytics -------------------------------------------------------------------------------
 
 def star_join(spark, d):
-    country_dim, states_dim = _dims(spark, d)
-    return _r4(analytics.star_join(facts(spark, d), country_dim, states_dim), "residence_temperature")
+    # Each dimension has one row per lookup row, so bounding the two lookups bounds them.
+    small = fits(fx.lookup_country(spark, d)) and fits(fx.lookup_state(spark, d))
+    out = analytics.star_join(facts(spark, d), country(spark, d), states(spark, d), broadcast_dims=small)
+    return _r4(out, "residence_temperature")
 
 
 def decode_codes(spark, d):
