@@ -13,13 +13,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portolan import schemas
 from portolan.functions.columns import convert_types, drop_columns
 from portolan.functions.dates import convert_day_numbers, date_parts, iso_date
-from portolan.sources.io import save_data
+from portolan.sources.io import load_data, save_data
+
+
+def read_immigration(spark: SparkSession, path: str, format: str = "parquet",
+                     columns: Sequence[str] = tuple(schemas.IMMIGRATION_READ_COLUMNS),
+                     debug_size: int | None = None, order_by: str | None = None, **options: object) -> DataFrame:
+    """The arrivals source in any installed format, projected to the columns the fact
+    reads (``debug_size`` keeps only that many rows, the first ones by ``order_by``)."""
+    return load_data(spark, path, format, list(columns), debug_size, order_by=order_by, **options)
 
 
 def immigration_facts(raw: DataFrame, columns: Sequence[str] = schemas.IMMIGRATION_READ_COLUMNS) -> DataFrame:

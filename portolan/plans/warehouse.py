@@ -55,6 +55,11 @@ def load_table(df: DataFrame, table: str, overwrite: bool = True) -> None:
     aligned.write.insertInto(table, overwrite=overwrite)
 
 
+def copy_into(spark: SparkSession, path: str, table: str, format: str = "parquet", overwrite: bool = True) -> None:
+    """Load the files at ``path`` (e.g. a staged parquet folder) into ``table``."""
+    load_table(spark.read.format(format).load(path), table, overwrite=overwrite)
+
+
 def warehouse_load(spark: SparkSession, database: str, location: str,
                    tables: Mapping[str, DataFrame | Callable[[], DataFrame]],
                    checks: Sequence[Mapping[str, object]] = tuple(schemas.NULL_KEY_CHECKS),

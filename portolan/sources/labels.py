@@ -78,3 +78,12 @@ def label_entries(numbered: DataFrame, chunk_lines: int = CHUNK_LINES) -> DataFr
                       F.regexp_extract("text", ENTRY_PATTERN, 2))
     return entries.select("section", _unquote(code).alias("code"),
                           _unquote(F.regexp_extract("text", ENTRY_PATTERN, 3)).alias("label"))
+
+
+def lookup_from_entries(entries: DataFrame, section: str, code_name: str = "Code",
+                        label_name: str = "label", code_type: str = "string") -> DataFrame:
+    """(code, label) of one section of :func:`label_entries`, the code cast to
+    ``code_type`` (non-numeric codes become null for numeric types, and are dropped)."""
+    out = entries.where(F.col("section") == F.lit(section)).select(
+        F.trim("code").try_cast(code_type).alias(code_name), F.col("label").alias(label_name))
+    return out.where(F.col(code_name).isNotNull())

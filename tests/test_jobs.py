@@ -6,7 +6,7 @@ from portolan import schemas
 from portolan.plans import countries, demographics, immigration, warehouse
 from portolan.session import scratch_path
 from portolan.sources.io import overwrite_partitions, read_partitioned, save_data
-from portolan.sources.labels import extract_pairs, label_entries, number_lines
+from portolan.sources.labels import extract_pairs, label_entries, lookup_from_entries, number_lines
 
 RAW = ("i94addr string, i94mon double, cicid double, i94visa double, i94res double, arrdate double, "
        "i94yr double, depdate double, airline string, fltno string, i94mode double, i94port string, "
@@ -126,6 +126,8 @@ def test_label_entries_sections_and_quotes(spark, tmp_path):
                           ("$i94prtl", "ALC", "ALCAN, AK    "), ("$i94prtl", "INT", "INT'L FALLS, MN"),
                           ("$i94prtl", "CP ", "CALEXICO"), ("i94model", "1", "Air"),
                           ("i94model", "9", "Not reported")])
+    countries = lookup_from_entries(label_entries(numbered), "i94cntyl", code_type="int")
+    assert sorted(tuple(r) for r in countries.collect()) == [(236, "AFGHANISTAN"), (582, "MEXICO Air Sea")]
 
 
 def test_extract_pairs_whole_text(spark):
@@ -133,3 +135,17 @@ def test_extract_pairs_whole_text(spark):
     df = spark.createDataFrame([(1, html), (2, "no pairs")], "id int, html string")
     got = [tuple(r) for r in extract_pairs(df, "html", keep=["id"]).collect()]
     assert got == [(1, 0, "href", "/x"), (1, 1, "class", "k"), (1, 2, "src", "y.png"), (1, 3, "alt", "")]
+
+
+def test_read_immigration_and_copy_into(spark):
+    raw = _raw(spark, [_row(1.0, 20545.0, None), _row(2.0, 20576.0, 20580.0, mon=5.0)])
+    src = scratch_path(spark, "raw")
+    raw.write.parquet(src)
+    read = immigration.read_immigration(spark, src, debug_size=1, order_by="cicid")
+    assert read.columns == schemas.IMMIGRATION_READ_COLUMNS and [r.cicid for r in read.collect()] == [1.0]
+    staged = scratch_path(spark, "staged")
+    immigration.process_immigration(immigration.read_immigration(spark, src), output_path=staged)
+    database = "wh_test_copy"
+    warehouse.create_tables(spark, database, scratch_path(spark, "wh"))
+    warehouse.copy_into(spark, staged, f"{database}.immigration")
+    assert sorted(r.stay if r.stay is not None else -1 for r in spark.table(f"{database}.immigration").collect()) == [-1, 4]
