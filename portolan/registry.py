@@ -150,9 +150,9 @@ def monthly_stream_ingest(spark, d):
     raw = fx.visits_raw(spark, d)
     landing, fact_path = scratch_path(spark, "landing"), scratch_path(spark, "stream-fact")
     checkpoint = scratch_path(spark, "stream-checkpoint")
-    raw.repartition(4, "i94yr").write.parquet(landing)  # a few delivery files
+    raw.write.parquet(landing)  # one delivery file per task
     for _ in range(2):
-        ingest_deliveries(spark, landing, fact_path, raw.schema, checkpoint)
+        ingest_deliveries(spark, landing, fact_path, raw.schema, checkpoint, files_per_batch=4)
     return read_partitioned(spark, fact_path, schemas.IMMIGRATION_TABLE)
 
 
