@@ -35,15 +35,17 @@ def star_join(fact: DataFrame, country: DataFrame, states: DataFrame, broadcast_
     (e.g. built from lookups of checked size: each dimension has one row per lookup
     row); otherwise the planner decides from the dimensions' statistics.
     """
-    born = broadcast_if(country.select(F.col("Code").alias("_born"), F.col("Country").alias("born_country")),
-                        broadcast_dims)
-    home = broadcast_if(country.select(F.col("Code").alias("_home"), F.col("Country").alias("residence_country"),
-                                       F.col("Temperature").alias("residence_temperature")), broadcast_dims)
-    state = broadcast_if(states.select(F.col("Code").alias("_state"), F.col("State").alias("state")),
-                         broadcast_dims)
-    joined = (fact.join(born, fact["i94cit"] == born["_born"], "left")
-              .join(home, fact["i94res"] == home["_home"], "left")
-              .join(state, fact["i94addr"] == state["_state"], "left"))
+    # One projection of the country dimension serves both roles (birth, residence): the
+    # two joins get identical build sides, so Spark builds and broadcasts it once.
+    places = broadcast_if(country.select("Code", "Country", "Temperature"), broadcast_dims)
+    names = broadcast_if(states.select("Code", "State"), broadcast_dims)
+    joined = (fact.alias("f")
+              .join(places.alias("born"), F.col("f.i94cit") == F.col("born.Code"), "left")
+              .join(places.alias("home"), F.col("f.i94res") == F.col("home.Code"), "left")
+              .join(names.alias("st"), F.col("f.i94addr") == F.col("st.Code"), "left")
+              .select("f.*", F.col("born.Country").alias("born_country"),
+                      F.col("home.Country").alias("residence_country"),
+                      F.col("home.Temperature").alias("residence_temperature"), F.col("st.State").alias("state")))
     arrival, departure = date_parts(iso_date(F.col("arrdate"))), date_parts(iso_date(F.col("depdate")))
     return joined.select(
         "cicid", "i94cit", "born_country", "i94res", "residence_country", "residence_temperature",
