@@ -54,7 +54,7 @@ _STAGED: dict[tuple[str, str], str] = {}
 def visits_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The arrivals source. It is derived from five test tables by joins, so it is
     staged once per session (parquet under ``spark.checkpoint.dir``) and every query
-    then reads it as the reference reads its arrivals file."""
+    then reads it as a delivered arrivals file is read."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _STAGED:
         path = scratch_path(spark, "visits_raw")

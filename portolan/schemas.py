@@ -13,7 +13,7 @@ def _schema(*fields: tuple[str, object]) -> StructType:
 S, I, L, D = StringType(), IntegerType(), LongType(), DoubleType()
 
 # ---------------------------------------------------------------------------
-# Fixed values. These must equal the reference data model for equal results.
+# Fixed values of the data model: keep them exactly as written, results depend on them.
 # ---------------------------------------------------------------------------
 
 # Day numbers in the arrivals source count days since this date.

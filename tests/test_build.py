@@ -1,4 +1,4 @@
-"""End to end with the reference's own source layouts: CSVs with header (``;`` for
+"""End to end with the sources in their delivered layouts: CSVs with header (``;`` for
 demographics), code lookups with a no-break space, arrival records as delivered."""
 
 from portolan.plans.build import Sources, build_warehouse

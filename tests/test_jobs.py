@@ -1,4 +1,4 @@
-"""The jobs on hand-made rows with the reference's column names, and load properties."""
+"""The jobs on hand-made rows with the delivered column names, and load properties."""
 
 from pyspark.sql import functions as F
 
