@@ -6,6 +6,7 @@ temperature_raw   city temperature reports (text)
 demographics_raw  city x race rows
 lookup_state      state codes (+ the catch-all '99')
 lookup_country    country codes (some labels carry an ``INVALID: `` prefix)
+lookup_port       port codes (text keys; one code of the data has no entry)
 """
 
 from __future__ import annotations
@@ -137,3 +138,12 @@ def lookup_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = (F.when(F.col("n_nationkey") % 7 == 3, F.concat(F.lit(INVALID_PREFIX), F.col("n_name")))
              .otherwise(F.col("n_name")))
     return n.select(F.col("n_nationkey").alias("Code"), label.alias("I94CTRY"))
+
+
+def lookup_port(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(ID, Port) for every order priority but the last ('5-LOW' stays undecoded)."""
+    o = table(spark, sf_dir, "orders")
+    return (o.where(F.col("o_orderpriority") != "5-LOW")
+            .select(F.col("o_orderpriority").alias("ID"),
+                    F.concat(F.lit("PORT "), F.substring("o_orderpriority", 3, 100)).alias("Port"))
+            .distinct())

@@ -265,11 +265,14 @@ FROM (SELECT page_id, unnest(ms) AS m, unnest(range(len(ms))) AS pos
         "FROM fact f LEFT JOIN country b ON f.i94cit = b.Code LEFT JOIN country h ON f.i94res = h.Code "
         "LEFT JOIN states s ON f.i94addr = s.Code", "fact", "country", "states")
     o["decode_codes"] = with_views(
-        "SELECT f.cicid, f.i94mode, f.i94visa, m.Mode AS mode, v.Type AS visa_type FROM fact f "
+        "SELECT f.cicid, f.i94mode, f.i94visa, f.i94port, m.Mode AS mode, v.Type AS visa_type, p.Port AS port "
+        "FROM fact f "
         "LEFT JOIN (VALUES " + ", ".join(f"({i}, {_q(label)})" for i, label in schemas.MODE_LABELS)
         + ") m(ID, Mode) ON f.i94mode = m.ID "
         "LEFT JOIN (VALUES " + ", ".join(f"({i}, {_q(label)})" for i, label in schemas.VISA_LABELS)
-        + ") v(ID, Type) ON f.i94visa = v.ID", "fact")
+        + ") v(ID, Type) ON f.i94visa = v.ID "
+        "LEFT JOIN (SELECT DISTINCT o_orderpriority AS ID, concat('PORT ', substr(o_orderpriority, 3)) AS Port "
+        "FROM orders WHERE o_orderpriority <> '5-LOW') p ON f.i94port = p.ID", "fact")
     o["normalize_state_codes"] = with_views(
         "SELECT coalesce(s.Code, '99') AS i94addr, count(*) AS visitors FROM fact f "
         "LEFT JOIN (SELECT DISTINCT Code FROM states) s ON f.i94addr = s.Code GROUP BY 1", "fact", "states")

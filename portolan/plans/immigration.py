@@ -55,14 +55,19 @@ def date_dimension(facts: DataFrame, columns: Sequence[str] = tuple(schemas.IMMI
 def process_immigration(raw: DataFrame, output_path: str | None = None, date_output_path: str | None = None,
                         partition_by: Sequence[str] | None = tuple(schemas.IMMIGRATION_PARTITION_COLUMNS),
                         saved_columns: str | Sequence[str] = "*",
-                        max_records_per_file: int | None = None) -> DataFrame:
+                        max_records_per_file: int | None = None, rebalance: bool = True) -> DataFrame:
     """Build the fact, write it partitioned by arrival year/month, and write the date
     dimension. When the fact is written first, the date dimension reads just its two
-    date columns back instead of recomputing the fact."""
+    date columns back instead of recomputing the fact.
+
+    ``rebalance`` shuffles rows on the partition columns before the write (few, evenly
+    sized files per month, hot months split by AQE). Input delivered one file per month
+    is already clustered: pass ``rebalance=False`` to write it without a shuffle.
+    """
     facts = immigration_facts(raw)
     if output_path is not None:
         save_data(facts, output_path, columns=saved_columns, partition_by=list(partition_by or []),
-                  max_records_per_file=max_records_per_file)
+                  max_records_per_file=max_records_per_file, rebalance=rebalance)
     if date_output_path is not None:
         source = facts
         if output_path is not None and saved_columns == "*":

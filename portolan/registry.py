@@ -20,7 +20,7 @@ from portolan.functions.columns import convert_types, drop_columns, refactor_val
 from portolan.functions.dates import convert_day_numbers, date_difference
 from portolan.functions.text import title_case
 from portolan.operators.aggregate import first_values, pivot_sum
-from portolan.operators.joins import fits
+from portolan.operators.joins import bounded_broadcast, fits
 from portolan.operators.quality import (duplicate_key_report, null_key_report, orphan_report,
                                         row_count_report)
 from portolan.plans import analytics, countries, demographics, immigration, landing, warehouse
@@ -314,6 +314,8 @@ def decode_codes(spark, d):
     return analytics.decode_codes(facts(spark, d), [
         ("i94mode", mode_lookup(spark), "ID", "Mode", "mode"),
         ("i94visa", visa_lookup(spark), "ID", "Type", "visa_type"),
+        # derived by a distinct over orders, so its plan size is that of orders: bound it by count
+        ("i94port", bounded_broadcast(fx.lookup_port(spark, d)), "ID", "Port", "port"),
     ])
 
 
