@@ -22,16 +22,20 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", app: str = "portolan",
-                  shuffle_partitions: int = 8, **extra: str) -> SparkSession:
+def build_session(master: str | None = "local[8]", app: str = "portolan",
+                  shuffle_partitions: int | None = 8, **extra: str) -> SparkSession:
     """Create (or reuse) a session with the engine's defaults.
 
-    On a cluster pass the cluster master and size ``shuffle_partitions`` to the data
-    (about 128-256 MB of shuffle data per partition); AQE coalesces the rest.
+    Under ``spark-submit`` pass ``master=None`` and ``shuffle_partitions=None`` so the
+    cluster's settings apply; size ``spark.sql.shuffle.partitions`` to the data (about
+    128-256 MB of shuffle data per partition), AQE coalesces what is too small.
     """
-    builder = SparkSession.builder.master(master).appName(app)
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra)
     for key, value in conf.items():
         builder = builder.config(key, value)

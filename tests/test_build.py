@@ -12,7 +12,7 @@ DEMOGRAPHICS = ("City;State;Median Age;Male Population;Female Population;Total P
                 "Albany;New York;32.0;40;50;90;3;10;2.0;NY;White;60\n")
 
 
-def test_build_warehouse_end_to_end(spark, tmp_path):
+def _write_sources(spark, tmp_path):
     (tmp_path / "temps.csv").write_text(
         "dt,AverageTemperature,City,Country,Latitude,Longitude\n"
         "2000-01-01,10.5,Kabul,Afghanistan,34.56N,70.05E\n2000-02-01,,Kabul,Afghanistan,34.56N,70.05E\n"
@@ -23,9 +23,13 @@ def test_build_warehouse_end_to_end(spark, tmp_path):
     raw = _raw(spark, [_row(1.0, 20545.0, 20550.0), _row(2.0, 20576.0, None, mon=5.0)])
     raw_path = scratch_path(spark, "raw-arrivals")
     raw.write.parquet(raw_path)
-    sources = Sources(immigration=raw_path, temperature=str(tmp_path / "temps.csv"),
-                      demographics=str(tmp_path / "demo.csv"), state_lookup=str(tmp_path / "addr.csv"),
-                      country_lookup=str(tmp_path / "cit.csv"))
+    return Sources(immigration=raw_path, temperature=str(tmp_path / "temps.csv"),
+                   demographics=str(tmp_path / "demo.csv"), state_lookup=str(tmp_path / "addr.csv"),
+                   country_lookup=str(tmp_path / "cit.csv"))
+
+
+def test_build_warehouse_end_to_end(spark, tmp_path):
+    sources = _write_sources(spark, tmp_path)
     out = scratch_path(spark, "build")
     report = {r.table: (r.n_rows, r.null_keys) for r in build_warehouse(spark, sources, out, "wh_build").collect()}
     assert report == {"immigration": (2, 0), "country": (3, 0), "states": (3, 0), "date": (3, 0)}
@@ -36,3 +40,13 @@ def test_build_warehouse_end_to_end(spark, tmp_path):
     # Rerunning the build leaves the warehouse as it was.
     build_warehouse(spark, sources, out, "wh_build")
     assert spark.table("wh_build.immigration").count() == 2
+
+
+def test_command_line_build(spark, tmp_path, capsys):
+    from portolan.__main__ import main
+    s = _write_sources(spark, tmp_path)
+    main(["build", "--immigration", s.immigration, "--temperature", s.temperature,
+          "--demographics", s.demographics, "--state-lookup", s.state_lookup,
+          "--country-lookup", s.country_lookup, "--out", scratch_path(spark, "cli"), "--database", "wh_cli"])
+    assert "immigration" in capsys.readouterr().out
+    assert spark.table("wh_cli.date").count() == 3
