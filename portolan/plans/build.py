@@ -1,9 +1,11 @@
 """The whole monthly build: raw sources in, a loaded and checked warehouse out.
 
-Order: fact (partitioned by arrival year/month) and the date dimension read back from
-it; landing copies of temperature and airports; city demographics, states and
-countries; then the warehouse load with its checks. Every step reads what the step
-before wrote, so a failed run restarts from files, not from lineage.
+Order: fact (partitioned by arrival year/month) and the delivery's date dimension read
+back from it; landing copies of temperature and airports; city demographics, states and
+countries; then the warehouse load with its checks. Monthly runs accumulate: the
+warehouse fact keeps earlier months and its date dimension covers all of them. Every
+step reads what the step before wrote, so a failed run restarts from files, not from
+lineage.
 """
 
 from __future__ import annotations
@@ -44,6 +46,8 @@ def build_warehouse(spark: SparkSession, sources: Sources, output_root: str, dat
     cities = spark.read.parquet(f"{out}/demographics.parquet")
     demographics.process_states(state_lookup(spark, sources.state_lookup), cities, f"{out}/states.parquet")
     countries.process_countries(temps, country_lookup(spark, sources.country_lookup), f"{out}/country.parquet")
-    tables = {name: spark.read.parquet(f"{out}/{name}.parquet")
-              for name in ("immigration", "country", "states", "date")}
+    tables = {name: spark.read.parquet(f"{out}/{name}.parquet") for name in ("immigration", "country", "states")}
+    # The fact keeps every delivered month (each load replaces only its own months), so the
+    # date dimension is derived from the whole loaded fact, not from this delivery alone.
+    tables["date"] = lambda: immigration.date_dimension(spark.table(f"`{database}`.`immigration`"))
     return warehouse.warehouse_load(spark, database, f"{out}/warehouse", tables)

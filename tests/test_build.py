@@ -50,3 +50,16 @@ def test_command_line_build(spark, tmp_path, capsys):
           "--country-lookup", s.country_lookup, "--out", scratch_path(spark, "cli"), "--database", "wh_cli"])
     assert "immigration" in capsys.readouterr().out
     assert spark.table("wh_cli.date").count() == 3
+
+
+def test_monthly_builds_accumulate(spark, tmp_path):
+    s = _write_sources(spark, tmp_path)
+    may = scratch_path(spark, "may-arrivals")
+    _raw(spark, [_row(7.0, 20577.0, 20600.0, mon=5.0)]).write.parquet(may)
+    out = scratch_path(spark, "monthly")
+    build_warehouse(spark, s, out, "wh_monthly")   # April and May (the shared fixture)
+    build_warehouse(spark, Sources(**{**s.__dict__, "immigration": may}), out, "wh_monthly")  # May again
+    fact = {r.cicid for r in spark.table("wh_monthly.immigration").collect()}
+    assert fact == {1, 7}  # April kept, May replaced by the new delivery
+    dates = {r.date for r in spark.table("wh_monthly.date").collect()}
+    assert dates == {"2016-04-01", "2016-04-06", "2016-05-03", "2016-05-26"}  # 05-02 left with its row
