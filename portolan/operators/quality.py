@@ -76,19 +76,22 @@ def duplicate_key_report(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFra
     return _union(frames)
 
 
-def orphan_report(fact: DataFrame, relations: Sequence[tuple[str, str, DataFrame, str]]) -> DataFrame:
+def orphan_report(fact: DataFrame, relations: Sequence[tuple[str, str, DataFrame, str]],
+                  broadcast_keys: bool = False) -> DataFrame:
     """(relationship, orphans): non-null foreign keys of ``fact`` without a dimension row.
 
     ``relations`` = [(name, fact column, dimension, dimension key)]. The fact is read
-    once: every dimension's key set is left-joined (broadcast by the planner when the
-    dimension is a small table) and one aggregation counts the misses of all
-    relationships, instead of one anti-join scan per relationship.
+    once: every dimension's key set is left-joined and one aggregation counts the misses
+    of all relationships, instead of one anti-join scan per relationship. The key sets
+    are broadcast by the planner when the dimensions are small tables, or by hint with
+    ``broadcast_keys`` when the caller has checked their size.
     """
     used = sorted({col for _, col, _, _ in relations})
     joined = fact.select(*[F.col(f"`{c}`") for c in used])
     misses = []
     for i, (name, col, dim, key) in enumerate(relations):
         keys = dim.select(F.col(f"`{key}`").alias(f"_k{i}")).distinct()
+        keys = F.broadcast(keys) if broadcast_keys else keys
         joined = joined.join(keys, joined[col] == keys[f"_k{i}"], "left")
         misses.append(F.count_if(F.col(f"`{col}`").isNotNull() & F.col(f"_k{i}").isNull()).alias(name))
     wide = joined.agg(*misses)

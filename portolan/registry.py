@@ -76,11 +76,6 @@ def country(spark: SparkSession, d: str) -> DataFrame:
                                        lookup_renames=LOOKUP_RENAMES, order_by=F.col("seq"))
 
 
-def _dims(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Country and states dimensions as staged tables (as the warehouse holds them)."""
-    return stage(country(spark, d), "country"), stage(states(spark, d), "states")
-
-
 # --- sources and sinks ---------------------------------------------------------------
 
 def load_project_limit(spark, d):
@@ -260,10 +255,9 @@ def country_dimension(spark, d):
 # --- warehouse and quality ---------------------------------------------------------------
 
 def _warehouse_frames(spark, d):
-    """The four tables; the fact is staged once and the date dimension reads it back."""
-    fact = stage(facts(spark, d), "immigration")
-    return {"immigration": (fact, "cicid"), "country": (country(spark, d), "Code"),
-            "states": (states(spark, d), "Code"), "date": (immigration.date_dimension(fact), "date")}
+    """The four tables. The date dimension reads only the two date columns of the source."""
+    return {"immigration": (facts(spark, d), "cicid"), "country": (country(spark, d), "Code"),
+            "states": (states(spark, d), "Code"), "date": (dates(spark, d), "date")}
 
 
 def dq_null_keys(spark, d):
@@ -279,16 +273,18 @@ def dq_duplicate_keys(spark, d):
 
 
 def dq_orphans(spark, d):
-    country_dim, states_dim = _dims(spark, d)
-    fact = stage(facts(spark, d), "immigration")
-    day_dim = immigration.date_dimension(fact)
-    return orphan_report(fact, [
+    # Country and states have one row per lookup row; the date dimension is staged (one
+    # row per day). All three are checked small before their key sets are broadcast.
+    day_dim = stage(dates(spark, d), "date")
+    small = fits(fx.lookup_country(spark, d)) and fits(fx.lookup_state(spark, d)) and fits(day_dim)
+    country_dim, states_dim = country(spark, d), states(spark, d)
+    return orphan_report(facts(spark, d), [
         ("born_country", "i94cit", country_dim, "Code"),
         ("residence_country", "i94res", country_dim, "Code"),
         ("state", "i94addr", states_dim, "Code"),
         ("arrival_date", "arrdate", day_dim, "date"),
         ("departure_date", "depdate", day_dim, "date"),
-    ])
+    ], broadcast_keys=small)
 
 
 def warehouse_load(spark, d):
