@@ -77,3 +77,14 @@ def test_bounded_broadcast_and_unique_on(spark):
     assert bounded_broadcast(small, 5) is small
     df = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "k int, v string")
     assert sorted(tuple(r) for r in unique_on(df, "k").collect()) == [(1, "a"), (2, "c")]
+
+
+def test_lookup_join_and_decode_with_spaced_names(spark):
+    from portolan.operators.joins import decode, lookup_join
+    df = spark.createDataFrame([(1, "AL"), (2, "ZZ")], "id int, `State Code` string")
+    lookup = spark.createDataFrame([("AL", "Alabama", 5)], "`Code` string, `State Name` string, n int")
+    joined = {r.id: (r["l_State Name"], r.l_n) for r in
+              lookup_join(df, lookup, "State Code", "Code", prefix="l_").collect()}
+    assert joined == {1: ("Alabama", 5), 2: (None, None)}
+    decoded = {r.id: r.name for r in decode(df, "State Code", lookup, "Code", "State Name", "name").collect()}
+    assert decoded == {1: "Alabama", 2: None}
