@@ -21,23 +21,19 @@ def first_value_columns(attributes: Mapping[str, str], order_by: Column | None =
                         ignore_nulls: bool = False) -> tuple[list[Column], list[Column]]:
     """Aggregate expressions for "the first row's values" and the projection that unpacks them.
 
-    ``order_by`` fixes which row is first (smallest value first). Without it the
-    smallest tuple of the attributes is taken, which is just as deterministic.
-    With ``ignore_nulls`` each attribute takes its first non-null value on its own.
+    ``order_by`` fixes which row is first (smallest value first). Without it the row with
+    the smallest hash of its attribute values is taken, which is just as deterministic.
+    Every attribute is a ``min_by`` on the same ordering, so all values come from one
+    row; numeric attributes keep fixed-width buffers and the aggregation stays
+    hash-based. With ``ignore_nulls`` each attribute takes its first non-null value.
     """
     names = list(attributes)
+    order = order_by if order_by is not None else F.xxhash64(*[_c(n) for n in names])
     if ignore_nulls:
-        if order_by is None:
-            aggs = [F.min(_c(n)).alias(attributes[n]) for n in names]
-        else:
-            aggs = [F.min_by(_c(n), F.when(_c(n).isNotNull(), order_by)).alias(attributes[n])
-                    for n in names]
-        return aggs, [_c(attributes[n]) for n in names]
-    row = F.struct(*[_c(n).alias(f"_{i}") for i, n in enumerate(names)])
-    picked = F.min_by(row, order_by) if order_by is not None else F.min(row)
-    aggs = [picked.alias("_first")]
-    unpack = [F.col("_first").getField(f"_{i}").alias(attributes[n]) for i, n in enumerate(names)]
-    return aggs, unpack
+        aggs = [F.min_by(_c(n), F.when(_c(n).isNotNull(), order)).alias(attributes[n]) for n in names]
+    else:
+        aggs = [F.min_by(_c(n), order).alias(attributes[n]) for n in names]
+    return aggs, [_c(attributes[n]) for n in names]
 
 
 def first_values(df: DataFrame, keys: Sequence[str], attributes: Mapping[str, str],
