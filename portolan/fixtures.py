@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from portolan.functions.dates import date_to_day_number
-from portolan.session import scratch_path
+from portolan.session import app_id, scratch_path
 from portolan.sources.io import spread_single_file
 
 # Fixed values of the role views.
@@ -56,7 +56,7 @@ def visits_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The arrivals source. It is derived from five test tables by joins, so it is
     staged once per session (parquet under ``spark.checkpoint.dir``) and every query
     then reads it as a delivered arrivals file is read."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (app_id(spark), sf_dir.rstrip("/"))
     if key not in _STAGED:
         path = scratch_path(spark, "visits_raw")
         visits_raw_view(spark, sf_dir).write.parquet(path)

@@ -40,27 +40,55 @@ def build_session(master: str | None = "local[8]", app: str = "portolan",
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    sc = _context(spark)
+    if sc is not None:
+        sc.setLogLevel("ERROR")
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None for sessions without one (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect raises for sparkContext
+        return None
+
+
+def app_id(spark: SparkSession) -> str:
+    """The application id, from the session's conf where possible."""
+    sc = _context(spark)
+    return spark.conf.get("spark.app.id", None) or (sc.applicationId if sc is not None else "app")
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    """Cores available to the application."""
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.default.parallelism", "8"))
+
+
+# Folders made for local sessions whose spark.checkpoint.dir is unset, by application.
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     When the setting is missing we create a folder only for local masters (tests);
     on a cluster a machine-local folder would be wrong, so we refuse.
     """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    sc = _context(spark)
+    root = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc is not None else None)
     if root:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(root)
         return root.rstrip("/")
-    if not sc.master.startswith("local"):
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    root = tempfile.mkdtemp(prefix="portolan-ckpt-")
-    sc.setCheckpointDir(root)
-    return root
+    app = app_id(spark)
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="portolan-ckpt-")
+    return _LOCAL_ROOTS[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -23,3 +23,31 @@ def test_spread_only_single_files(spark):
     spark.range(1000).repartition(3).write.parquet(many)
     df = spark.read.parquet(many)
     assert spread_single_file(df, "id") is df
+
+
+class _Conf:
+    def __init__(self, values):
+        self.values = values
+
+    def get(self, key, default=None):
+        return self.values.get(key, default)
+
+
+class _ConnectLike:
+    """A session without a SparkContext and without spark.checkpoint.dir."""
+
+    def __init__(self, master):
+        self.conf = _Conf({"spark.master": master, "spark.app.id": f"stub-{master}"})
+
+    @property
+    def sparkContext(self):
+        raise RuntimeError("no SparkContext")
+
+
+def test_checkpoint_root_when_unset():
+    import pytest
+    local = _ConnectLike("local[2]")
+    first = checkpoint_root(local)
+    assert first == checkpoint_root(local)  # one folder per application
+    with pytest.raises(RuntimeError):
+        checkpoint_root(_ConnectLike("yarn"))
