@@ -149,3 +149,21 @@ def test_read_immigration_and_copy_into(spark):
     warehouse.create_tables(spark, database, scratch_path(spark, "wh"))
     warehouse.copy_into(spark, staged, f"{database}.immigration")
     assert sorted(r.stay if r.stay is not None else -1 for r in spark.table(f"{database}.immigration").collect()) == [-1, 4]
+
+
+def test_warehouse_load_raises_with_every_failed_check(spark):
+    import pytest
+    from portolan.operators import DataQualityError
+    raw = _raw(spark, [_row(None, 20545.0, 20546.0), _row(2.0, 20545.0, None)])  # a null key
+    fact = immigration.immigration_facts(raw)
+    empty_states = spark.createDataFrame([], schemas.STATES_TABLE)
+    country = spark.createDataFrame([(101, "Albania", 12.0, "41N", "20E")], schemas.COUNTRY_TABLE)
+    tables = {"immigration": fact, "country": country, "states": empty_states,
+              "date": immigration.date_dimension(fact)}
+    with pytest.raises(DataQualityError) as err:
+        warehouse.warehouse_load(spark, "wh_fail", scratch_path(spark, "wh-fail"), tables)
+    assert "immigration WHERE cicid is null" in str(err.value)
+    tables["immigration"] = fact.where("cicid IS NOT NULL")
+    with pytest.raises(DataQualityError) as err:  # null keys fixed; the empty table still fails
+        warehouse.warehouse_load(spark, "wh_fail", scratch_path(spark, "wh-fail"), tables)
+    assert "'states'" in str(err.value)
