@@ -177,6 +177,8 @@ SELECT page_id, CAST(pos AS INTEGER) AS pos, regexp_extract(m, '{pattern}', 1) A
        regexp_extract(m, '{pattern}', 2) AS value
 FROM (SELECT page_id, unnest(ms) AS m, unnest(range(len(ms))) AS pos
       FROM (SELECT page_id, regexp_extract_all(html, '{pattern}', 0) AS ms FROM pages) a) b"""
+    o["label_text_lookups"] = ("SELECT concat('brand_', replace(p_brand, '#', '_')) AS section, "
+                               "CAST(p_partkey AS VARCHAR) AS code, p_name AS label FROM part")
     o["convert_types"] = with_views(
         "SELECT " + ", ".join(f"{_int(c)} AS {c}" if c in INTEGER_CAST_COLUMNS else c for c in RAW_COLUMNS)
         + " FROM visits_raw", "visits_raw")

@@ -26,7 +26,7 @@ from portolan.operators.quality import (duplicate_key_report, null_key_report, o
 from portolan.plans import analytics, countries, demographics, immigration, landing, warehouse
 from portolan.session import scratch_path, stage
 from portolan.sources.io import load_data, overwrite_partitions, read_partitioned, save_data
-from portolan.sources.labels import extract_pairs
+from portolan.sources.labels import extract_pairs, label_entries, number_lines
 from portolan.sources.lookups import mode_lookup, visa_lookup
 from portolan.streaming.monthly import ingest_deliveries
 
@@ -152,6 +152,18 @@ def monthly_stream_ingest(spark, d):
     return read_partitioned(spark, fact_path, schemas.IMMIGRATION_TABLE)
 
 
+def label_text_lookups(spark, d):
+    """Label-format text written from part (a ``value`` header, then a ``'code' = 'label'``
+    entry, per part), read back as text and parsed into (section, code, label)."""
+    p = fx.table(spark, d, "part")
+    header = F.concat(F.lit("  value brand_"), F.regexp_replace("p_brand", "#", "_"))
+    entry = F.concat(F.lit("   '"), F.col("p_partkey").cast("string"), F.lit("' = '"),
+                     F.regexp_replace("p_name", "'", "''"), F.lit("'"))
+    path = scratch_path(spark, "label-text")
+    p.select(F.explode(F.array(header, entry)).alias("value")).write.text(path)
+    return label_entries(number_lines(spark.read.text(path)))
+
+
 def extract_key_values(spark, d):
     return extract_pairs(fx.table(spark, d, "pages", spread_by="page_id"), "html", keep=["page_id"])
 
@@ -366,6 +378,7 @@ QUERIES: dict[str, Query] = {
     "monthly_refresh": monthly_refresh,
     "monthly_stream_ingest": monthly_stream_ingest,
     "extract_key_values": extract_key_values,
+    "label_text_lookups": label_text_lookups,
     "convert_types": convert_types_q,
     "drop_columns": drop_columns_q,
     "rename_columns": rename_columns_q,
