@@ -62,3 +62,21 @@ def test_date_dimension_key_unique_and_covers_fact(spark):
     assert dates.count() == dates.select("date").distinct().count()
     days = fact.select(F.explode(F.array("arrdate", "depdate")).alias("d")).where("d IS NOT NULL").distinct()
     assert days.join(dates, days.d == dates.date, "left_anti").count() == 0
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.tuples(st.integers(-20000, 40000) | st.none(), st.integers(-20000, 40000) | st.none()),
+                min_size=1, max_size=40))
+def test_day_numbers_and_differences_match_python(spark, pairs):
+    import datetime as dt
+
+    from portolan.functions import date_difference, day_number_to_iso
+    epoch = dt.date(1960, 1, 1)
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a int, b int")
+    iso = df.select("i", day_number_to_iso(F.col("a")).alias("a"), day_number_to_iso(F.col("b")).alias("b"))
+    got = {r.i: (r.a, r.b, r.d) for r in iso.select("i", "a", "b", date_difference(F.col("a"), F.col("b")).alias("d")).collect()}
+
+    def iso_of(n):
+        return None if n is None else (epoch + dt.timedelta(days=n)).isoformat()
+    want = {i: (iso_of(a), iso_of(b), None if a is None or b is None else b - a) for i, (a, b) in enumerate(pairs)}
+    assert got == want
