@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from portolan.llm import exact_dedup, line_dedup, mixing, quality, token_counts, urls
+from portolan.llm import exact_dedup, line_dedup, mixing, quality, simhash, token_counts, urls
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op2_quality_scores": quality.op2_quality_scores,
     "op4_line_dedup": line_dedup.op4_line_dedup,
+    "op5_simhash": simhash.op5_simhash,
     "op6_url_filter": urls.op6_url_filter,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op10_token_counts": token_counts.op10_token_counts,
