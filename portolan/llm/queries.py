@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from portolan.llm import exact_dedup, line_dedup, mixing, quality, simhash, token_counts, urls
+from portolan.llm import decontamination, exact_dedup, line_dedup, mixing, quality, simhash, token_counts, urls
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_simhash": simhash.op5_simhash,
     "op6_url_filter": urls.op6_url_filter,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
+    "op9_decontamination": decontamination.op9_decontamination,
     "op10_token_counts": token_counts.op10_token_counts,
 }
 ORACLES = {
