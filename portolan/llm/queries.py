@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from portolan.llm import decontamination, exact_dedup, line_dedup, mixing, quality, simhash, token_counts, urls
+from portolan.llm import decontamination, exact_dedup, line_dedup, mixing, quality, simhash, suffix_tree, token_counts, urls
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
     "op2_quality_scores": quality.op2_quality_scores,
+    "op3_suffix_tree": suffix_tree.op3_suffix_tree,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_simhash": simhash.op5_simhash,
     "op6_url_filter": urls.op6_url_filter,
