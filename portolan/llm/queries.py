@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from portolan.llm import decontamination, exact_dedup, line_dedup, mixing, quality, simhash, suffix_tree, token_counts, urls
+from portolan.llm import decontamination, exact_dedup, line_dedup, mixing, quality, simhash, suffix_tree, token_counts, urls, warc
 
 QUERIES = {
     "op1_mix_sources": mixing.op1_mix_sources,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_simhash": simhash.op5_simhash,
     "op6_url_filter": urls.op6_url_filter,
+    "op7_warc": warc.op7_warc,
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_decontamination": decontamination.op9_decontamination,
     "op10_token_counts": token_counts.op10_token_counts,
@@ -18,5 +19,6 @@ QUERIES = {
 ORACLES = {
     "op1_mix_sources": mixing.ORACLE,
     "op4_line_dedup": line_dedup.ORACLE,
+    "op7_warc": warc.ORACLE,
     "op8_exact_dedup": exact_dedup.ORACLE,
 }
