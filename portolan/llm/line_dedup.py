@@ -90,9 +90,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                         clean.alias("__clean"))
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
-    """The documents with repeated passages removed, all columns; ``n_chars``, where there is one, follows the text."""
+def dedup_lines(docs: DataFrame, drop_emptied: bool = False) -> DataFrame:
+    """The documents with repeated passages removed, all columns; ``n_chars``, where there is one, follows the text.
+    ``drop_emptied`` drops the documents whose lines all went."""
     done = remove_repeats(docs)
+    if drop_emptied:
+        done = done.where((F.size("__gone") == 0) | (F.size("__gone") < F.col("__n")))
     new = {"text": F.col("__clean"), "n_chars": F.when(F.size("__gone") > 0, F.length("__clean").cast("long"))}
     return done.select(*[F.coalesce(new[c], F.col("__row")[c]).alias(c) if c == "n_chars" else
                          new[c].alias(c) if c == "text" else F.col("__row")[c].alias(c) for c in docs.columns])

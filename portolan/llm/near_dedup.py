@@ -1,0 +1,106 @@
+"""Near-dedup of whole documents on top of operator 5: SimHash candidates, verified by shingles.
+
+Fingerprints within ``radius`` bits form candidate groups (``simhash.similar_fingerprints``); inside a
+group, texts are linked if their fingerprints lie within the radius and the Jaccard
+similarity of their five-word shingle sets is at least ``similarity``. One document of every
+class of linked texts stays: the one with the smallest id.
+
+Equal texts are one text from the start, so copies cost one row each. A candidate group is compared
+in cells of at most ``cell`` texts against ``cell`` texts, and a cell gives a spanning forest of its
+links, so neither a task nor the result grows with the square of a group.
+
+Defined results: null counts as an empty text, and texts without words are equal to each other; of the
+rows of a class the smallest id stays (null after all others, then the smallest text hash); of rows
+that repeat id and text one stays; an empty table stays empty. Extra columns ride along, whatever
+their names.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from portolan.llm.common import byte_rows, checkpoint, utf8
+from portolan.llm.components import connected_components
+from portolan.llm.simhash import Forest, fingerprints, shingle_hashes, similar_fingerprints
+
+NO_ID = (1 << 63) - 1
+
+
+def _named(docs: DataFrame) -> DataFrame:
+    """The row, its id (null last) and the hash of its text."""
+    return docs.select(F.struct(*docs.columns).alias("__row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("__id"),
+                       F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("__text"), utf8(F.col("text")).alias("__bytes"))
+
+
+def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in byte_rows(batches):
+        sets = []
+        for text in part.column("text").to_pylist():
+            chunks = list(shingle_hashes(text, 5))
+            sets.append(np.unique(np.concatenate(chunks)).view(np.int64) if chunks else np.zeros(0, np.int64))
+        keep = [c for c in part.schema.names if c != "text"]
+        yield pa.record_batch([*(part.column(c) for c in keep), pa.array(sets, pa.list_(pa.int64()))], names=[*keep, "shingles"])
+
+
+def verified_links(sets: pd.DataFrame, radius: int, similarity: float) -> pd.DataFrame:
+    """A spanning forest of the links of one cell: ``home`` rows against all rows (``node``, ``fp``, ``shingles``)."""
+    sets = sets.sort_values("home", ascending=False).drop_duplicates("node")
+    node, fp, home = sets["node"].to_numpy(), sets["fp"].to_numpy(), sets["home"].to_numpy()
+    shingles = list(sets["shingles"])
+    sizes = np.array([len(s) for s in shingles])
+    forest, edges = Forest(len(node)), []
+    for a in np.flatnonzero(home).tolist():
+        close = (np.bitwise_count((fp ^ fp[a]).view(np.uint64)) <= radius) \
+            & (np.minimum(sizes, sizes[a]) >= similarity * np.maximum(sizes, sizes[a]))
+        for b in np.flatnonzero(close).tolist():
+            if a == b or forest.find(a) == forest.find(b):
+                continue
+            shared = len(np.intersect1d(shingles[a], shingles[b], assume_unique=True))
+            if shared >= similarity * (sizes[a] + sizes[b] - shared):
+                forest.join(a, b)
+                edges.append((node[a], node[b]))
+    return pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
+
+
+def text_classes(docs: DataFrame, radius: int = 7, similarity: float = 0.8, cell: int = 256) -> DataFrame:
+    """``(fp, text, low, label)``: every distinct text by fingerprint and hash, its smallest id, and the label of its class."""
+    named = _named(docs)
+    rows = named.select(F.struct("__id", "__text").alias("doc_id"), F.col("__bytes").alias("text"))
+    hashed = fingerprints(rows, 3).select("fp", F.col("doc_id.__text").alias("text"), F.col("doc_id.__id").alias("id"))
+    texts = checkpoint(hashed.groupBy("fp", "text").agg(F.min("id").alias("low")).withColumn("node", F.xxhash64("fp", "text")))
+    near = connected_components(checkpoint(similar_fingerprints(texts.select("fp").distinct(), radius)))
+    groups = texts.join(near.withColumnRenamed("node", "at"), F.col("fp") == F.col("at"), "left")
+    groups = groups.select("fp", "text", "low", "node", F.coalesce("label", "fp").alias("group"))
+    # Candidate groups hold at least two texts; only their texts are read again.
+    sizes = groups.groupBy("group").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumnRenamed("group", "g")
+    members = checkpoint(groups.join(sizes, F.col("group") == F.col("g")).select("fp", "text", "low", "node", "group", "n"))
+    found = members.join(named.select("__id", "__text", F.col("__bytes").alias("bytes")),
+                         (F.col("low") == F.col("__id")) & (F.col("text") == F.col("__text")))
+    found = found.select("node", "fp", "group", "n", F.col("bytes").alias("text"))
+    sets = found.mapInArrow(_shingle_sets, "node long, fp long, group long, n long, shingles array<long>")
+    blocks = F.ceil(F.col("n") / cell).cast("int")
+    block = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    # Each text is at home in its block's row of cells and a guest in its block's column.
+    row = F.transform(F.sequence(F.lit(0), blocks - 1), lambda i: F.struct(block.alias("r"), i.alias("c"), F.lit(True).alias("home")))
+    column = F.transform(F.sequence(F.lit(0), blocks - 1), lambda i: F.struct(i.alias("r"), block.alias("c"), F.lit(False).alias("home")))
+    # Two texts meet once: only the cells on and above the diagonal are needed.
+    places = F.filter(F.array_distinct(F.concat(row, F.filter(column, lambda p: p["r"] != p["c"]))), lambda p: p["r"] <= p["c"])
+    cells = sets.select("node", "fp", "group", "shingles", F.inline(places))
+    links = cells.groupBy("group", "r", "c").applyInPandas(lambda pdf: verified_links(pdf, radius, similarity), "a long, b long")
+    labels = connected_components(checkpoint(links))
+    return texts.join(labels.withColumnRenamed("node", "at"), F.col("node") == F.col("at"), "left").select(
+        "fp", "text", "low", F.coalesce("label", "node").alias("label"))
+
+
+def drop_near_duplicates(docs: DataFrame, radius: int = 7, similarity: float = 0.8) -> DataFrame:
+    """One document of every class, all columns."""
+    classes = text_classes(docs, radius, similarity)
+    keepers = checkpoint(classes.groupBy("label").agg(F.min(F.struct("low", "text")).alias("k")).select("k.low", "k.text"))
+    kept = _named(docs).drop("__bytes").join(keepers, (F.col("__id") == F.col("low")) & (F.col("__text") == F.col("text")))
+    return kept.dropDuplicates(["__id", "__text"]).select("__row.*")
