@@ -21,6 +21,8 @@ def main(argv: list[str] | None = None) -> None:
     build = commands.add_parser("build", help="raw sources -> loaded and checked warehouse")
     build.add_argument("--immigration", required=True)
     build.add_argument("--immigration-format", default="parquet")
+    build.add_argument("--immigration-option", action="append", default=[], metavar="NAME=VALUE",
+                       help="an option of the arrivals reader; may be repeated")
     build.add_argument("--temperature", required=True)
     build.add_argument("--demographics", required=True)
     build.add_argument("--state-lookup", required=True)
@@ -29,13 +31,15 @@ def main(argv: list[str] | None = None) -> None:
     build.add_argument("--out", required=True, help="output folder (shared storage)")
     build.add_argument("--database", required=True)
     build.add_argument("--debug-size", type=int, help="keep only this many arrival records")
+    build.add_argument("--hive", action="store_true", help="keep the catalog in the cluster's metastore")
     args = parser.parse_args(argv)
 
-    spark = build_session(master=None, shuffle_partitions=None, app="portolan-build")
+    spark = build_session(master=None, shuffle_partitions=None, app="portolan-build", hive=args.hive)
     sources = Sources(immigration=args.immigration, temperature=args.temperature,
                       demographics=args.demographics, state_lookup=args.state_lookup,
                       country_lookup=args.country_lookup, airport=args.airport,
-                      immigration_format=args.immigration_format)
+                      immigration_format=args.immigration_format,
+                      immigration_options=dict(o.split("=", 1) for o in args.immigration_option))
     report = build_warehouse(spark, sources, args.out, args.database, args.debug_size)
     report.show(truncate=False)
 

@@ -10,17 +10,20 @@ lineage.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from portolan.operators.quality import cast_loss_report, raise_on_failure
 from portolan.plans import countries, demographics, immigration, landing, warehouse
 from portolan.sources.lookups import country_lookup, state_lookup
 
 
 @dataclass(frozen=True)
 class Sources:
-    """Where the raw inputs are. ``immigration_format`` is any installed Spark source."""
+    """Where the raw inputs are. ``immigration_format`` is any installed Spark source and
+    ``immigration_options`` are its options (CSV has a header unless they say otherwise)."""
 
     immigration: str
     temperature: str
@@ -29,6 +32,7 @@ class Sources:
     country_lookup: str
     airport: str | None = None
     immigration_format: str = "parquet"
+    immigration_options: Mapping[str, object] = field(default_factory=dict)
 
 
 def build_warehouse(spark: SparkSession, sources: Sources, output_root: str, database: str,
@@ -36,7 +40,10 @@ def build_warehouse(spark: SparkSession, sources: Sources, output_root: str, dat
     """Run every job and load the warehouse; returns the per-table check report."""
     out = output_root.rstrip("/")
     raw = immigration.read_immigration(spark, sources.immigration, sources.immigration_format,
-                                       debug_size=debug_size)
+                                       debug_size=debug_size, **sources.immigration_options)
+    # A key that is there must not become null on its way into the fact.
+    raise_on_failure(cast_loss_report(raw, {c: immigration.IMMIGRATION_TYPES[c] for c in ("cicid", "i94yr", "i94mon")}),
+                     "Key conversion")
     immigration.process_immigration(raw, output_path=f"{out}/immigration.parquet",
                                     date_output_path=f"{out}/date.parquet")
     temps = landing.process_temperature(spark, sources.temperature, f"{out}/temperature.parquet")
@@ -50,4 +57,5 @@ def build_warehouse(spark: SparkSession, sources: Sources, output_root: str, dat
     # The fact keeps every delivered month (each load replaces only its own months), so the
     # date dimension is derived from the whole loaded fact, not from this delivery alone.
     tables["date"] = lambda: immigration.date_dimension(spark.table(f"`{database}`.`immigration`"))
-    return warehouse.warehouse_load(spark, database, f"{out}/warehouse", tables)
+    # The staged fact is already clustered by its partitions: no second shuffle of it.
+    return warehouse.warehouse_load(spark, database, f"{out}/warehouse", tables, rebalance=False)

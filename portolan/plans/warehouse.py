@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portolan import schemas
-from portolan.operators.quality import (raise_on_failure, row_count_report, sql_check_report,
-                                        table_counts)
+from portolan.operators.quality import DataQualityError, sql_check_report, table_counts
+from portolan.session import path_exists
 
 
 def _ddl_columns(schema) -> str:
@@ -30,6 +30,9 @@ def create_tables(spark: SparkSession, database: str, location: str,
 
     Keys are not declared (parquet tables refuse constraints); the quality checks
     verify them instead. Partitioned tables overwrite only the partitions written.
+    A session that meets the tables for the first time finds the partitions that earlier
+    sessions left at their location: they are recovered, since a new catalog entry
+    knows no partition.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{location}'")
     for name, schema in tables.items():
@@ -38,12 +41,17 @@ def create_tables(spark: SparkSession, database: str, location: str,
         if parts:
             clause = (f" OPTIONS ('partitionOverwriteMode' 'dynamic')"
                       f" PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})")
+        known = spark.catalog.tableExists(f"`{database}`.`{name}`")
         spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`{name}` ({_ddl_columns(schema)}) "
                   f"USING parquet{clause} LOCATION '{location}/{name}'")
+        if parts and not known and path_exists(spark, f"{location}/{name}"):
+            spark.sql(f"ALTER TABLE `{database}`.`{name}` RECOVER PARTITIONS")
 
 
-def load_table(df: DataFrame, table: str, overwrite: bool = True) -> None:
-    """Insert ``df`` into ``table``, columns matched by name and cast to the table's types."""
+def load_table(df: DataFrame, table: str, overwrite: bool = True, rebalance: bool = True) -> None:
+    """Insert ``df`` into ``table``, columns matched by name and cast to the table's types.
+    ``rebalance=False`` loads data that is already clustered by the table's partitions
+    (a staged, partitioned folder) without a shuffle."""
     target = df.sparkSession.table(table).schema
     missing = [f.name for f in target.fields if f.name not in df.columns]
     if missing:
@@ -51,7 +59,7 @@ def load_table(df: DataFrame, table: str, overwrite: bool = True) -> None:
     aligned = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in target.fields])
     partitions = df.sparkSession.catalog.listColumns(table) if "." in table else []
     parts = [c.name for c in partitions if c.isPartition]
-    if parts:
+    if parts and rebalance:
         aligned = aligned.hint("rebalance", *parts)
     aligned.write.insertInto(table, overwrite=overwrite)
 
@@ -67,7 +75,7 @@ def warehouse_load(spark: SparkSession, database: str, location: str,
                    keys: Mapping[str, str] = schemas.WAREHOUSE_KEYS,
                    order: Sequence[str] = tuple(schemas.WAREHOUSE_TABLES),
                    table_schemas: Mapping[str, object] = schemas.WAREHOUSE_SCHEMAS,
-                   parallel: bool = True) -> DataFrame:
+                   parallel: bool = True, rebalance: bool = True) -> DataFrame:
     """Create tables, load the fact, then the dimensions, then run the checks.
 
     The first table of ``order`` (the fact) is loaded alone; the others do not depend on
@@ -76,13 +84,16 @@ def warehouse_load(spark: SparkSession, database: str, location: str,
     (the date dimension) reads the loaded fact's columns instead of recomputing the fact.
 
     Raises :class:`DataQualityError` listing every failed check; otherwise returns the
-    per-table report (table, key, n_rows, null_keys) read from the loaded tables.
+    per-table report (table, key, n_rows, null_keys) read from the loaded tables. Rows
+    and null keys of a table come from one scan; the usual null-key statements
+    (``schemas.NULL_KEY_CHECKS``) are answered from it, other statements are run.
+    ``rebalance=False``: see :func:`load_table`.
     """
     create_tables(spark, database, location, table_schemas)
 
     def load(name: str) -> None:
         source = tables[name]
-        load_table(source() if callable(source) else source, f"`{database}`.`{name}`")
+        load_table(source() if callable(source) else source, f"`{database}`.`{name}`", rebalance=rebalance)
 
     names = [name for name in order if name in tables]
     if names:
@@ -95,12 +106,27 @@ def warehouse_load(spark: SparkSession, database: str, location: str,
     else:
         for name in rest:
             load(name)
-    previous = spark.catalog.currentDatabase()
-    spark.catalog.setCurrentDatabase(database)
-    try:
-        raise_on_failure(sql_check_report(spark, checks), "Data quality")
-        loaded = {name: spark.table(f"`{database}`.`{name}`") for name in order if name in tables}
-        raise_on_failure(row_count_report(loaded), "Row count")
-    finally:
-        spark.catalog.setCurrentDatabase(previous)
-    return table_counts({name: (df, keys[name]) for name, df in loaded.items()})
+    loaded = {name: spark.table(f"`{database}`.`{name}`") for name in order if name in tables}
+    counts = table_counts({name: (df, keys[name]) for name, df in loaded.items()})
+    rows = {r["table"]: r for r in counts.collect()}  # a row per table
+    failed, others = [], []
+    for check in checks:
+        answer = next((r["null_keys"] for name, r in rows.items()
+                       if check["check_sql"] == f"SELECT COUNT(*) FROM {name} WHERE {keys[name]} is null"), None)
+        if answer is None:
+            others.append(check)
+        elif answer != check["expected_result"]:
+            failed.append({**check, "result": answer})
+    if others:
+        previous = spark.catalog.currentDatabase()
+        spark.catalog.setCurrentDatabase(database)
+        try:
+            failed += [r.asDict() for r in sql_check_report(spark, others).where(~F.col("passed")).collect()]
+        finally:
+            spark.catalog.setCurrentDatabase(previous)
+    if failed:
+        raise DataQualityError(f"Data quality validation FAILED: {failed}")
+    empty = [name for name, r in rows.items() if r["n_rows"] < 1]
+    if empty:
+        raise DataQualityError(f"Row count validation FAILED, empty tables: {empty}")
+    return spark.createDataFrame([tuple(rows[name]) for name in loaded], counts.schema)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -22,15 +23,19 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str | None = "local[8]", app: str = "portolan",
-                  shuffle_partitions: int | None = 8, **extra: str) -> SparkSession:
+def build_session(master: str | None = None, app: str = "portolan",
+                  shuffle_partitions: int | None = None, hive: bool = False, **extra: str) -> SparkSession:
     """Create (or reuse) a session with the engine's defaults.
 
-    Under ``spark-submit`` pass ``master=None`` and ``shuffle_partitions=None`` so the
-    cluster's settings apply; size ``spark.sql.shuffle.partitions`` to the data (about
-    128-256 MB of shuffle data per partition), AQE coalesces what is too small.
+    ``master`` and ``shuffle_partitions`` are set only when given, so under ``spark-submit``
+    the cluster's settings apply; size ``spark.sql.shuffle.partitions`` to the data (about
+    128-256 MB of shuffle data per partition), AQE coalesces what is too small. ``hive``
+    keeps the catalog in the cluster's metastore; without it, tables are found again from
+    their location (``plans.warehouse.create_tables`` recovers their partitions).
     """
     builder = SparkSession.builder.appName(app)
+    if hive:
+        builder = builder.enableHiveSupport()
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
@@ -91,9 +96,35 @@ def checkpoint_root(spark: SparkSession) -> str:
     return _LOCAL_ROOTS[app]
 
 
+# Scratch folders of the applications of this process, deleted when it ends.
+_SCRATCH: set[str] = set()
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its (Hadoop) file system."""
+    jvm = spark.sparkContext._jvm
+    hadoop = jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def _delete_scratch(spark: SparkSession, folder: str) -> None:
+    """Delete an application's own scratch folder; a JVM that is gone has nothing left to ask."""
+    try:
+        jvm = spark.sparkContext._gateway.jvm
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
+    except Exception:  # noqa: BLE001 - the process is ending
+        pass
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/portolan/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder under the shared checkpoint root, in a folder of this
+    application that goes when its driver ends."""
+    folder = f"{checkpoint_root(spark)}/portolan/{app_id(spark)}"
+    if folder not in _SCRATCH:
+        _SCRATCH.add(folder)
+        atexit.register(_delete_scratch, spark, folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -42,6 +42,57 @@ def test_build_warehouse_end_to_end(spark, tmp_path):
     assert spark.table("wh_build.immigration").count() == 2
 
 
+def test_build_from_csv_arrivals(spark, tmp_path):
+    s = _write_sources(spark, tmp_path)
+    csv = scratch_path(spark, "csv-arrivals")
+    raw = spark.read.parquet(s.immigration)
+    raw.select(*reversed(raw.columns)).coalesce(1).write.option("header", True).csv(csv)
+    sources = Sources(**{**s.__dict__, "immigration": csv, "immigration_format": "csv"})
+    report = {r.table: r.n_rows for r in build_warehouse(spark, sources, scratch_path(spark, "b"), "wh_csv").collect()}
+    assert report["immigration"] == 2 and report["date"] == 3
+
+
+MONTH = """
+import sys
+sys.path.insert(0, {repo!r})
+from portolan.plans.build import Sources, build_warehouse
+from portolan.session import build_session
+from tests.test_jobs import _raw, _row
+spark = build_session("local[2]", shuffle_partitions=2, **{{"spark.checkpoint.dir": {ckpt!r}, "spark.sql.warehouse.dir": {ckpt!r}}})
+raw = {out!r} + "/raw-{month}"
+_raw(spark, [_row({month}.0, {day}, None, mon={month}.0)]).write.parquet(raw)
+sources = Sources(immigration=raw, temperature={tmp!r} + "/temps.csv", demographics={tmp!r} + "/demo.csv",
+                  state_lookup={tmp!r} + "/addr.csv", country_lookup={tmp!r} + "/cit.csv")
+build_warehouse(spark, sources, {out!r}, "wh_two")
+print("ROWS", sorted(r.cicid for r in spark.table("wh_two.immigration").collect()),
+      sorted(r.date for r in spark.table("wh_two.date").collect()))
+"""
+
+
+def test_two_sessions_accumulate_months(spark, tmp_path):
+    """April in one process, May in the next, same location: both months stay."""
+    import os
+    import subprocess
+    import sys
+    _write_sources(spark, tmp_path)
+    repo, said = os.path.dirname(os.path.dirname(os.path.abspath(__file__))), []
+    for month, day in ((4, "20545.0"), (5, "20576.0")):
+        code = MONTH.format(repo=repo, ckpt=str(tmp_path / "ck"), out=str(tmp_path / "out"), tmp=str(tmp_path), month=month, day=day)
+        run = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=tmp_path, timeout=300)
+        said.append([line for line in run.stdout.splitlines() if line.startswith("ROWS")] or run.stderr[-2000:])
+    assert said == [["ROWS [4] ['2016-04-01']"], ["ROWS [4, 5] ['2016-04-01', '2016-05-02']"]]
+
+
+def test_lost_keys_stop_the_build(spark, tmp_path):
+    import pytest
+    from portolan.operators import DataQualityError
+    s = _write_sources(spark, tmp_path)
+    bad = scratch_path(spark, "bad-arrivals")
+    _raw(spark, [_row(1e30, 20545.0, None)]).write.parquet(bad)
+    with pytest.raises(DataQualityError):
+        build_warehouse(spark, Sources(**{**s.__dict__, "immigration": bad}), scratch_path(spark, "b"), "wh_bad")
+
+
 def test_command_line_build(spark, tmp_path, capsys):
     from portolan.__main__ import main
     s = _write_sources(spark, tmp_path)

@@ -1,7 +1,6 @@
-"""Session utilities: the shared scratch folder, staging, spreading a single file."""
+"""Session utilities: the shared scratch folder, staging."""
 
 from portolan.session import checkpoint_root, scratch_path, stage
-from portolan.sources.io import spread_single_file
 
 
 def test_scratch_and_stage_live_under_the_checkpoint_folder(spark):
@@ -14,17 +13,6 @@ def test_scratch_and_stage_live_under_the_checkpoint_folder(spark):
     assert staged.count() == 5 and staged.inputFiles()[0].find(root.split(":")[-1]) >= 0
 
 
-def test_spread_only_single_files(spark):
-    one = scratch_path(spark, "one-file")
-    spark.range(1000).coalesce(1).write.parquet(one)
-    spread = spread_single_file(spark.read.parquet(one), "id")
-    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = scratch_path(spark, "many-files")
-    spark.range(1000).repartition(3).write.parquet(many)
-    df = spark.read.parquet(many)
-    assert spread_single_file(df, "id") is df
-
-
 class _Conf:
     def __init__(self, values):
         self.values = values

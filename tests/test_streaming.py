@@ -23,6 +23,20 @@ def test_new_delivery_is_ingested_once(spark):
     assert rows == {1: (4, 5), 2: (4, None), 3: (5, 3)}
 
 
+def test_default_call_redelivery_and_several_files(spark):
+    landing, fact = scratch_path(spark, "landing"), scratch_path(spark, "fact")
+    april = _raw(spark, [_row(float(i), 20545.0, 20550.0) for i in range(8)])
+    april.repartition(4).write.mode("append").parquet(landing)  # a month in several files
+    ingest_deliveries(spark, landing, fact, april.schema)
+    _raw(spark, [_row(9.0, 20577.0, None, mon=5.0)]).coalesce(1).write.mode("append").parquet(landing)
+    ingest_deliveries(spark, landing, fact, april.schema)  # no checkpoint given: the second run adds May
+    back = lambda: sorted(r.cicid for r in read_partitioned(spark, fact, schemas.IMMIGRATION_TABLE).collect())
+    assert back() == [*range(8), 9]
+    april.coalesce(1).write.mode("append").parquet(landing)  # April again: replaced, not doubled
+    ingest_deliveries(spark, landing, fact, april.schema)
+    assert back() == [*range(8), 9]
+
+
 def test_run_once_refuses_polling(spark):
     with pytest.raises(ValueError):
         ingest_deliveries(spark, "unused", "unused", schemas.IMMIGRATION_TABLE, every="1 minute")
