@@ -17,7 +17,6 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from portolan.functions.dates import date_to_day_number
 from portolan.session import app_id, scratch_path
-from portolan.sources.io import spread_single_file
 
 # Fixed values of the role views.
 RACE_VALUES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
@@ -37,14 +36,12 @@ VISITS_RAW_SCHEMA = StructType([
 _SCHEMAS: dict[str, StructType] = {}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
-    """A test table. ``spread_by`` spreads a single-file table over the cores, hashed on
-    that column (see ``spread_single_file``; a no-op for tables stored as many files)."""
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     if path not in _SCHEMAS:
         _SCHEMAS[path] = spark.read.parquet(path).schema
-    df = spark.read.schema(_SCHEMAS[path]).parquet(path)
-    return spread_single_file(df, spread_by) if spread_by else df
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 # visits_raw staged per (application, test folder): written once, then read like the
@@ -67,7 +64,7 @@ def visits_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def visits_raw_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The arrivals source as a view over lineitem, orders, customer, supplier, part."""
     t = lambda name: table(spark, sf_dir, name)
-    li, o, c, s, p = table(spark, sf_dir, "lineitem", spread_by="l_orderkey"), t("orders"), t("customer"), t("supplier"), t("part")
+    li, o, c, s, p = t("lineitem"), t("orders"), t("customer"), t("supplier"), t("part")
     rows = (li.join(o, li.l_orderkey == o.o_orderkey)
             .join(c, o.o_custkey == c.c_custkey)
             .join(s, li.l_suppkey == s.s_suppkey)
@@ -98,9 +95,7 @@ def visits_raw_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def temperature_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s, n = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
-    rows = s.join(n, s.s_nationkey == n.n_nationkey).where(F.col("n_regionkey") < 4)
-    return rows.select(
+    return table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("seq"),
         F.when(F.col("s_suppkey") % 10 == 0, F.lit(None).cast("string"))
         .otherwise(F.col("s_acctbal").cast("string")).alias("AverageTemperature"),
@@ -112,8 +107,7 @@ def temperature_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def demographics_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part")
-    return p.where(F.col("p_brand") != "Brand#9").select(
+    return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("seq"),
         F.col("p_name").alias("City"),
         F.concat(F.lit("State "), F.col("p_brand")).alias("State"),
@@ -129,7 +123,7 @@ def lookup_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     brands = table(spark, sf_dir, "part").select(
         F.col("p_brand").alias("Code"),
         F.upper(F.concat(F.lit("state-"), F.col("p_brand"))).alias("State")).distinct()
-    other = spark.range(1).select(F.lit("99").alias("Code"), F.lit("All Other Codes").alias("State"))
+    other = spark.sql("SELECT * FROM VALUES ('99', 'All Other Codes'), ('NO', 'no-one''s land') AS t(Code, State)")
     return brands.unionByName(other)
 
 
@@ -137,13 +131,13 @@ def lookup_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
     label = (F.when(F.col("n_nationkey") % 7 == 3, F.concat(F.lit(INVALID_PREFIX), F.col("n_name")))
              .otherwise(F.col("n_name")))
-    return n.select(F.col("n_nationkey").alias("Code"), label.alias("I94CTRY"))
+    extra = spark.sql("SELECT CAST(999 AS INT) AS Code, 'STATELESS' AS I94CTRY")
+    return n.select(F.col("n_nationkey").cast("int").alias("Code"), label.alias("I94CTRY")).unionByName(extra)
 
 
 def lookup_port(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(ID, Port) for every order priority but the last ('5-LOW' stays undecoded)."""
-    o = table(spark, sf_dir, "orders")
-    return (o.where(F.col("o_orderpriority") != "5-LOW")
-            .select(F.col("o_orderpriority").alias("ID"),
-                    F.concat(F.lit("PORT "), F.substring("o_orderpriority", 3, 100)).alias("Port"))
-            .distinct())
+    """(ID, Port) for every order priority; the entry of '5-LOW' is published under the code
+    '5-LO', so that code of the data stays undecoded."""
+    code = F.when(F.col("o_orderpriority") == "5-LOW", F.lit("5-LO")).otherwise(F.col("o_orderpriority"))
+    return table(spark, sf_dir, "orders").select(
+        code.alias("ID"), F.concat(F.lit("PORT "), F.substring("o_orderpriority", 3, 100)).alias("Port")).distinct()

@@ -1,16 +1,15 @@
 """DataFrame -> DataFrame building blocks."""
 
-from portolan.operators.aggregate import (first_values, mean_and_first, pivot_sum, sum_by,
-                                          two_level_mean)
-from portolan.operators.joins import (bounded_broadcast, broadcast_if, decode, fits, lookup_join,
-                                      unique_on)
-from portolan.operators.quality import (DataQualityError, duplicate_key_report, null_key_report,
-                                        orphan_report, raise_on_failure, row_count_report,
-                                        sql_check_report, table_counts)
+from portolan.operators.aggregate import (first_values, mean_and_first, pivot_loss_report, pivot_sum,
+                                          sum_by, two_level_mean)
+from portolan.operators.joins import decode, lookup_join, unique_on
+from portolan.operators.quality import (DataQualityError, cast_loss_report, duplicate_key_report,
+                                        null_key_report, orphan_report, raise_on_failure,
+                                        row_count_report, sql_check_report, table_counts)
 
 __all__ = [
-    "DataQualityError", "bounded_broadcast", "broadcast_if", "decode", "fits", "duplicate_key_report", "first_values",
-    "lookup_join", "mean_and_first", "null_key_report", "orphan_report", "pivot_sum",
+    "DataQualityError", "cast_loss_report", "decode", "duplicate_key_report", "first_values",
+    "lookup_join", "mean_and_first", "null_key_report", "orphan_report", "pivot_loss_report", "pivot_sum",
     "raise_on_failure", "row_count_report", "sql_check_report", "sum_by", "table_counts",
     "two_level_mean", "unique_on",
 ]

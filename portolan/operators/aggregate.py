@@ -21,14 +21,16 @@ def first_value_columns(attributes: Mapping[str, str], order_by: Column | None =
                         ignore_nulls: bool = False) -> tuple[list[Column], list[Column]]:
     """Aggregate expressions for "the first row's values" and the projection that unpacks them.
 
-    ``order_by`` fixes which row is first (smallest value first). Without it the row with
-    the smallest hash of its attribute values is taken, which is just as deterministic.
+    ``order_by`` fixes which row is first (smallest value first). Without it the rows are
+    ordered by the attributes themselves, one after the other, null before any value: a
+    total order, so rows that tie hold the same values and the result never follows the
+    input order.
     Every attribute is a ``min_by`` on the same ordering, so all values come from one
-    row; numeric attributes keep fixed-width buffers and the aggregation stays
+    row; with a numeric order, numeric attributes keep fixed-width buffers and the aggregation stays
     hash-based. With ``ignore_nulls`` each attribute takes its first non-null value.
     """
     names = list(attributes)
-    order = order_by if order_by is not None else F.xxhash64(*[_c(n) for n in names])
+    order = order_by if order_by is not None else F.struct(*[_c(n) for n in names])
     if ignore_nulls:
         aggs = [F.min_by(_c(n), F.when(_c(n).isNotNull(), order)).alias(attributes[n]) for n in names]
     else:
@@ -60,6 +62,20 @@ def pivot_sum(df: DataFrame, keys: Sequence[str], pivot: str, values: Mapping[ob
     return df.groupBy(*[_c(k) for k in keys]).agg(*pivot_sum_columns(pivot, values, measure, fill))
 
 
+def pivot_loss_report(df: DataFrame, pivot: str, values: Mapping[object, str], measure: str) -> DataFrame:
+    """One row (measure_total, pivot_total, lost_values, passed): what a pivot on a fixed list of
+    ``values`` leaves out. It passes when the measure's total over all rows is that over the
+    listed values; ``lost_values`` names up to ten of the others."""
+    listed = F.coalesce(_c(pivot).isin(list(values)), F.lit(False))
+    per_value = df.groupBy(_c(pivot).cast("string").alias("value"), listed.alias("listed")).agg(F.sum(_c(measure)).alias("total"))
+    other = F.when(~F.col("listed") & F.col("total").isNotNull(), F.coalesce("value", F.lit("null")))
+    return per_value.agg(
+        F.coalesce(F.sum("total"), F.lit(0)).alias("measure_total"),
+        F.coalesce(F.sum(F.when(F.col("listed"), F.col("total"))), F.lit(0)).alias("pivot_total"),
+        F.array_join(F.slice(F.sort_array(F.collect_set(other)), 1, 10), ", ").alias("lost_values"),
+    ).withColumn("passed", F.col("lost_values") == "")
+
+
 def sum_by(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """``sum`` of each column per key, named like the column (no ``sum(...)`` names)."""
     return df.groupBy(*[_c(k) for k in keys]).agg(*[F.sum(_c(c)).alias(c) for c in columns])

@@ -2,9 +2,9 @@
 
 Left joins keep every fact row; the lookup side is projected to its key and labels
 first. Which side is broadcast is the planner's decision, from measured sizes
-(``spark.sql.autoBroadcastJoinThreshold``, AQE at runtime). ``bounded_broadcast`` is
-for a side whose plan statistics are unreliable (a lazily aggregated frame): it
-counts at most ``max_rows + 1`` rows and hints a broadcast only within the bound.
+(``spark.sql.autoBroadcastJoinThreshold``, AQE at runtime). A side whose plan statistics
+are unreliable (a lazily aggregated frame) is staged first (``portolan.session.stage``),
+which gives it a size in bytes; beyond the threshold the join is a sort-merge join.
 """
 
 from __future__ import annotations
@@ -14,25 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound on rows of a side we are willing to broadcast to every executor.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most ``max_rows + 1``)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
-    """Hint a broadcast of ``df`` when its size was shown to be bounded."""
-    return F.broadcast(df) if small else df
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df`` unchanged."""
-    return broadcast_if(df, fits(df, max_rows))
-
-
 def unique_on(df: DataFrame, key: str) -> DataFrame:
     """One row per key (the smallest row), so a left join cannot fan out."""
     others = [c for c in df.columns if c != key]

@@ -8,11 +8,14 @@ union of one-row frames. Only the report (one row per check) ever reaches the dr
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from portolan.functions.columns import lenient_cast
 
 
 class DataQualityError(ValueError):
@@ -23,21 +26,48 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def _equals(result: Column, kind: T.DataType, expected: object) -> Column:
+    """The result compared with the expected value as given: numbers as numbers (0.5 is not 0, 2.0
+    is 2), text as text, null only with None; values of different kinds differ."""
+    if expected is None:
+        return result.isNull()
+    if isinstance(expected, bool) or isinstance(kind, T.BooleanType):
+        same = isinstance(expected, bool) and isinstance(kind, T.BooleanType)
+    elif isinstance(expected, (int, float, Decimal)):
+        same = isinstance(kind, T.NumericType)
+    else:
+        same = isinstance(kind, T.StringType) == isinstance(expected, str)
+    return F.coalesce(result == F.lit(expected), F.lit(False)) if same else F.lit(False)
+
+
 def sql_check_report(spark: SparkSession, checks: Sequence[Mapping[str, object]]) -> DataFrame:
-    """``[{check_sql, expected_result}]`` -> (check_sql, result, expected, passed).
+    """``[{check_sql, expected_result}]`` -> (check_sql, result, expected, passed), values as text.
 
-    The result of a check is the first column of its first row, as in a scalar query.
+    The result of a check is the first column of its first row, as in a scalar query. A
+    check without a row fails (its result is null and so is any other missing value).
     """
     rows = []
     for check in checks:
         sql, expected = str(check["check_sql"]), check["expected_result"]
         result = spark.sql(sql)
-        first = result.select(result.columns[0]).limit(1)
-        rows.append(first.select(F.lit(sql).alias("check_sql"),
-                                 F.col(result.columns[0]).cast("bigint").alias("result"),
-                                 F.lit(expected).cast("bigint").alias("expected")))
-    report = _union(rows)
-    return report.withColumn("passed", F.coalesce(F.col("result") == F.col("expected"), F.lit(False)))
+        kind = result.schema.fields[0].dataType
+        named = result.toDF(*[f"c{i}" for i in range(len(result.columns))]).select("c0").limit(1)
+        # A global aggregate always has its one row, also over no rows.
+        rows.append(named.agg(F.count(F.lit(1)).alias("n"), F.first("c0").alias("value"))
+                    .select(F.lit(sql).alias("check_sql"), F.col("value").cast("string").alias("result"),
+                            F.lit(None if expected is None else str(expected)).cast("string").alias("expected"),
+                            ((F.col("n") > 0) & _equals(F.col("value"), kind, expected)).alias("passed")))
+    return _union(rows)
+
+
+def cast_loss_report(df: DataFrame, types: Mapping[str, T.DataType | str]) -> DataFrame:
+    """(column, lost, passed): values that are there but become null when the named columns
+    are cast, e.g. a key beyond an integer's range. One scan for all columns."""
+    current = {f.name: f.dataType for f in df.schema.fields}
+    used = [c for c in types if c in current]
+    lost = df.agg(*[F.count_if(F.col(f"`{c}`").isNotNull() & lenient_cast(F.col(f"`{c}`"), current[c], types[c]).isNull())
+                    .alias(c) for c in used])
+    return lost.unpivot([], used, "column", "lost").withColumn("passed", F.col("lost") == 0)
 
 
 def table_counts(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
@@ -76,22 +106,20 @@ def duplicate_key_report(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFra
     return _union(frames)
 
 
-def orphan_report(fact: DataFrame, relations: Sequence[tuple[str, str, DataFrame, str]],
-                  broadcast_keys: bool = False) -> DataFrame:
+def orphan_report(fact: DataFrame, relations: Sequence[tuple[str, str, DataFrame, str]]) -> DataFrame:
     """(relationship, orphans): non-null foreign keys of ``fact`` without a dimension row.
 
     ``relations`` = [(name, fact column, dimension, dimension key)]. The fact is read
     once: every dimension's key set is left-joined and one aggregation counts the misses
-    of all relationships, instead of one anti-join scan per relationship. The key sets
-    are broadcast by the planner when the dimensions are small tables, or by hint with
-    ``broadcast_keys`` when the caller has checked their size.
+    of all relationships, instead of one anti-join scan per relationship. Pass dimensions
+    as tables (the warehouse, or ``portolan.session.stage``): the planner then knows
+    their size, broadcasts small key sets and joins large ones by sort-merge.
     """
     used = sorted({col for _, col, _, _ in relations})
     joined = fact.select(*[F.col(f"`{c}`") for c in used])
     misses = []
     for i, (name, col, dim, key) in enumerate(relations):
         keys = dim.select(F.col(f"`{key}`").alias(f"_k{i}")).distinct()
-        keys = F.broadcast(keys) if broadcast_keys else keys
         joined = joined.join(keys, joined[col] == keys[f"_k{i}"], "left")
         misses.append(F.count_if(F.col(f"`{col}`").isNotNull() & F.col(f"_k{i}").isNull()).alias(name))
     wide = joined.agg(*misses)

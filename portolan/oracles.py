@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from portolan import fixtures as fx
 from portolan import schemas
+from portolan.checks import SQL_CHECKS
 
 RACES = fx.RACE_VALUES
 STATE_COLUMNS = ["TotalPopulation", *RACES]
@@ -68,21 +69,21 @@ VIEWS: dict[str, tuple[list[str], str]] = {
     s_name AS City, concat('Nation_', CAST(s_nationkey AS VARCHAR)) AS Country,
     concat(CAST(s_suppkey % 90 AS VARCHAR), 'N') AS Latitude,
     concat(CAST(s_suppkey % 180 AS VARCHAR), 'E') AS Longitude
-  FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_regionkey < 4"""),
+  FROM supplier"""),
     "demographics_raw": ([], """
   SELECT p_partkey AS seq, p_name AS City, concat('State ', p_brand) AS State, p_brand AS State_Code,
     p_type AS Race, p_size AS Count_, CAST(floor(p_retailprice) AS INTEGER) AS Total_Population,
     p_retailprice AS Median_Age
-  FROM part WHERE p_brand <> 'Brand#9'"""),
+  FROM part"""),
     "lookup_state": ([], """
   SELECT DISTINCT p_brand AS Code, upper(concat('state-', p_brand)) AS State FROM part
-  UNION ALL SELECT '99', 'All Other Codes'"""),
+  UNION ALL SELECT '99', 'All Other Codes' UNION ALL SELECT 'NO', 'no-one''s land'"""),
     "lookup_country": ([], """
-  SELECT n_nationkey AS Code,
+  SELECT CAST(n_nationkey AS INTEGER) AS Code,
     CASE WHEN n_nationkey % 7 = 3 THEN concat('INVALID: ', n_name) ELSE n_name END AS I94CTRY
-  FROM nation"""),
+  FROM nation UNION ALL SELECT 999, 'STATELESS'"""),
     "fact": (["visits_raw"], f"""
-  SELECT i94addr, {_int('i94mon')} AS i94mon, {_int('cicid')} AS cicid, {_int('i94visa')} AS i94visa,
+  SELECT i94addr, {_int('i94mon')} AS i94mon, CAST(trunc(cicid) AS BIGINT) AS cicid, {_int('i94visa')} AS i94visa,
     {_int('i94res')} AS i94res, {_iso('arrdate')} AS arrdate, {_int('i94yr')} AS i94yr,
     {_iso('depdate')} AS depdate, airline, fltno, {_int('i94mode')} AS i94mode, i94port, visatype, gender,
     {_int('i94cit')} AS i94cit, {_int('i94bir')} AS i94bir,
@@ -179,8 +180,11 @@ FROM (SELECT page_id, unnest(ms) AS m, unnest(range(len(ms))) AS pos
       FROM (SELECT page_id, regexp_extract_all(html, '{pattern}', 0) AS ms FROM pages) a) b"""
     o["label_text_lookups"] = ("SELECT concat('brand_', replace(p_brand, '#', '_')) AS section, "
                                "CAST(p_partkey AS VARCHAR) AS code, p_name AS label FROM part")
+    o["label_text_sections"] = ("SELECT concat('brand_', replace(p_brand, '#', '_')) AS section, "
+                                "CAST(p_partkey AS VARCHAR) || ' ' AS code, rtrim(p_name) AS label FROM part")
     o["convert_types"] = with_views(
-        "SELECT " + ", ".join(f"{_int(c)} AS {c}" if c in INTEGER_CAST_COLUMNS else c for c in RAW_COLUMNS)
+        "SELECT " + ", ".join("CAST(trunc(cicid) AS BIGINT) AS cicid" if c == "cicid" else
+                              f"{_int(c)} AS {c}" if c in INTEGER_CAST_COLUMNS else c for c in RAW_COLUMNS)
         + " FROM visits_raw", "visits_raw")
     o["drop_columns"] = with_views(
         "SELECT " + ", ".join(c for c in RAW_COLUMNS if c not in ("i94yr", "i94mon")) + " FROM visits_raw",
@@ -210,6 +214,11 @@ FROM (SELECT page_id, unnest(ms) AS m, unnest(range(len(ms))) AS pos
         "SELECT City, State, State_Code, min_by(Total_Population, seq) AS TotalPopulation, "
         "min_by(Median_Age, seq) AS MedianAge FROM demographics_raw GROUP BY City, State, State_Code",
         "demographics_raw")
+    o["first_values_default"] = """
+SELECT p_brand, type AS first_type, size AS first_size, price AS first_price FROM (
+  SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY type NULLS FIRST, size NULLS FIRST, price NULLS FIRST) AS rn
+  FROM (SELECT p_brand, CASE WHEN p_partkey % 3 <> 0 THEN p_size END AS size,
+          CASE WHEN p_partkey % 2 <> 0 THEN p_type END AS type, p_retailprice AS price FROM part) r) o WHERE rn = 1"""
     o["race_pivot"] = with_views(
         "SELECT City, State, State_Code, "
         + ", ".join(f"CAST(sum(CASE WHEN Race = '{r}' THEN Count_ END) AS BIGINT) AS {r}" for r in RACES)
@@ -251,6 +260,22 @@ FROM (SELECT page_id, unnest(ms) AS m, unnest(range(len(ms))) AS pos
         f"SELECT '{name}' AS relationship, count(*) AS orphans FROM fact f "
         f"WHERE f.{col} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {dim} d WHERE d.{key} = f.{col})"
         for name, col, dim, key in relations), "fact", "country", "states", "date_dim")
+    def check(sql: str, expected: object, passed: str) -> str:
+        # The first value of the statement and whether it has a row, by position.
+        value = f"(SELECT x FROM ({sql}) t(x) LIMIT 1)" if "half" not in sql else f"(SELECT x FROM ({sql}) t(x, y) LIMIT 1)"
+        there = f"(SELECT count(*) > 0 FROM ({sql}) t)"
+        shown = "CAST(NULL AS VARCHAR)" if expected is None else _q(expected)
+        return (f"SELECT {_q(sql)} AS check_sql, CAST({value} AS VARCHAR) AS result, {shown} AS expected, "
+                f"{there} AND coalesce({passed.format(v=value)}, false) AS passed")
+
+    o["dq_sql_checks"] = " UNION ALL ".join(
+        check(sql, expected, "{v} IS NULL" if expected is None else "false" if "p_type" in sql else "{v} = "
+              + (_q(expected) if isinstance(expected, str) else str(expected))) for sql, expected in SQL_CHECKS)
+    loss = {"big": "abs(cicid * 100000) >= 2147483648", "visatype": "visatype IS NOT NULL"}
+    counted = [*(c for c in schemas.IMMIGRATION_INTEGER_COLUMNS if c in RAW_COLUMNS), "big", "fltno", "visatype"]
+    o["dq_cast_loss"] = with_views(" UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count_if({loss.get(c, 'false')}) AS lost, "
+        f"count_if({loss.get(c, 'false')}) = 0 AS passed FROM visits_raw" for c in counted), "visits_raw")
     o["warehouse_load"] = with_views(" UNION ALL ".join(
         f"SELECT '{t}' AS \"table\", '{k.strip(chr(34))}' AS key, count(*) AS n_rows, "
         f"count_if({k} IS NULL) AS null_keys FROM {v}" for t, v, k in dq),
@@ -259,13 +284,11 @@ FROM (SELECT page_id, unnest(ms) AS m, unnest(range(len(ms))) AS pos
     o["star_join"] = with_views(
         "SELECT f.cicid, f.i94cit, b.Country AS born_country, f.i94res, h.Country AS residence_country, "
         "round(h.Temperature, 4) AS residence_temperature, f.i94addr, s.State AS state, f.arrdate, "
-        "CAST(year(CAST(f.arrdate AS DATE)) AS INTEGER) AS arrival_year, "
-        "CAST(month(CAST(f.arrdate AS DATE)) AS INTEGER) AS arrival_month, "
-        "CAST(dayofweek(CAST(f.arrdate AS DATE)) + 1 AS INTEGER) AS arrival_dayofweek, f.depdate, "
-        "CAST(year(CAST(f.depdate AS DATE)) AS INTEGER) AS departure_year, "
-        "CAST(month(CAST(f.depdate AS DATE)) AS INTEGER) AS departure_month, f.stay "
+        "a.\"year\" AS arrival_year, a.\"month\" AS arrival_month, a.dayofweek AS arrival_dayofweek, f.depdate, "
+        "e.\"year\" AS departure_year, e.\"month\" AS departure_month, f.stay "
         "FROM fact f LEFT JOIN country b ON f.i94cit = b.Code LEFT JOIN country h ON f.i94res = h.Code "
-        "LEFT JOIN states s ON f.i94addr = s.Code", "fact", "country", "states")
+        "LEFT JOIN states s ON f.i94addr = s.Code LEFT JOIN date_dim a ON f.arrdate = a.\"date\" "
+        "LEFT JOIN date_dim e ON f.depdate = e.\"date\"", "fact", "country", "states", "date_dim")
     o["decode_codes"] = with_views(
         "SELECT f.cicid, f.i94mode, f.i94visa, f.i94port, m.Mode AS mode, v.Type AS visa_type, p.Port AS port "
         "FROM fact f "
@@ -273,8 +296,8 @@ FROM (SELECT page_id, unnest(ms) AS m, unnest(range(len(ms))) AS pos
         + ") m(ID, Mode) ON f.i94mode = m.ID "
         "LEFT JOIN (VALUES " + ", ".join(f"({i}, {_q(label)})" for i, label in schemas.VISA_LABELS)
         + ") v(ID, Type) ON f.i94visa = v.ID "
-        "LEFT JOIN (SELECT DISTINCT o_orderpriority AS ID, concat('PORT ', substr(o_orderpriority, 3)) AS Port "
-        "FROM orders WHERE o_orderpriority <> '5-LOW') p ON f.i94port = p.ID", "fact")
+        "LEFT JOIN (SELECT DISTINCT CASE o_orderpriority WHEN '5-LOW' THEN '5-LO' ELSE o_orderpriority END AS ID, "
+        "concat('PORT ', substr(o_orderpriority, 3)) AS Port FROM orders) p ON f.i94port = p.ID", "fact")
     o["normalize_state_codes"] = with_views(
         "SELECT coalesce(s.Code, '99') AS i94addr, count(*) AS visitors FROM fact f "
         "LEFT JOIN (SELECT DISTINCT Code FROM states) s ON f.i94addr = s.Code GROUP BY 1", "fact", "states")
@@ -284,6 +307,12 @@ FROM (SELECT page_id, unnest(ms) AS m, unnest(range(len(ms))) AS pos
     o["visitors_by_nationality"] = with_views(
         "SELECT c.Country, count(*) AS visitors FROM fact f LEFT JOIN country c ON f.i94cit = c.Code "
         "GROUP BY c.Country", "fact", "country")
+    share = ", ".join(f"round(CAST(count_if(gender = '{g}') AS DOUBLE) / nullif(count(gender), 0), 4) AS share_{g}" for g in "ANR")
+    o["visitor_demographics"] = with_views(
+        f"SELECT v.i94addr, s.State AS state, s.TotalPopulation AS population, visitors, avg_age, share_A, share_N, share_R, "
+        f"round(visitors * 1000.0::DOUBLE / nullif(s.TotalPopulation, 0), 4) AS visitors_per_1000 FROM "
+        f"(SELECT i94addr, count(*) AS visitors, round(avg(i94bir), 4) AS avg_age, {share} FROM fact GROUP BY i94addr) v "
+        f"LEFT JOIN states s ON v.i94addr = s.Code", "fact", "states")
     o["visitors_by_airline"] = with_views(
         "SELECT airline, count(*) AS visitors FROM fact GROUP BY airline", "fact")
     o["visitors_by_origin"] = with_views(

@@ -11,8 +11,8 @@ Two plan shapes, both without shuffling the fact:
   (partial aggregation, at most one row per code per task), and only that small
   result is joined to the dimension and re-aggregated by the attribute.
 
-The date dimension is a pure function of its key and holds every fact date, so its
-"join" is the same calendar expressions applied to the fact's date (no scan, no join).
+The date dimension plays two roles in the star join, arrival and departure; one row per
+day, it is broadcast like the other dimensions.
 """
 
 from __future__ import annotations
@@ -23,37 +23,36 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from portolan import schemas
-from portolan.functions.dates import date_parts, iso_date
-from portolan.operators.joins import broadcast_if, decode
+from portolan.operators.joins import decode
 
 
-def star_join(fact: DataFrame, country: DataFrame, states: DataFrame, broadcast_dims: bool = False) -> DataFrame:
+def star_join(fact: DataFrame, country: DataFrame, states: DataFrame, date: DataFrame) -> DataFrame:
     """Fact rows with country of birth and residence, state name and calendar parts of the
     arrival and departure days.
 
-    ``broadcast_dims`` hints broadcasts for dimensions the caller has shown to be small
-    (e.g. built from lookups of checked size: each dimension has one row per lookup
-    row); otherwise the planner decides from the dimensions' statistics.
+    Pass the dimensions as tables (the warehouse, or ``portolan.session.stage``): the
+    planner reads their size and broadcasts them, or joins by sort-merge beyond
+    ``spark.sql.autoBroadcastJoinThreshold``. Country and date serve two roles each.
     """
-    # One projection of the country dimension serves both roles (birth, residence): the
-    # two joins get identical build sides, so Spark builds and broadcasts it once.
-    places = broadcast_if(country.select("Code", "Country", "Temperature"), broadcast_dims)
-    names = broadcast_if(states.select("Code", "State"), broadcast_dims)
+    places = country.select("Code", "Country", "Temperature")
+    names = states.select("Code", "State")
+    days = date.select("date", "year", "month", "dayofweek")
     joined = (fact.alias("f")
               .join(places.alias("born"), F.col("f.i94cit") == F.col("born.Code"), "left")
               .join(places.alias("home"), F.col("f.i94res") == F.col("home.Code"), "left")
               .join(names.alias("st"), F.col("f.i94addr") == F.col("st.Code"), "left")
+              .join(days.alias("arr"), F.col("f.arrdate") == F.col("arr.date"), "left")
+              .join(days.alias("dep"), F.col("f.depdate") == F.col("dep.date"), "left")
               .select("f.*", F.col("born.Country").alias("born_country"),
                       F.col("home.Country").alias("residence_country"),
-                      F.col("home.Temperature").alias("residence_temperature"), F.col("st.State").alias("state")))
-    arrival, departure = date_parts(iso_date(F.col("arrdate"))), date_parts(iso_date(F.col("depdate")))
+                      F.col("home.Temperature").alias("residence_temperature"), F.col("st.State").alias("state"),
+                      F.col("arr.year").alias("arrival_year"), F.col("arr.month").alias("arrival_month"),
+                      F.col("arr.dayofweek").alias("arrival_dayofweek"),
+                      F.col("dep.year").alias("departure_year"), F.col("dep.month").alias("departure_month")))
     return joined.select(
         "cicid", "i94cit", "born_country", "i94res", "residence_country", "residence_temperature",
-        "i94addr", "state", "arrdate",
-        arrival["year"].alias("arrival_year"), arrival["month"].alias("arrival_month"),
-        arrival["dayofweek"].alias("arrival_dayofweek"),
-        "depdate", departure["year"].alias("departure_year"), departure["month"].alias("departure_month"),
-        "stay")
+        "i94addr", "state", "arrdate", "arrival_year", "arrival_month", "arrival_dayofweek",
+        "depdate", "departure_year", "departure_month", "stay")
 
 
 def decode_codes(fact: DataFrame, lookups: Sequence[tuple[str, DataFrame, str, str, str]],
@@ -92,6 +91,20 @@ def average_stay(fact: DataFrame, by: str = "i94addr") -> DataFrame:
     return fact.groupBy(by).agg(F.avg("stay").alias("avg_stay"), F.count("stay").alias("n_stays"))
 
 
+def visitor_demographics(fact: DataFrame, states: DataFrame, genders: Sequence[str] = ("F", "M"),
+                         dest: str = "i94addr", age: str = "i94bir") -> DataFrame:
+    """Per destination state: its name and population, visitors, their mean age, the share of each
+    of ``genders`` among those whose gender is known, and visitors per 1,000 inhabitants.
+    Visitors without a listed state count under a null name."""
+    share = [(F.count_if(F.col("gender") == g) / F.nullif(F.count("gender"), F.lit(0))).alias(f"share_{g}") for g in genders]
+    per_state = fact.groupBy(dest).agg(F.count(F.lit(1)).alias("visitors"), F.avg(age).alias("avg_age"), *share)
+    names = states.select(F.col("Code").alias("_code"), "State", "TotalPopulation")
+    joined = per_state.join(names, per_state[dest] == names["_code"], "left")
+    return joined.select(dest, F.col("State").alias("state"), F.col("TotalPopulation").alias("population"), "visitors", "avg_age",
+                         *[f"share_{g}" for g in genders],
+                         (F.col("visitors") * 1000.0 / F.nullif("TotalPopulation", F.lit(0))).alias("visitors_per_1000"))
+
+
 def destination_source_lift(fact: DataFrame, dest: str = "i94addr", src: str = "i94res") -> DataFrame:
     """(dest, src, visitors, lift) with lift = n * N / (n_dest * n_src): how much more often a
     destination is chosen by a source than if the two were independent (1 = independent)."""

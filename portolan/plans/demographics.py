@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from portolan import schemas
 from portolan.functions.columns import convert_types, fill_zero
 from portolan.functions.text import title_case
-from portolan.operators.aggregate import first_value_columns, pivot_sum_columns
+from portolan.operators.aggregate import first_value_columns, pivot_loss_report, pivot_sum_columns
+from portolan.operators.quality import raise_on_failure
 from portolan.sources.io import load_data, save_data
 
 
@@ -81,8 +82,10 @@ def states_dimension(lookup: DataFrame, rollup: DataFrame, code: str = "Code", l
 
 def process_demographics(spark: SparkSession, input_path: str, output_path: str | None = None,
                          partition_by: Sequence[str] | None = None, sep: str = ";") -> DataFrame:
-    """Read, build city demographics, optionally save."""
-    cities = city_demographics(read_demographics(spark, input_path, sep=sep))
+    """Read, check that the pivot leaves no count out, build city demographics, optionally save."""
+    raw = read_demographics(spark, input_path, sep=sep)
+    raise_on_failure(pivot_loss_report(raw, "Race", schemas.RACES, "Count"), "Race pivot")
+    cities = city_demographics(raw)
     if output_path is not None:
         save_data(cities, output_path, partition_by=list(partition_by or []))
     return cities

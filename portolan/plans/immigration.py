@@ -4,9 +4,9 @@ Fact: project the read columns, cast them leniently to integers, compute the sta
 days from the day numbers, turn the day numbers into ISO dates, drop unused columns.
 Only projections: no shuffle, one pass, whole-stage code generation end to end.
 
-Date dimension: every distinct arrival or departure day, one scan and one
-aggregation (``explode(array(arr, dep))`` + ``distinct``); partial aggregation keeps
-the shuffle at one row per day per task however hot a day is.
+Date dimension: every distinct arrival or departure day, one scan (``explode(array(arr,
+dep))`` + ``distinct`` before any parsing); partial aggregation keeps the shuffle at
+one row per day per task however hot a day is.
 """
 
 from __future__ import annotations
@@ -18,15 +18,25 @@ from pyspark.sql import functions as F
 
 from portolan import schemas
 from portolan.functions.columns import convert_types, drop_columns
-from portolan.functions.dates import convert_day_numbers, date_parts, iso_date
+from portolan.functions.dates import convert_day_numbers, date_parts, day_number_to_date, iso_date
 from portolan.sources.io import load_data, save_data
 
 
+# The integer types of the fact: bigint for keys that grow with the data, int for codes and days.
+IMMIGRATION_TYPES = {c: "bigint" if c in schemas.IMMIGRATION_LONG_COLUMNS else "int"
+                     for c in schemas.IMMIGRATION_INTEGER_COLUMNS}
+
+
 def read_immigration(spark: SparkSession, path: str, format: str = "parquet",
                      columns: Sequence[str] = tuple(schemas.IMMIGRATION_READ_COLUMNS),
                      debug_size: int | None = None, order_by: str | None = None, **options: object) -> DataFrame:
     """The arrivals source in any installed format, projected to the columns the fact
-    reads (``debug_size`` keeps only that many rows, the first ones by ``order_by``)."""
+    reads (``debug_size`` keeps only the first rows by ``order_by``, by default the key). CSV
+    has a header unless ``header`` says otherwise."""
+    if format == "csv":
+        options.setdefault("header", True)
+    if debug_size is not None and order_by is None:
+        order_by = "cicid"
     return load_data(spark, path, format, list(columns), debug_size, order_by=order_by, **options)
 
 
@@ -34,7 +44,7 @@ def immigration_facts(raw: DataFrame, columns: Sequence[str] = schemas.IMMIGRATI
     """Raw arrival records -> fact rows (lazy)."""
     present = [c for c in columns if c in raw.columns]
     df = raw.select(*present)
-    df = convert_types(df, {c: "int" for c in schemas.IMMIGRATION_INTEGER_COLUMNS})
+    df = convert_types(df, IMMIGRATION_TYPES)
     if "arrdate" in df.columns and "depdate" in df.columns:
         # Signed days from arrival to departure; null when either day is unknown.
         df = df.withColumn("stay", (F.col("depdate") - F.col("arrdate")).cast("int"))
@@ -44,10 +54,24 @@ def immigration_facts(raw: DataFrame, columns: Sequence[str] = schemas.IMMIGRATI
 
 def date_dimension(facts: DataFrame, columns: Sequence[str] = tuple(schemas.IMMIGRATION_DATE_COLUMNS)) -> DataFrame:
     """(date, year, month, day, weekofyear, dayofweek) for every distinct non-null day of
-    the ISO-date ``columns`` of ``facts``; ``date`` is unique."""
-    days = (facts.select(F.explode(F.array(*[iso_date(F.col(c)) for c in columns])).alias("day_"))
-            .where(F.col("day_").isNotNull())
-            .distinct())
+    the ISO-date ``columns`` of ``facts``; ``date`` is unique.
+
+    Texts are made distinct first, in the scan's tasks, and only the few distinct ones
+    are parsed. For raw records use :func:`date_dimension_of_days`, which works on numbers.
+    """
+    texts = facts.select(F.explode(F.array(*[F.col(c) for c in columns])).alias("text_")).distinct()
+    return _calendar(texts.select(iso_date(F.col("text_")).alias("day_")))
+
+
+def date_dimension_of_days(raw: DataFrame, columns: Sequence[str] = tuple(schemas.IMMIGRATION_DATE_COLUMNS)) -> DataFrame:
+    """The same from raw records' day numbers: distinct integers, then dates."""
+    days = convert_types(raw.select(*columns), {c: "int" for c in columns})
+    numbers = days.select(F.explode(F.array(*[F.col(c) for c in columns])).alias("number_")).distinct()
+    return _calendar(numbers.select(day_number_to_date(F.col("number_")).alias("day_")))
+
+
+def _calendar(days: DataFrame) -> DataFrame:
+    days = days.where(F.col("day_").isNotNull()).distinct()
     parts = date_parts(F.col("day_"))
     return days.select(F.col("day_").cast("string").alias("date"), *[v.alias(k) for k, v in parts.items()])
 
@@ -69,8 +93,9 @@ def process_immigration(raw: DataFrame, output_path: str | None = None, date_out
         save_data(facts, output_path, columns=saved_columns, partition_by=list(partition_by or []),
                   max_records_per_file=max_records_per_file, rebalance=rebalance)
     if date_output_path is not None:
-        source = facts
         if output_path is not None and saved_columns == "*":
-            source = facts.sparkSession.read.parquet(output_path)
-        save_data(date_dimension(source), date_output_path)
+            dates = date_dimension(facts.sparkSession.read.parquet(output_path))
+        else:
+            dates = date_dimension_of_days(raw)
+        save_data(dates, date_output_path)
     return facts

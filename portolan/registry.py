@@ -16,13 +16,13 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from portolan import fixtures as fx
 from portolan import schemas
+from portolan.checks import SQL_CHECKS
 from portolan.functions.columns import convert_types, drop_columns, refactor_values, rename_columns
 from portolan.functions.dates import convert_day_numbers, date_difference
 from portolan.functions.text import title_case
 from portolan.operators.aggregate import first_values, pivot_sum
-from portolan.operators.joins import bounded_broadcast, fits
-from portolan.operators.quality import (duplicate_key_report, null_key_report, orphan_report,
-                                        row_count_report)
+from portolan.operators.quality import (cast_loss_report, duplicate_key_report, null_key_report, orphan_report,
+                                        row_count_report, sql_check_report)
 from portolan.plans import analytics, countries, demographics, immigration, landing, warehouse
 from portolan.session import scratch_path, stage
 from portolan.sources.io import load_data, overwrite_partitions, read_partitioned, save_data
@@ -53,7 +53,7 @@ def facts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dates(spark: SparkSession, d: str) -> DataFrame:
-    return immigration.date_dimension(facts(spark, d))
+    return immigration.date_dimension_of_days(fx.visits_raw(spark, d))
 
 
 def cities(spark: SparkSession, d: str) -> DataFrame:
@@ -141,14 +141,15 @@ def monthly_refresh(spark, d):
 
 
 def monthly_stream_ingest(spark, d):
-    """Deliveries land as files; a file stream turns each into fact rows exactly once.
-    The stream runs twice: the second run finds nothing new and adds nothing."""
+    """Deliveries land as files and a file stream turns them into fact rows: the first half
+    of the year, then the second; January is delivered once more and replaces itself; a
+    last run finds nothing new."""
     raw = fx.visits_raw(spark, d)
     landing, fact_path = scratch_path(spark, "landing"), scratch_path(spark, "stream-fact")
-    checkpoint = scratch_path(spark, "stream-checkpoint")
-    raw.write.parquet(landing)  # one delivery file per task
-    for _ in range(2):
-        ingest_deliveries(spark, landing, fact_path, raw.schema, checkpoint, files_per_batch=4)
+    for part in (F.col("i94mon") <= 6, ~(F.col("i94mon") <= 6), F.col("i94mon") == 1, None):
+        if part is not None:
+            raw.where(part).write.mode("append").parquet(landing)
+        ingest_deliveries(spark, landing, fact_path, raw.schema)
     return read_partitioned(spark, fact_path, schemas.IMMIGRATION_TABLE)
 
 
@@ -164,14 +165,31 @@ def label_text_lookups(spark, d):
     return label_entries(number_lines(spark.read.text(path)))
 
 
+def label_text_sections(spark, d):
+    """The same format as it is published: one header per section and all of its entries below it,
+    so most lines carry a header from far above."""
+    p = fx.table(spark, d, "part").select(
+        F.concat(F.lit("brand_"), F.regexp_replace("p_brand", "#", "_")).alias("section"), "p_partkey",
+        F.concat(F.lit("   '"), F.col("p_partkey").cast("string"), F.lit(" ' = '"),
+                 F.regexp_replace("p_name", "'", "''"), F.lit("  '")).alias("line"))
+    headers = p.groupBy("section").agg(F.lit(-1).cast("bigint").alias("p_partkey"),
+                                       F.concat(F.lit("  value "), F.first("section")).alias("line"))
+    path = scratch_path(spark, "label-sections")
+    # A range of sections per file: a section never spans two files.
+    (p.unionByName(headers).repartitionByRange("section").sortWithinPartitions("section", "p_partkey")
+     .select(F.col("line").alias("value")).write.text(path))
+    entries = label_entries(number_lines(spark.read.text(path)), chunk_lines=64)
+    return entries.select("section", "code", F.rtrim("label").alias("label"))
+
+
 def extract_key_values(spark, d):
-    return extract_pairs(fx.table(spark, d, "pages", spread_by="page_id"), "html", keep=["page_id"])
+    return extract_pairs(fx.table(spark, d, "pages"), "html", keep=["page_id"])
 
 
 # --- projections and scalar functions ---------------------------------------------------
 
 def convert_types_q(spark, d):
-    return convert_types(fx.visits_raw(spark, d), {c: "int" for c in schemas.IMMIGRATION_INTEGER_COLUMNS})
+    return convert_types(fx.visits_raw(spark, d), immigration.IMMIGRATION_TYPES)
 
 
 def drop_columns_q(spark, d):
@@ -231,6 +249,14 @@ def city_first_values(spark, d):
     return first_values(fx.demographics_raw(spark, d), CITY_KEYS, CITY_ATTRIBUTES, order_by=F.col("seq"))
 
 
+def first_values_default(spark, d):
+    """First values without an order column, over attributes with nulls: the smallest row, null first."""
+    p = fx.table(spark, d, "part")
+    rows = p.select("p_brand", F.when(F.col("p_partkey") % 3 != 0, F.col("p_size")).alias("size"),
+                    F.when(F.col("p_partkey") % 2 != 0, F.col("p_type")).alias("type"), F.col("p_retailprice").alias("price"))
+    return first_values(rows, ["p_brand"], {"type": "first_type", "size": "first_size", "price": "first_price"})
+
+
 def race_pivot(spark, d):
     return pivot_sum(fx.demographics_raw(spark, d), CITY_KEYS, "Race", RACE_COLUMNS, "Count_")
 
@@ -285,18 +311,36 @@ def dq_duplicate_keys(spark, d):
 
 
 def dq_orphans(spark, d):
-    # Country and states have one row per lookup row; the date dimension is staged (one
-    # row per day). All three are checked small before their key sets are broadcast.
-    day_dim = stage(dates(spark, d), "date")
-    small = fits(fx.lookup_country(spark, d)) and fits(fx.lookup_state(spark, d)) and fits(day_dim)
-    country_dim, states_dim = country(spark, d), states(spark, d)
+    # Staged dimensions have a size the planner can read.
+    country_dim, states_dim, day_dim = _dimensions(spark, d)
     return orphan_report(facts(spark, d), [
         ("born_country", "i94cit", country_dim, "Code"),
         ("residence_country", "i94res", country_dim, "Code"),
         ("state", "i94addr", states_dim, "Code"),
         ("arrival_date", "arrdate", day_dim, "date"),
         ("departure_date", "depdate", day_dim, "date"),
-    ], broadcast_keys=small)
+    ])
+
+
+def dq_sql_checks(spark, d):
+    """SQL checks with integer, fractional, text, null and missing results."""
+    fx.table(spark, d, "part").createOrReplaceTempView("portolan_part")
+    return sql_check_report(spark, [{"check_sql": sql.replace("FROM part", "FROM portolan_part"), "expected_result": expected}
+                                    for sql, expected in SQL_CHECKS]).withColumn(
+        "check_sql", F.regexp_replace("check_sql", "portolan_part", "part"))
+
+
+def dq_cast_loss(spark, d):
+    """Values that a cast to the table's types would lose: none by the types in use, those beyond 2^31 and
+    the texts by narrower ones."""
+    raw = fx.visits_raw(spark, d).withColumn("big", F.col("cicid") * 100000)
+    return cast_loss_report(raw, {**{c: t for c, t in immigration.IMMIGRATION_TYPES.items()}, "big": "int", "fltno": "int",
+                                  "visatype": "int"})
+
+
+def _dimensions(spark, d):
+    """Country, states and date, each written once."""
+    return (stage(country(spark, d), "country"), stage(states(spark, d), "states"), stage(dates(spark, d), "date"))
 
 
 def warehouse_load(spark, d):
@@ -313,9 +357,7 @@ def warehouse_load(spark, d):
 # --- analytics -------------------------------------------------------------------------------
 
 def star_join(spark, d):
-    # Each dimension has one row per lookup row, so bounding the two lookups bounds them.
-    small = fits(fx.lookup_country(spark, d)) and fits(fx.lookup_state(spark, d))
-    out = analytics.star_join(facts(spark, d), country(spark, d), states(spark, d), broadcast_dims=small)
+    out = analytics.star_join(facts(spark, d), *_dimensions(spark, d))
     return _r4(out, "residence_temperature")
 
 
@@ -323,8 +365,8 @@ def decode_codes(spark, d):
     return analytics.decode_codes(facts(spark, d), [
         ("i94mode", mode_lookup(spark), "ID", "Mode", "mode"),
         ("i94visa", visa_lookup(spark), "ID", "Type", "visa_type"),
-        # derived by a distinct over orders, so its plan size is that of orders: bound it by count
-        ("i94port", bounded_broadcast(fx.lookup_port(spark, d)), "ID", "Port", "port"),
+        # derived by a distinct over orders, so its plan size is that of orders: write it, then its size is known
+        ("i94port", stage(fx.lookup_port(spark, d), "ports"), "ID", "Port", "port"),
     ])
 
 
@@ -341,6 +383,11 @@ def visitors_by_nationality(spark, d):
     return analytics.visitors_by_country(facts(spark, d), country(spark, d), "i94cit")
 
 
+def visitor_demographics(spark, d):
+    out = analytics.visitor_demographics(facts(spark, d), states(spark, d), genders=("A", "N", "R"))
+    return _r4(out, "avg_age", "share_A", "share_N", "share_R", "visitors_per_1000")
+
+
 def visitors_by_airline(spark, d):
     return analytics.visitors_by(facts(spark, d), "airline")
 
@@ -379,6 +426,7 @@ QUERIES: dict[str, Query] = {
     "monthly_stream_ingest": monthly_stream_ingest,
     "extract_key_values": extract_key_values,
     "label_text_lookups": label_text_lookups,
+    "label_text_sections": label_text_sections,
     "convert_types": convert_types_q,
     "drop_columns": drop_columns_q,
     "rename_columns": rename_columns_q,
@@ -389,6 +437,7 @@ QUERIES: dict[str, Query] = {
     "immigration_fact": immigration_fact,
     "date_dimension": date_dimension,
     "city_first_values": city_first_values,
+    "first_values_default": first_values_default,
     "race_pivot": race_pivot,
     "city_demographics": city_demographics,
     "state_rollup": state_rollup,
@@ -401,12 +450,15 @@ QUERIES: dict[str, Query] = {
     "dq_row_counts": dq_row_counts,
     "dq_duplicate_keys": dq_duplicate_keys,
     "dq_orphans": dq_orphans,
+    "dq_sql_checks": dq_sql_checks,
+    "dq_cast_loss": dq_cast_loss,
     "warehouse_load": warehouse_load,
     "star_join": star_join,
     "decode_codes": decode_codes,
     "normalize_state_codes": normalize_state_codes,
     "average_stay": average_stay,
     "visitors_by_nationality": visitors_by_nationality,
+    "visitor_demographics": visitor_demographics,
     "visitors_by_airline": visitors_by_airline,
     "visitors_by_origin": visitors_by_origin,
     "destination_source_lift": destination_source_lift,

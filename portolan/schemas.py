@@ -30,6 +30,8 @@ IMMIGRATION_INTEGER_COLUMNS = [
     "cicid", "i94yr", "i94mon", "i94cit", "i94res", "arrdate", "i94mode", "i94bir",
     "i94visa", "count", "biryear", "dtadfile", "depdate",
 ]
+# Keys that grow with the data are cast to bigint: yearly volumes at scale pass 2^31.
+IMMIGRATION_LONG_COLUMNS = ["cicid"]
 # Day-number columns turned into ISO date strings.
 IMMIGRATION_DATE_COLUMNS = ["arrdate", "depdate"]
 # Columns dropped: mostly empty, and not useful.
@@ -116,7 +118,7 @@ LOOKUP_MODE = _schema(("ID", I), ("Mode", S))
 LOOKUP_VISA = _schema(("ID", I), ("Type", S))
 
 IMMIGRATION_TABLE = _schema(
-    ("i94addr", S), ("cicid", I), ("i94visa", I), ("i94res", I), ("arrdate", S), ("depdate", S),
+    ("i94addr", S), ("cicid", L), ("i94visa", I), ("i94res", I), ("arrdate", S), ("depdate", S),
     ("airline", S), ("fltno", S), ("i94mode", I), ("i94port", S), ("visatype", S), ("gender", S),
     ("i94cit", I), ("i94bir", I), ("stay", I), ("i94yr", I), ("i94mon", I))
 COUNTRY_TABLE = _schema(("Code", I), ("Country", S), ("Temperature", D), ("Latitude", S), ("Longitude", S))

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from portolan.operators.joins import bounded_broadcast
+from portolan.session import stage
 
 # Attribute-like pairs: name="value".
 DEFAULT_PAIR_PATTERN = r'([A-Za-z-]+)="([^"]*)"'
@@ -42,10 +42,14 @@ def extract_pairs(df: DataFrame, text: str, pattern: str = DEFAULT_PAIR_PATTERN,
 
 
 def number_lines(lines: DataFrame, text: str = "value") -> DataFrame:
-    """(file, line_id, text) from ``spark.read.text``; ids grow with the position in a file."""
-    return lines.select(F.input_file_name().alias("file"),
+    """(file, line_id, text) from ``spark.read.text``; ids grow with the position in a file.
+
+    The ids depend on how the files are split, so the numbered lines are written once and
+    every later scan reads the same ids.
+    """
+    return stage(lines.select(F.input_file_name().alias("file"),
                         F.monotonically_increasing_id().alias("line_id"),
-                        F.col(text).alias("text"))
+                        F.col(text).alias("text")), "numbered-lines")
 
 
 def _unquote(value: Column) -> Column:
@@ -65,7 +69,6 @@ def label_entries(numbered: DataFrame, chunk_lines: int = CHUNK_LINES) -> DataFr
     earlier = Window.partitionBy("file").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     carry = per_chunk.select("file", "chunk",
                              F.last("last_section", ignorenulls=True).over(earlier).alias("carry_in"))
-    carry = bounded_broadcast(carry)
 
     # Level 2: within a chunk, the last header so far, else the carried one.
     upto = (Window.partitionBy("file", "chunk").orderBy("line_id")
@@ -83,7 +86,9 @@ def label_entries(numbered: DataFrame, chunk_lines: int = CHUNK_LINES) -> DataFr
 def lookup_from_entries(entries: DataFrame, section: str, code_name: str = "Code",
                         label_name: str = "label", code_type: str = "string") -> DataFrame:
     """(code, label) of one section of :func:`label_entries`, the code cast to
-    ``code_type`` (non-numeric codes become null for numeric types, and are dropped)."""
+    ``code_type`` (non-numeric codes become null for numeric types, and are dropped). Text
+    codes are kept as published, blanks included; labels lose their trailing blanks."""
+    code = F.col("code") if code_type == "string" else F.trim("code").try_cast(code_type)
     out = entries.where(F.col("section") == F.lit(section)).select(
-        F.trim("code").try_cast(code_type).alias(code_name), F.col("label").alias(label_name))
+        code.alias(code_name), F.rtrim("label").alias(label_name))
     return out.where(F.col(code_name).isNotNull())

@@ -8,11 +8,12 @@ from pyspark.sql.types import StructType
 
 from portolan import schemas
 from portolan.functions.text import clean_label
+from portolan.sources.io import load_data
 
 
 def read_lookup(spark: SparkSession, path: str, schema: StructType, label: str) -> DataFrame:
     """Read a lookup CSV with a header; no-break spaces in the label become spaces."""
-    df = spark.read.csv(path, header=True, schema=schema, mode="PERMISSIVE")
+    df = load_data(spark, path, "csv", schema=schema, header=True)
     return df.withColumn(label, clean_label(F.col(label)))
 
 

@@ -128,6 +128,38 @@ def test_label_entries_sections_and_quotes(spark, tmp_path):
                           ("i94model", "9", "Not reported")])
     countries = lookup_from_entries(label_entries(numbered), "i94cntyl", code_type="int")
     assert sorted(tuple(r) for r in countries.collect()) == [(236, "AFGHANISTAN"), (582, "MEXICO Air Sea")]
+    ports = lookup_from_entries(label_entries(numbered), "$i94prtl")  # keys as published, labels without trailing blanks
+    assert {tuple(r) for r in ports.collect()} == {("ALC", "ALCAN, AK"), ("INT", "INT'L FALLS, MN"), ("CP ", "CALEXICO")}
+
+
+def test_large_keys_are_kept(spark):
+    fact = immigration.immigration_facts(_raw(spark, [_row(3e9, 20545.0, None)]))
+    assert fact.first().cicid == 3_000_000_000
+
+
+def test_date_dimension_from_raw_days_equals_the_fact_path(spark):
+    raw = _raw(spark, [_row(1.0, 20546.0, 20550.0), _row(2.0, 20545.0, 20546.0), _row(3.0, None, None)])
+    a = immigration.date_dimension(immigration.immigration_facts(raw)).collect()
+    assert sorted(a) == sorted(immigration.date_dimension_of_days(raw).collect())
+
+
+def test_csv_is_read_by_header(spark, tmp_path):
+    import pytest
+    from portolan.sources.lookups import state_lookup
+    (tmp_path / "s.csv").write_text("State,extra,Code\nALABAMA,1,AL\n")
+    assert [tuple(r) for r in state_lookup(spark, str(tmp_path / "s.csv")).collect()] == [("AL", "ALABAMA")]
+    (tmp_path / "t.csv").write_text("State,Kode\nALABAMA,AL\n")
+    with pytest.raises(ValueError):
+        state_lookup(spark, str(tmp_path / "t.csv"))
+
+
+def test_debug_size_needs_an_order(spark):
+    import pytest
+    from portolan.sources.io import load_data
+    path = scratch_path(spark, "sample")
+    spark.range(5).write.parquet(path)
+    with pytest.raises(ValueError):
+        load_data(spark, path, debug_size=1)
 
 
 def test_extract_pairs_whole_text(spark):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from portolan.operators import (DataQualityError, duplicate_key_report, first_values, null_key_report,
                                 orphan_report, pivot_sum, raise_on_failure, row_count_report,
                                 sql_check_report, sum_by, two_level_mean)
-from portolan.operators.joins import bounded_broadcast, unique_on
+from portolan.operators.joins import unique_on
 
 
 def test_first_values_by_order_and_nonnull(spark):
@@ -58,7 +58,35 @@ def test_sql_check_report(spark):
         {"check_sql": "SELECT COUNT(*) FROM qc_country WHERE Code is null", "expected_result": 0},
         {"check_sql": "SELECT COUNT(*) FROM qc_country", "expected_result": 2},
     ])
-    assert [(r.result, r.passed) for r in report.collect()] == [(1, False), (2, True)]
+    assert [(r.result, r.passed) for r in report.collect()] == [("1", False), ("2", True)]
+
+
+def test_sql_checks_compare_as_given(spark):
+    checks = [("SELECT 0.5", 0, False), ("SELECT 0.5", 0.5, True), ("SELECT 1 WHERE false", 0, False),
+              ("SELECT 1 WHERE false", None, False), ("SELECT CAST(NULL AS INT)", 0, False), ("SELECT CAST(NULL AS INT)", None, True),
+              ("SELECT 'x'", 0, False), ("SELECT 'x'", "x", True), ("SELECT 2.0D AS a, 3 AS a", 2, True), ("SELECT true", 1, False),
+              ("SELECT true", True, True), ("SELECT 9007199254740993", 9007199254740992, False)]
+    report = sql_check_report(spark, [{"check_sql": s, "expected_result": e} for s, e, _ in checks])
+    assert [r.passed for r in report.collect()] == [p for _, _, p in checks]
+
+
+def test_pivot_loss_and_cast_loss(spark):
+    from portolan.operators import cast_loss_report, pivot_loss_report
+    df = spark.createDataFrame([("White", 5), ("Two or more", 2), (None, 1)], "race string, n int")
+    r = pivot_loss_report(df, "race", {"White": "White"}, "n").first()
+    assert (r.measure_total, r.pivot_total, r.lost_values, r.passed) == (8, 5, "Two or more, null", False)
+    assert pivot_loss_report(df.limit(1), "race", {"White": "White"}, "n").first().passed
+    raw = spark.createDataFrame([(3e9, "x"), (None, None), (5.0, "7")], "a double, b string")
+    lost = {r.column: (r.lost, r.passed) for r in cast_loss_report(raw, {"a": "int", "b": "int", "zz": "int"}).collect()}
+    assert lost == {"a": (1, False), "b": (1, False)}
+    assert {r.lost for r in cast_loss_report(raw, {"a": "bigint"}).collect()} == {0}
+
+
+def test_first_values_without_order_do_not_follow_the_input(spark):
+    rows = [("k", None, 7), ("k", 7, None), ("k", 3, 3)]
+    got = {tuple(first_values(spark.createDataFrame(r, "k string, a int, b int").coalesce(1), ["k"], {"a": "A", "b": "B"}).first())
+           for r in (rows, rows[::-1])}
+    assert got == {("k", None, 7)}
 
 
 def test_duplicates_and_orphans(spark):
@@ -71,10 +99,7 @@ def test_duplicates_and_orphans(spark):
     assert orphans == {"state": 1}
 
 
-def test_bounded_broadcast_and_unique_on(spark):
-    small = spark.range(10)
-    assert "broadcast" in bounded_broadcast(small, 100)._jdf.queryExecution().logical().toString().lower()
-    assert bounded_broadcast(small, 5) is small
+def test_unique_on(spark):
     df = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "k int, v string")
     assert sorted(tuple(r) for r in unique_on(df, "k").collect()) == [(1, "a"), (2, "c")]
 
