@@ -33,7 +33,6 @@ import pickle
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -49,17 +48,21 @@ SHINGLE = 5
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def word_hashes(text: str, known: dict[str, int]) -> np.ndarray:
-    """A 64-bit hash per word; ``known`` keeps those already met."""
-    import xxhash
+class WordHashes(dict):
+    """A 64-bit hash per word, computed when a word is first met."""
 
+    def __missing__(self, word: str) -> int:
+        import xxhash
+
+        self[word] = value = xxhash.xxh64_intdigest(word, seed=42)
+        return value
+
+
+def word_hashes(text: str, known: WordHashes) -> np.ndarray:
+    """The hash of every word of the text."""
+    if len(known) > 500_000:
+        known.clear()
     words = WORDS.findall(text.lower())
-    missing = set(words).difference(known)
-    if missing:
-        if len(known) > 500_000:
-            known.clear()
-            missing = set(words)
-        known.update((w, xxhash.xxh64_intdigest(w, seed=42)) for w in missing)
     return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
@@ -117,83 +120,92 @@ class HammingIndex:
         return pairs[:, 0], pairs[:, 1]
 
 
-@dataclass
-class Sized:
-    """The items of one length."""
-
-    items: np.ndarray
-    index: HammingIndex
-    shingles: list[Counter]
-
-
 class BenchmarkIndex:
-    """A block of items: their shingles, sorted, and a Hamming index for each item length."""
+    """A block of items: their shingles, sorted, and a Hamming index of their fingerprints."""
 
     def __init__(self, item_ids: list, texts: list[str], radius: int, similarity: float):
-        self.radius, self.similarity, self.sizes = radius, similarity, {}
+        known = WordHashes()
         groups: dict[int, list[tuple]] = {}
         for item, text in zip(item_ids, texts, strict=True):
-            words = word_hashes(text, {})
+            words = word_hashes(text, known)
             if len(words):
                 groups.setdefault(len(words), []).append((item, shingles(words)))
-        for length, members in groups.items():
-            self.sizes[length] = Sized(np.array([m[0] for m in members], dtype=object),
-                                       HammingIndex(np.array([simhash(m[1]) for m in members], np.uint64), radius),
-                                       [Counter(m[1].tolist()) for m in members])
-        self.long = self._sorted(n for n in groups if n >= SHINGLE)
-        self.short = {n: self._sorted([n]) for n in groups if n < SHINGLE}
-
-    def _sorted(self, lengths) -> np.ndarray:
-        values = [s for n in lengths for c in self.sizes[n].shingles for s in c]
-        return np.unique(np.array(values, np.uint64))
-
-    def search(self, words: np.ndarray) -> list[tuple]:
-        """``(item, start word, words, distance, similarity)``, the best window of every item that is found."""
-        best: dict = {}
+        members = [(length, item, hashes) for length, g in sorted(groups.items()) for item, hashes in g]
+        self.similarity, self.lengths = similarity, sorted(groups)
+        self.items, self.sizes = [m[1] for m in members], np.array([m[0] for m in members], np.int64)
+        self.index = HammingIndex(np.array([simhash(m[2]) for m in members], np.uint64), radius)
+        self.shingles = [Counter(m[2].tolist()) for m in members]
+        self.long = self._sorted(lambda n: n >= SHINGLE)
+        self.short = {n: self._sorted(lambda x, n=n: x == n) for n in groups if n < SHINGLE}
+
+    def _sorted(self, sized) -> np.ndarray:
+        return np.unique(np.array([s for n, c in zip(self.sizes.tolist(), self.shingles, strict=True) if sized(n) for s in c], np.uint64))
+
+    def _windows(self, words: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """``(length, shingles in a window, the text's shingles, starts)`` of the windows that can reach the similarity."""
         whole = shingles(words) if len(words) >= SHINGLE else np.zeros(0, np.uint64)
         seen = self._known(whole, self.long)
-        for length, sized in self.sizes.items():
+        held = np.concatenate([[0], np.cumsum(seen)]) if seen.any() else None
+        for length in self.lengths:
             if length > len(words):
-                continue
+                break
             if length < SHINGLE:
-                size = np.lib.stride_tricks.sliding_window_view(words, length)
-                hashes = np.array([shingles(w)[0] for w in size], np.uint64)
-                known, span = self._known(hashes, self.short[length]), 1
+                hashes, span = np.array([shingles(w)[0] for w in np.lib.stride_tricks.sliding_window_view(words, length)], np.uint64), 1
+                found = self._known(hashes, self.short[length])
+                sums = np.concatenate([[0], np.cumsum(found)]) if found.any() else None
             else:
-                hashes, known, span = whole, seen, length - SHINGLE + 1
-            if not known.any():
+                hashes, span, sums = whole, length - SHINGLE + 1, held
+            if sums is None:
                 continue
-            held = np.concatenate([[0], np.cumsum(known)])
             # Overlap / union >= s with both sides of span shingles needs an overlap of 2 s span / (1 + s).
             need = max(1.0, 2 * self.similarity * span / (1 + self.similarity) - 1e-9)
-            starts = np.flatnonzero(held[span:] - held[:-span] >= need)
-            if not len(starts):
-                continue
+            starts = np.flatnonzero(sums[span:] - sums[:-span] >= need)
             for at in range(0, len(starts), 1 << 14):  # bounded memory for long documents
-                some = starts[at:at + (1 << 14)]
-                low, high = int(some[0]), int(some[-1]) + span
-                if high - low > (1 << 17):
-                    fps = np.array([simhash(hashes[s:s + span]) for s in some], np.uint64)
-                else:
-                    fps = window_simhashes(hashes[low:high], some - low, span)
-                for q, i in zip(*sized.index.search(fps), strict=True):
-                    self._verify(best, sized, int(i), hashes, int(some[q]), span, length, int(np.bitwise_count(fps[q] ^ sized.index.fps[i])))
+                yield length, span, hashes, starts[at:at + (1 << 14)]
+
+    def search(self, words: np.ndarray) -> list[tuple]:
+        """``(item, start word, words, distance, similarity)``, the best window of every item that is found."""
+        best: dict[int, tuple] = {}
+        held: list[tuple] = []
+        for length, span, hashes, starts in self._windows(words):
+            held.append((length, span, hashes, starts, self._fingerprints(hashes, starts, span)))
+            if sum(len(h[3]) for h in held) > 1 << 14:
+                self._match(held, best)
+                held = []
+        if held:
+            self._match(held, best)
         return list(best.values())
 
+    @staticmethod
+    def _fingerprints(hashes: np.ndarray, starts: np.ndarray, span: int) -> np.ndarray:
+        low, high = int(starts[0]), int(starts[-1]) + span
+        if high - low > 1 << 17:
+            return np.array([simhash(hashes[s:s + span]) for s in starts], np.uint64)
+        return window_simhashes(hashes[low:high], starts - low, span)
+
+    def _match(self, held: list[tuple], best: dict[int, tuple]) -> None:
+        """Probe the index with all windows at once; verify the items of the window's own length."""
+        fps = np.concatenate([h[4] for h in held])
+        part = np.repeat(np.arange(len(held)), [len(h[3]) for h in held])
+        first = np.cumsum([0, *[len(h[3]) for h in held]])
+        length = np.array([h[0] for h in held], np.int64)[part]
+        q, i = self.index.search(fps)
+        same = self.sizes[i] == length[q]
+        for q_, i_ in zip(q[same].tolist(), i[same].tolist(), strict=True):
+            _, span, hashes, starts, _ = held[part[q_]]
+            start = int(starts[q_ - first[part[q_]]])
+            window = Counter(hashes[start:start + span].tolist())
+            shared = sum((window & self.shingles[i_]).values())
+            similarity = shared / (2 * span - shared)
+            if similarity >= self.similarity and (i_ not in best or similarity > best[i_][4]):
+                best[i_] = (self.items[i_], start, int(length[q_]), int(np.bitwise_count(fps[q_] ^ self.index.fps[i_])), similarity)
+
     @staticmethod
     def _known(hashes: np.ndarray, values: np.ndarray) -> np.ndarray:
         if not len(hashes) or not len(values):
             return np.zeros(len(hashes), bool)
         return values[np.minimum(np.searchsorted(values, hashes), len(values) - 1)] == hashes
 
-    def _verify(self, best: dict, sized: Sized, i: int, hashes: np.ndarray, start: int, span: int, length: int, distance: int) -> None:
-        window = Counter(hashes[start:start + span].tolist())
-        shared = sum((window & sized.shingles[i]).values())
-        similarity = shared / (2 * span - shared)
-        key = sized.items[i]
-        if similarity >= self.similarity and (key not in best or similarity > best[key][4]):
-            best[key] = (key, start, length, distance, similarity)
-
 
 def blocks(benchmark: DataFrame, block_items: int, block_bytes: int) -> Iterator[tuple[list, list[str]]]:
     """The items in blocks. They stream through the driver a partition at a time; only one block is held."""
@@ -221,7 +233,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8,
         shared = spark.sparkContext.broadcast(cloudpickle.dumps(BenchmarkIndex(ids, texts, radius, similarity)))
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index, known = pickle.loads(shared.value), {}
+            index, known = pickle.loads(shared.value), WordHashes()
             for part in byte_rows(batches):
                 rows = [(doc, *hit) for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True)
                         for hit in index.search(word_hashes(text.decode("utf-8", "replace"), known))]
@@ -246,7 +258,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8
         shared = spark.sparkContext.broadcast(cloudpickle.dumps(BenchmarkIndex(ids, texts, radius, similarity)))
 
         def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index, known = pickle.loads(shared.value), {}
+            index, known = pickle.loads(shared.value), WordHashes()
             for part in byte_rows(batches):
                 keep = [not index.search(word_hashes(t or "", known)) for t in part.column("text").to_pylist()]
                 yield part.filter(pa.array(keep, pa.bool_()))
