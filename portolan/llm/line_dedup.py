@@ -9,8 +9,8 @@ except lines that the first occurrence itself covers. Covered lines are merged p
 and removed.
 
 Built-in functions only. The texts are read twice to hash windows (cheaper than writing
-them) and shuffled once, by document, to remove lines. Windows travel as two 64-bit hashes;
-only those that repeat are written. A passage that a third of all documents share is one
+them) and shuffled once, by document, to remove lines. Windows travel as two 64-bit hashes of
+their lines' hashes; only those that repeat are written. A passage that a third of all documents share is one
 row per task in the counting, and in the joins its rows are split by AQE: both sides are
 read from files and dealt anew.
 
@@ -42,27 +42,24 @@ def lines(text: Column, least: int = 8, most: int = 24) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(line_pattern(least, most)), F.lit(0))
 
 
-def trimmed(line: Column) -> Column:
-    return F.regexp_replace(line, f"^{_S}+|{_S}+$", "")
+def line_hash(line: Column) -> Column:
+    """The hash of a line without the white space around it."""
+    return F.xxhash64(F.btrim(line, F.lit(" \t\n\v\f\r")))
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """The row, its order key (id, null last; text hash) and its lines."""
-    return docs.select(F.struct(*docs.columns).alias("__row"), F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("__id"),
-                       F.xxhash64("text").alias("__text"), lines(F.col("text")).alias("__lines"))
+def _order_key() -> list[Column]:
+    """The order of documents: id (null last), then the hash of the text."""
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("__id"), F.xxhash64("text").alias("__text")]
 
 
 def _windows(docs: DataFrame) -> DataFrame:
-    """``(__id, __text, __pos, __h1, __h2)``, a row per window of three lines."""
-    parts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("__id"),
-                        F.xxhash64("text").alias("__text"), F.transform(lines(F.col("text")), trimmed).alias("__l"))
-    # The lines meet themselves one and two further on; past the end the joined text is null.
-    tail = F.zip_with(F.slice("__l", 2, F.size("__l")), F.slice("__l", 3, F.size("__l")), lambda b, c: F.concat(b, F.lit("\n"), c))
-    windows = F.zip_with("__l", tail, lambda a, rest: F.concat(a, F.lit("\n"), rest))
-    parts = (parts.where(F.size("__l") >= 3).select("__id", "__text", F.posexplode(windows).alias("__pos", "__window"))
-             .where("__window is not null"))
-    return parts.select("__id", "__text", "__pos", F.xxhash64("__window").alias("__h1"),
-                        F.xxhash64(F.lit(4), F.col("__window")).alias("__h2"))
+    """``(__id, __text, __pos, __h1, __h2)``, a row per window of three lines, by two hashes of its three line hashes."""
+    parts = docs.select(*_order_key(), F.transform(lines(F.col("text")), line_hash).alias("__l")).where(F.size("__l") >= 3)
+    # The lines meet themselves one and two further on; past the end there is null.
+    threes = F.arrays_zip(F.col("__l").alias("a"), F.slice("__l", 2, F.size("__l")).alias("b"), F.slice("__l", 3, F.size("__l")).alias("c"))
+    rows = parts.select("__id", "__text", F.posexplode(threes).alias("__pos", "__w")).where("__w.c is not null")
+    three = [F.col("__w.a"), F.col("__w.b"), F.col("__w.c")]
+    return rows.select("__id", "__text", "__pos", F.xxhash64(*three).alias("__h1"), F.xxhash64(F.lit(4), *three).alias("__h2"))
 
 
 def covered_lines(docs: DataFrame) -> DataFrame:
@@ -80,12 +77,19 @@ def covered_lines(docs: DataFrame) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
-    """``__row``, ``__lines`` and ``__gone`` (null: none) become the cleaned documents with their removals."""
+    """``__row`` (all columns but the text), ``__n`` lines, ``__gone`` line numbers (empty: none) and ``__clean`` text.
+
+    The text travels to the join once, as its lines; only a text without lines travels as it is.
+    """
+    rest = [F.col(c) for c in docs.columns if c != "text"] or [F.lit(None).alias("none")]
+    keyed = docs.select(F.struct(*rest).alias("__row"), *_order_key(), lines(F.col("text")).alias("__lines"), "text")
+    keyed = keyed.select("__row", "__id", "__text", "__lines", F.when(F.size("__lines") == 0, F.col("text")).alias("__bare"))
     gone = covered_lines(docs)
-    whole = _keyed(docs).join(gone.withColumnsRenamed({"__id": "__i", "__text": "__t"}),
-                              (F.col("__id") == F.col("__i")) & (F.col("__text") == F.col("__t")), "left")
+    whole = keyed.join(gone.withColumnsRenamed({"__id": "__i", "__text": "__t"}),
+                       (F.col("__id") == F.col("__i")) & (F.col("__text") == F.col("__t")), "left")
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), "__gone"), lambda i: F.get(F.col("__lines"), i))
-    clean = F.when(F.col("__gone").isNull(), F.col("__row")["text"]).otherwise(F.array_join(kept, ""))
+    clean = (F.when(F.size("__lines") == 0, F.col("__bare")).when(F.col("__gone").isNull(), F.array_join("__lines", ""))
+             .otherwise(F.array_join(kept, "")))
     return whole.select("__row", F.size("__lines").alias("__n"), F.coalesce("__gone", F.array().cast("array<int>")).alias("__gone"),
                         clean.alias("__clean"))
 
