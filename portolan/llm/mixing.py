@@ -86,7 +86,7 @@ def targets(totals: DataFrame, share: float, max_epochs: int) -> DataFrame:
               .withColumn("level", (F.col("demand") - F.coalesce(F.sum("cap").over(earlier), F.lit(0.0)))
                           / F.sum("weight").over(onward))
               .withColumn("level", F.min_by(F.when(F.col("level") <= F.col("ratio"), F.col("level")),
-                                            F.when(F.col("level") <= F.col("ratio"), F.col("ratio"))).over(everything)))
+                                            F.when(F.col("level") <= F.col("ratio"), F.struct("ratio", "rank"))).over(everything)))
     return (levels.withColumn("target", F.coalesce(F.least("cap", F.col("level") * F.col("weight")), F.col("cap")))
             .drop("cap", "ratio", "level"))
 
@@ -195,7 +195,7 @@ s2 AS (SELECT *, CAST([5, 2, 1][rank % 3 + 1] AS DOUBLE) AS weight,
 s3 AS (SELECT *, cap / weight AS ratio, CAST(sum(source_size) OVER () AS DOUBLE) * CAST(1.5 AS DOUBLE) AS demand FROM s2),
 s4 AS (SELECT *, (demand - coalesce(sum(cap) OVER (ORDER BY ratio, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
               / sum(weight) OVER (ORDER BY ratio, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM s3),
-s5 AS (SELECT arg_min(level, ratio) FILTER (level <= ratio) AS level FROM s4),
+s5 AS (SELECT (SELECT level FROM s4 WHERE level <= ratio ORDER BY ratio, rank LIMIT 1) AS level),
 s AS (SELECT s4.source, rank, source_size, weight * a AS w0, weight * b AS w1, weight AS area, demand,
              coalesce(least(cap, s5.level * weight), cap) AS target FROM s4, s5),
 r AS (SELECT d.*, s.* EXCLUDE (source),
