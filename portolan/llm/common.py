@@ -61,6 +61,7 @@ def byte_rows(batches: Iterator[pa.RecordBatch], column: str = "text",
         sizes = pa.compute.binary_length(batch.column(column)).to_pylist()
         start, held = 0, 0
         for i, size in enumerate(sizes):
+            size = size or 0  # null
             if held and held + size > limit:
                 yield batch.slice(start, i - start)
                 start, held = i, 0
