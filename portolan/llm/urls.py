@@ -48,7 +48,8 @@ def labelled_urls(spark: SparkSession) -> DataFrame:
     """``(url, label)``: label 1 is to be blocked. Bounded: names x prefixes, one path and end each, in turn."""
     rows = [(f"http://{prefix}{name}.{ENDS[(i + j) % len(ENDS)]}{PAGES[(i + j) % len(PAGES)]}", label)
             for label, names in ((1, BLOCKED), (0, ALLOWED)) for i, name in enumerate(names) for j, prefix in enumerate(PREFIXES)]
-    return spark.createDataFrame(rows, "url string, label int")
+    values = F.array(*[F.struct(F.lit(url).alias("url"), F.lit(label).alias("label")) for url, label in rows])
+    return spark.range(1).select(F.inline(values))
 
 
 def host_of(url: Column) -> Column:
@@ -83,15 +84,21 @@ def grams(host: Column, path: Column, dims: int, lengths: Sequence[int] = (3, 4,
 
 
 def margin(buckets: Column, weights: Sequence[float], bias: float) -> Column:
-    """Bias plus the buckets' weights, scaled by the root of their number so that long URLs weigh no more."""
+    """Bias plus the weights of the buckets met in training, over the root of their number, so that
+    neither long URLs nor n-grams the model has never seen weigh."""
     # One string literal, which the optimizer folds into one array; not one expression per weight.
-    vector = F.split(F.lit(",".join(map(repr, map(float, weights)))), ",").cast("array<double>")
-    total = F.aggregate(buckets, F.lit(0.0), lambda s, b: s + F.get(vector, b))
-    return F.lit(float(bias)) + total / F.sqrt(F.greatest(F.size(buckets), F.lit(1)).cast("double"))
-
-
-def train(labelled: DataFrame, dims: int = 4096, steps: int = 25, rate: float = 8.0, ridge: float = 1e-3) -> tuple[list[float], float]:
-    """Weights and bias by full-batch gradient descent with momentum; the classes weigh alike."""
+    vector = F.split(F.lit(",".join(f"{w:.8g}" for w in weights)), ",").cast("array<double>")
+    start = F.struct(F.lit(0.0).alias("sum"), F.lit(0.0).alias("n"))
+    met = F.transform(buckets, lambda b: F.get(vector, b))
+    total = F.aggregate(met, start, lambda s, w: F.struct((s["sum"] + w).alias("sum"), (s["n"] + F.when(w != 0, 1.0).otherwise(0.0)).alias("n")),
+                        lambda s: s["sum"] / F.sqrt(F.greatest(s["n"], F.lit(1.0))))
+    return F.lit(float(bias)) + total
+
+
+def train(labelled: DataFrame, dims: int = 16384, steps: int = 30, rate: float = 40.0, ridge: float = 3e-4,
+          prior: float = 0.45) -> tuple[list[float], float]:
+    """Weights and bias by full-batch gradient descent with momentum. The URLs to block weigh ``prior`` of the
+    whole, so a URL of which the model knows nothing is allowed."""
     rows = labelled.select(grams(host_of(F.col("url")), path_of(F.col("url")), dims).alias("b"),
                            F.col("label").cast("double").alias("y")).where("y is not null").cache()
     n = rows.count()
@@ -99,7 +106,7 @@ def train(labelled: DataFrame, dims: int = 4096, steps: int = 25, rate: float =
     weights, bias, speed, lean = [0.0] * dims, 0.0, [0.0] * dims, 0.0
     if len(sizes) < 2:
         return weights, -1.0 if n == 0 or 1.0 not in sizes else 1.0
-    share = F.when(F.col("y") == 1.0, F.lit(0.5 / sizes[1.0])).otherwise(F.lit(0.5 / sizes[0.0]))
+    share = F.when(F.col("y") == 1.0, F.lit(prior / sizes[1.0])).otherwise(F.lit((1 - prior) / sizes[0.0]))
     for _ in range(steps):
         p = F.lit(1.0) / (F.lit(1.0) + F.exp(-margin(F.col("b"), weights, bias)))
         residual = rows.select("b", (share * (p - F.col("y"))).alias("g"),
@@ -116,7 +123,7 @@ def train(labelled: DataFrame, dims: int = 4096, steps: int = 25, rate: float =
     return weights, bias
 
 
-def filter_urls(pages: DataFrame, labelled: DataFrame, rules: Sequence[Rule] = RULES, dims: int = 4096) -> DataFrame:
+def filter_urls(pages: DataFrame, labelled: DataFrame, rules: Sequence[Rule] = RULES, dims: int = 16384) -> DataFrame:
     """One row per page: ``page_id``, ``host``, ``path``, ``rule``, ``verdict``, ``score`` (the model's
     probability of a block)."""
     weights, bias = train(labelled, dims)
