@@ -21,7 +21,7 @@ OPERATORS = ["Exchange hashpartitioning", "Exchange SinglePartition", "Exchange
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = build_session("local[8]")
+    spark = build_session("local[8]", shuffle_partitions=8)
     lines = ["# Physical plans", "",
              f"Initial (pre-AQE) physical plans of every registered query on `{sf_dir}`, generated by "
              "`tools/dump_plans.py`. Queries over the arrivals source start from its staged parquet "
