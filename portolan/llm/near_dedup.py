@@ -6,7 +6,7 @@ similarity of their five-word shingle sets is at least ``similarity``. One docum
 class of linked texts stays: the one with the smallest id.
 
 Equal texts are one text from the start, so copies cost one row each. A candidate group is compared
-in cells of at most ``cell`` texts against ``cell`` texts, and a cell gives a spanning forest of its
+in cells of about ``cell`` texts or ``cell_bytes`` of text against as many, and a cell gives a spanning forest of its
 links, so neither a task nor the result grows with the square of a group.
 
 Defined results: null counts as an empty text, and texts without words are equal to each other; of the
@@ -33,9 +33,10 @@ NO_ID = (1 << 63) - 1
 
 
 def _named(docs: DataFrame) -> DataFrame:
-    """The row, its id (null last) and the hash of its text."""
+    """The row, its id (null last), and its text's hash, bytes and size."""
     return docs.select(F.struct(*docs.columns).alias("__row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("__id"),
-                       F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("__text"), utf8(F.col("text")).alias("__bytes"))
+                       F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("__text"), utf8(F.col("text")).alias("__bytes"),
+                       F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("__size"))
 
 
 def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -68,23 +69,27 @@ def verified_links(sets: pd.DataFrame, radius: int, similarity: float) -> pd.Dat
     return pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
 
 
-def text_classes(docs: DataFrame, radius: int = 7, similarity: float = 0.8, cell: int = 256) -> DataFrame:
+def text_classes(docs: DataFrame, radius: int = 7, similarity: float = 0.8, cell: int = 256,
+                 cell_bytes: int = 32 << 20) -> DataFrame:
     """``(fp, text, low, label)``: every distinct text by fingerprint and hash, its smallest id, and the label of its class."""
     named = _named(docs)
-    rows = named.select(F.struct("__id", "__text").alias("doc_id"), F.col("__bytes").alias("text"))
-    hashed = fingerprints(rows, 3).select("fp", F.col("doc_id.__text").alias("text"), F.col("doc_id.__id").alias("id"))
-    texts = checkpoint(hashed.groupBy("fp", "text").agg(F.min("id").alias("low")).withColumn("node", F.xxhash64("fp", "text")))
+    rows = named.select(F.struct("__id", "__text", "__size").alias("doc_id"), F.col("__bytes").alias("text"))
+    hashed = fingerprints(rows, 3).select("fp", F.col("doc_id.__text").alias("text"), F.col("doc_id.__id").alias("id"),
+                                          F.col("doc_id.__size").alias("size"))
+    texts = checkpoint(hashed.groupBy("fp", "text").agg(F.min("id").alias("low"), F.max("size").alias("size"))
+                       .withColumn("node", F.xxhash64("fp", "text")))
     near = connected_components(checkpoint(similar_fingerprints(texts.select("fp").distinct(), radius)))
     groups = texts.join(near.withColumnRenamed("node", "at"), F.col("fp") == F.col("at"), "left")
-    groups = groups.select("fp", "text", "low", "node", F.coalesce("label", "fp").alias("group"))
+    groups = groups.select("fp", "text", "low", "size", "node", F.coalesce("label", "fp").alias("group"))
     # Candidate groups hold at least two texts; only their texts are read again.
-    sizes = groups.groupBy("group").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumnRenamed("group", "g")
-    members = checkpoint(groups.join(sizes, F.col("group") == F.col("g")).select("fp", "text", "low", "node", "group", "n"))
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / cell, F.sum("size") / cell_bytes)).cast("int")
+    sizes = groups.groupBy(F.col("group").alias("g")).agg(F.count(F.lit(1)).alias("n"), blocks.alias("blocks")).where("n > 1")
+    members = checkpoint(groups.join(sizes, F.col("group") == F.col("g")).select("fp", "text", "low", "node", "group", "blocks"))
     found = members.join(named.select("__id", "__text", F.col("__bytes").alias("bytes")),
                          (F.col("low") == F.col("__id")) & (F.col("text") == F.col("__text")))
-    found = found.select("node", "fp", "group", "n", F.col("bytes").alias("text"))
-    sets = found.mapInArrow(_shingle_sets, "node long, fp long, group long, n long, shingles array<long>")
-    blocks = F.ceil(F.col("n") / cell).cast("int")
+    found = found.select("node", "fp", "group", "blocks", F.col("bytes").alias("text"))
+    sets = found.mapInArrow(_shingle_sets, "node long, fp long, group long, blocks int, shingles array<long>")
+    blocks = F.greatest("blocks", F.lit(1))
     block = F.pmod(F.xxhash64("node"), blocks).cast("int")
     # Each text is at home in its block's row of cells and a guest in its block's column.
     row = F.transform(F.sequence(F.lit(0), blocks - 1), lambda i: F.struct(block.alias("r"), i.alias("c"), F.lit(True).alias("home")))

@@ -349,3 +349,30 @@ def test_token_counts(spark, edge, empty, name):
     got = {r.doc_id: (r.n_bytes, r.n_tokens) for r in rows}
     assert got == {i: (len((t or "").encode()), whole([t])[0] if t else 0) for i, t in enumerate(texts)}
     assert token_counts.token_counts(empty, path).count() == 0
+
+
+def test_near_dedup_cells_lose_no_link(spark):
+    """Classes by tiny cells equal brute force over all pairs."""
+    import random
+    from tests.llm.helpers import components, shingle_set
+    from tests.llm.helpers import simhash as fingerprint
+    rng, texts = random.Random(5), []
+    for g in range(4):
+        base = [f"w{g}x{i}" for i in range(160)]
+        for _ in range(14):
+            t = list(base)
+            for _ in range(rng.randint(0, 5)):
+                t[rng.randrange(len(t))] = f"new{rng.randrange(10**6)}"
+            texts.append(" ".join(t))
+    docs = docs_frame(spark, list(enumerate(texts)))
+    fps, sets = [fingerprint(t) for t in texts], [shingle_set(t) for t in texts]
+    linked = [(i, j) for i in range(len(texts)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 7
+              and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    assert len(linked) > 40
+    label = components(len(texts), linked)
+    for cell in (3, 256):
+        found = near_dedup.text_classes(docs, cell=cell).toPandas()
+        of = dict(zip(found.low, found.label))
+        low = {i: min(k for k, t in enumerate(texts) if t == texts[i]) for i in range(len(texts))}
+        got = [of[low[i]] for i in range(len(texts))]
+        assert [got.index(x) for x in got] == [label.index(x) for x in label]
