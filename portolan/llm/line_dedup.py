@@ -1,7 +1,7 @@
 """Operator 4: line dedup by overlapping three-line windows.
 
 A text is read as wrapped lines: a line ends at a line feed, at the first sentence end after
-``least`` words, or after ``most`` words, so that one long paragraph is several lines and the
+``least`` words (4), or after ``most`` words (12), so that one long paragraph is several lines and the
 same passage is cut alike wherever it stands. All windows of three consecutive lines are
 hashed; windows that occur more than once in the corpus are found by counting; of each, the
 first occurrence (by id, text hash, line) stays and all later ones cover their three lines,
@@ -31,13 +31,13 @@ _S, _W, _B = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]", r"[\x20\x09\x0B-\x0D]"
 KEYS = ["__h1", "__h2"]
 
 
-def line_pattern(least: int = 8, most: int = 24) -> str:
+def line_pattern(least: int = 4, most: int = 12) -> str:
     """One wrapped line with its white space: up to ``least - 1`` words, then words up to a sentence end,
     ``most`` in all; a line feed ends it anywhere."""
     return (f"{_S}*(?:{_W}+{_B}+){{0,{least - 1}}}(?:{_W}*[^\\x20\\x09-\\x0D.!?]{_B}+){{0,{most - least}}}{_W}+{_S}*")
 
 
-def lines(text: Column, least: int = 8, most: int = 24) -> Column:
+def lines(text: Column, least: int = 4, most: int = 12) -> Column:
     """The wrapped lines; joined they are the text. A text without words has none."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(line_pattern(least, most)), F.lit(0))
 
@@ -47,28 +47,39 @@ def line_hash(line: Column) -> Column:
     return F.xxhash64(F.btrim(line, F.lit(" \t\n\v\f\r")))
 
 
-def _order_key() -> list[Column]:
-    """The order of documents: id (null last), then the hash of the text."""
-    return [F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("__id"), F.xxhash64("text").alias("__text")]
+def _names() -> tuple[Column, Column]:
+    """What tells documents apart and orders them: the id (for null a hash of the text, after all ids) and 31 bits
+    of the text's hash, for rows that share an id."""
+    hashed = F.xxhash64("text")
+    number = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1) - F.shiftrightunsigned(hashed, 2))
+    return number.alias("__id"), F.pmod(hashed, F.lit(1 << 31)).alias("__text")
 
 
 def _windows(docs: DataFrame) -> DataFrame:
-    """``(__id, __text, __pos, __h1, __h2)``, a row per window of three lines, by two hashes of its three line hashes."""
-    parts = docs.select(*_order_key(), F.transform(lines(F.col("text")), line_hash).alias("__l")).where(F.size("__l") >= 3)
+    """``(__id, __at, __h1, __h2)``, a row per window of three lines, by two hashes of its three line hashes.
+    ``__at`` holds the window's line number above the 31 bits of the text's hash."""
+    parts = docs.select(*_names(), F.transform(lines(F.col("text")), line_hash).alias("__l")).where(F.size("__l") >= 3)
     # The lines meet themselves one and two further on; past the end there is null.
     threes = F.arrays_zip(F.col("__l").alias("a"), F.slice("__l", 2, F.size("__l")).alias("b"), F.slice("__l", 3, F.size("__l")).alias("c"))
     rows = parts.select("__id", "__text", F.posexplode(threes).alias("__pos", "__w")).where("__w.c is not null")
     three = [F.col("__w.a"), F.col("__w.b"), F.col("__w.c")]
-    return rows.select("__id", "__text", "__pos", F.xxhash64(*three).alias("__h1"), F.xxhash64(F.lit(4), *three).alias("__h2"))
+    return rows.select("__id", (F.shiftleft(F.col("__pos").cast("long"), 31) + F.col("__text")).alias("__at"),
+                       F.xxhash64(*three).alias("__h1"), F.xxhash64(F.lit(4), *three).alias("__h2"))
 
 
 def covered_lines(docs: DataFrame) -> DataFrame:
-    """``(__id, __text, __gone)``: per document with repeated windows the sorted line numbers to remove."""
+    """``(__id, __text, __gone)``: per document with repeated windows the sorted line numbers to remove.
+
+    The first pass counts by one hash, which finds all that may repeat; among those, both hashes decide.
+    """
     windows = _windows(docs)
-    repeated = checkpoint(windows.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*KEYS))
-    found = checkpoint(windows.join(repeated, KEYS))
-    first = checkpoint(found.groupBy(*KEYS).agg(F.min(F.struct("__id", "__text", "__pos")).alias("__first")))
-    later = found.join(first, KEYS).where(F.struct("__id", "__text", "__pos") != F.col("__first"))
+    repeated = checkpoint(windows.groupBy("__h1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("__h1"))
+    found = checkpoint(windows.join(repeated, "__h1"))
+    text, pos = F.col("__at").bitwiseAND(F.lit((1 << 31) - 1)), F.shiftright("__at", 31).cast("int")
+    place = F.struct("__id", text.alias("__text"), pos.alias("__pos"))
+    first = checkpoint(found.groupBy(*KEYS).agg(F.min(place).alias("__first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
+    later = (found.select(*KEYS, place.alias("__p")).join(first, KEYS).where(F.col("__p") != F.col("__first"))
+             .select("__p.*", "__first"))
     same = (F.col("__id") == F.col("__first.__id")) & (F.col("__text") == F.col("__first.__text"))
     start = F.when(same, F.greatest(F.col("__pos"), F.col("__first.__pos") + 3)).otherwise(F.col("__pos"))
     spans = later.select("__id", "__text", start.alias("__from"), (F.col("__pos") + 2).alias("__to")).where("__from <= __to")
@@ -82,7 +93,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     The text travels to the join once, as its lines; only a text without lines travels as it is.
     """
     rest = [F.col(c) for c in docs.columns if c != "text"] or [F.lit(None).alias("none")]
-    keyed = docs.select(F.struct(*rest).alias("__row"), *_order_key(), lines(F.col("text")).alias("__lines"), "text")
+    keyed = docs.select(F.struct(*rest).alias("__row"), *_names(), lines(F.col("text")).alias("__lines"), "text")
     keyed = keyed.select("__row", "__id", "__text", "__lines", F.when(F.size("__lines") == 0, F.col("text")).alias("__bare"))
     gone = covered_lines(docs)
     whole = keyed.join(gone.withColumnsRenamed({"__id": "__i", "__text": "__t"}),
