@@ -65,14 +65,6 @@ def app_id(spark: SparkSession) -> str:
     return spark.conf.get("spark.app.id", None) or (sc.applicationId if sc is not None else "app")
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    """Cores available to the application."""
-    sc = _context(spark)
-    if sc is not None:
-        return sc.defaultParallelism
-    return int(spark.conf.get("spark.default.parallelism", "8"))
-
-
 # Folders made for local sessions whose spark.checkpoint.dir is unset, by application.
 _LOCAL_ROOTS: dict[str, str] = {}
 
