@@ -104,7 +104,7 @@ def clock(done: Column, segments: Column) -> Column:
 
 
 def plan_mix(docs: DataFrame, schedule: DataFrame, share: float = 1.5, max_epochs: int = 2,
-             size: str = "size", bucket_rows: int = 5000) -> DataFrame:
+             size: str = "size", bucket_rows: int = 1000) -> DataFrame:
     """One row per document: its columns, ``source_size``, ``target``, ``copies``, ``taken``
     (words taken, repeats counted), ``source_clock`` pieces and ``position`` (training
     position of the first copy in tokens, null if the mix takes none).
