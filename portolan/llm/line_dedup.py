@@ -1,7 +1,7 @@
 """Operator 4: line dedup by overlapping three-line windows.
 
 A text is read as wrapped lines: a line ends at a line feed, at the first sentence end after
-``least`` words (4), or after ``most`` words (12), so that one long paragraph is several lines and the
+``least`` words (4), or after ``most`` words (14), so that one long paragraph is several lines and the
 same passage is cut alike wherever it stands. All windows of three consecutive lines are
 hashed; windows that occur more than once in the corpus are found by counting; of each, the
 first occurrence (by id, text hash, line) stays and all later ones cover their three lines,
@@ -31,13 +31,13 @@ _S, _W, _B = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]", r"[\x20\x09\x0B-\x0D]"
 KEYS = ["__h1", "__h2"]
 
 
-def line_pattern(least: int = 4, most: int = 12) -> str:
+def line_pattern(least: int = 4, most: int = 14) -> str:
     """One wrapped line with its white space: up to ``least - 1`` words, then words up to a sentence end,
     ``most`` in all; a line feed ends it anywhere."""
     return (f"{_S}*(?:{_W}+{_B}+){{0,{least - 1}}}(?:{_W}*[^\\x20\\x09-\\x0D.!?]{_B}+){{0,{most - least}}}{_W}+{_S}*")
 
 
-def lines(text: Column, least: int = 4, most: int = 12) -> Column:
+def lines(text: Column, least: int = 4, most: int = 14) -> Column:
     """The wrapped lines; joined they are the text. A text without words has none."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(line_pattern(least, most)), F.lit(0))
 
