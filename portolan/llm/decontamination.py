@@ -1,7 +1,7 @@
 """Operator 9: benchmark decontamination by SimHash windows.
 
-Every benchmark item of L words is searched in windows of exactly L words of every document.
-Item and window are fingerprinted by the SimHash of their five-word shingles, repeats
+Every benchmark item of L words is searched in windows of exactly L words of every document; a
+document of fewer words is one window as a whole. Item and window are fingerprinted by the SimHash of their five-word shingles, repeats
 counted. A multi-index over the items' fingerprints cuts the 64 bits into ``radius + 1``
 blocks: an item within the radius of a window shares at least one block with it exactly, so
 the index returns all items within the radius. Candidates are then verified by the exact
@@ -13,7 +13,9 @@ some item need a fingerprint: the words are hashed, shingles are looked up in th
 shingles of the items, and a window of n shingles is fingerprinted if at least
 ``2 n similarity / (1 + similarity)`` of them are found there. That test can't lose a window
 (a smaller overlap cannot reach the similarity), and it keeps the cost per document near
-that of splitting it into words.
+that of splitting it into words. A whole document of m shingles against an item of n needs a similarity
+of ``min(m, n) / max(m, n)`` at least, and ``(m + n) similarity / (1 + similarity)`` shared shingles; the few items
+of such sizes that share one with it are compared exactly, without fingerprints.
 
 The items are a stated query set against all documents. They are read in blocks of at most
 ``block_items`` items and ``block_bytes`` bytes, and each block's index is broadcast, so what is
@@ -148,7 +150,7 @@ class BenchmarkIndex:
         held = np.concatenate([[0], np.cumsum(seen)]) if seen.any() else None
         for length in self.lengths:
             if length > len(words):
-                break
+                break  # see _whole
             if length < SHINGLE:
                 hashes, span = np.array([shingles(w)[0] for w in np.lib.stride_tricks.sliding_window_view(words, length)], np.uint64), 1
                 found = self._known(hashes, self.short[length])
@@ -174,8 +176,27 @@ class BenchmarkIndex:
                 held = []
         if held:
             self._match(held, best)
+        self._whole(words, best)
         return list(best.values())
 
+    def _whole(self, words: np.ndarray, best: dict[int, tuple]) -> None:
+        """The whole text against the items of more words. A text of fewer than five words is a shingle that they don't have."""
+        if len(words) < SHINGLE or not self.lengths or len(words) >= self.lengths[-1]:
+            return
+        hashes = shingles(words)
+        n, known = len(hashes), self._known(hashes, self.long)
+        # The items have over n and at most n / similarity shingles.
+        if known.sum() < (2 * n + 1) * self.similarity / (1 + self.similarity) - 1e-9:
+            return
+        spans = self.sizes - SHINGLE + 1
+        window = Counter(hashes.tolist())
+        for i in np.flatnonzero((self.sizes > len(words)) & (spans * self.similarity <= n + 1e-9)).tolist():
+            shared = sum((window & self.shingles[i]).values())
+            similarity = shared / (n + int(spans[i]) - shared)
+            if similarity >= self.similarity:
+                distance = int(np.bitwise_count(simhash(hashes) ^ self.index.fps[i]))
+                best[i] = (self.items[i], 0, len(words), distance, similarity)
+
     @staticmethod
     def _fingerprints(hashes: np.ndarray, starts: np.ndarray, span: int) -> np.ndarray:
         low, high = int(starts[0]), int(starts[-1]) + span

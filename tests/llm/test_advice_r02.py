@@ -3,7 +3,7 @@
 import math
 from collections import Counter
 
-from portolan.llm import suffix_tree
+from portolan.llm import decontamination, suffix_tree
 from portolan.llm.common import utf8
 from tests.llm.helpers import docs_frame, words
 
@@ -57,3 +57,28 @@ def test_suffix_tree_keeps_rare_strings_in_a_large_corpus(spark):
         assert len(rows) == len(texts)
         for r in rows:
             assert math.isclose(r.score - r.base_score, want[r.doc_id], rel_tol=1e-6, abs_tol=1e-6)
+
+
+def test_decontamination_compares_short_documents_whole(spark):
+    """A document that is an item less a few words, against brute force over all windows and whole texts."""
+    import random
+    rng = random.Random(4)
+    items = [[f"v{rng.randrange(400)}" for _ in range(rng.choice([6, 15, 30, 50, 59]))] for _ in range(20)]
+    texts = [w[a:len(w) - b] for w in items for a, b in ((0, 1), (0, 2), (3, 0), (1, 4), (0, 9), (6, 6))]
+    texts += [["start", *w[:-1]] for w in items] + [[*w[:20], "changed", *w[21:-2]] for w in items] + [["v1"], []]
+    grams = lambda w: Counter(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4)))
+    want = set()
+    for j, w in enumerate(items):
+        for i, t in enumerate(texts):
+            for s in range(max(1, len(t) - len(w) + 1)) if t else ():
+                a, b = grams(w), grams(t[s:s + len(w)])
+                shared = sum((a & b).values())
+                if shared >= 0.8 * (a.total() + b.total() - shared):
+                    want.add((i, j))
+    assert sum(len(texts[i]) < len(items[j]) for i, j in want) > 40
+    docs = docs_frame(spark, [(i, " ".join(t)) for i, t in enumerate(texts)])
+    bench = spark.createDataFrame([(j, " ".join(w)) for j, w in enumerate(items)], "item_id long, text string")
+    found = decontamination.contaminated(docs, bench)
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == want
+    kept = decontamination.decontaminate(docs, bench, block_items=7).collect()
+    assert {r.doc_id for r in kept} == set(range(len(texts))) - {i for i, _ in want}
