@@ -3,7 +3,7 @@
 import math
 from collections import Counter
 
-from portolan.llm import decontamination, suffix_tree
+from portolan.llm import decontamination, line_dedup, suffix_tree
 from portolan.llm.common import utf8
 from tests.llm.helpers import docs_frame, words
 
@@ -82,3 +82,22 @@ def test_decontamination_compares_short_documents_whole(spark):
     assert {(r.doc_id, r.item_id) for r in found.collect()} == want
     kept = decontamination.decontaminate(docs, bench, block_items=7).collect()
     assert {r.doc_id for r in kept} == set(range(len(texts))) - {i for i, _ in want}
+
+
+def test_line_dedup_finds_unpunctuated_passages_at_any_offset(spark):
+    """Planted passages of 51 to 80 words in text without punctuation: brute force on words counts those that stay."""
+    import random
+    rng = random.Random(6)
+    ends = ["the", "of", "and", "to", "in", "is", "that", "for", "it", "as", "was", "with", "be", "by", "on", "not", "he", "his", "but", "at"]
+    word = lambda: rng.choice(ends) if rng.random() < 0.4 else f"{rng.choice('bcdfglmpst')}{rng.randrange(10**4)}{rng.choice(ends)}"
+    some = lambda n: [word() for _ in range(n)]
+    passages = [some(rng.randint(51, 80)) for _ in range(200)]
+    texts = [some(rng.randint(0, 30)) + p + some(rng.randint(0, 30)) for _ in range(2) for p in passages]
+    out = {r.doc_id: r.text.split() for r in line_dedup.line_report(docs_frame(spark, [(i, " ".join(t)) for i, t in enumerate(texts)])).collect()}
+    assert all(out[i] == texts[i] for i in range(200))
+    left = 0
+    for i, p in enumerate(passages):
+        t = out[200 + i]
+        runs = {tuple(p[k:k + 50]) for k in range(len(p) - 49)}
+        left += any(tuple(t[k:k + 50]) in runs for k in range(len(t) - 49))
+    assert left <= 0.1 * len(passages), left
