@@ -1,8 +1,9 @@
 """Near-dedup of whole documents on top of operator 5: SimHash candidates, verified by shingles.
 
-Fingerprints within ``radius`` bits form candidate groups (``simhash.similar_fingerprints``); inside a
-group, texts are linked if their fingerprints lie within the radius and the Jaccard
-similarity of their five-word shingle sets is at least ``similarity``. One document of every
+Every text gets ``PRINTS`` independent fingerprints of its three-word shingles. Texts of which any two
+fingerprints of a kind lie within ``radius`` bits form candidate groups (``simhash.similar_fingerprints``); inside a
+group, texts are linked if the Jaccard similarity of their five-word shingle sets is at least ``similarity``. (With one fingerprint, as ``text_classes`` has it
+unless told otherwise, linked texts also lie within the radius; the stage takes all.) One document of every
 class of linked texts stays: the one with the smallest id.
 
 Equal texts are one text from the start, so copies cost one row each. A candidate group is compared
@@ -27,9 +28,10 @@ from pyspark.sql import functions as F
 
 from portolan.llm.common import byte_rows, checkpoint, utf8
 from portolan.llm.components import connected_components
-from portolan.llm.simhash import Forest, fingerprints, shingle_hashes, similar_fingerprints
+from portolan.llm.simhash import BITS, Forest, bit_counts, shingle_hashes, similar_fingerprints
 
 NO_ID = (1 << 63) - 1
+PRINTS = 6
 
 
 def _named(docs: DataFrame) -> DataFrame:
@@ -49,7 +51,49 @@ def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.record_batch([*(part.column(c) for c in keep), pa.array(sets, pa.list_(pa.int64()))], names=[*keep, "shingles"])
 
 
-def verified_links(sets: pd.DataFrame, radius: int, similarity: float) -> pd.DataFrame:
+def fingerprint_sets(rows: DataFrame, several: int) -> DataFrame:
+    """``doc_id`` and ``prints`` of every row: the SimHash of operator 5 and those of the remixed shingle hashes."""
+    def mixed(hashes: np.ndarray, k: int) -> np.ndarray:
+        if not k:
+            return hashes
+        out = (hashes ^ np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64))) * np.uint64(0xBF58476D1CE4E5B9)
+        out = (out ^ (out >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+        return out ^ (out >> np.uint64(29))
+
+    def prints(text: bytes) -> list[int]:
+        counts, n = np.zeros((several, BITS), np.int64), 0
+        for hashes in shingle_hashes(text, 3):
+            counts += np.stack([bit_counts(mixed(hashes, k)) for k in range(several)])
+            n += len(hashes)
+        return np.packbits(counts * 2 > n, axis=1).view(">i8").ravel().tolist() if n else [0] * several
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in byte_rows(batches):
+            yield pa.record_batch({"doc_id": part.column("doc_id"),
+                                   "prints": pa.array([prints(t) for t in part.column("text").to_pylist()], pa.list_(pa.int64()))})
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.select("doc_id", "text").mapInArrow(hashed, f"doc_id {kind}, prints array<long>")
+
+
+def candidate_groups(texts: DataFrame, radius: int, several: int) -> DataFrame:
+    """``(node, label)`` of the texts that are alike in any fingerprint, directly or over others."""
+    filed = checkpoint(texts.select("node", F.posexplode("prints").alias("k", "fp")))
+    hub = lambda c: F.xxhash64(F.col("k"), F.col(c))
+    links = None
+    for k in range(several):
+        found = similar_fingerprints(filed.where(F.col("k") == k).select("fp").distinct(), radius).withColumn("k", F.lit(k))
+        found = checkpoint(found.select(hub("a").alias("a"), hub("b").alias("b")))
+        links = found if links is None else links.union(found)
+    # Only fingerprints that are linked, or that several texts share, bring texts together.
+    named = filed.select("node", hub("fp").alias("hub"))
+    shared = named.groupBy("hub").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hub")
+    hubs = links.select(F.col("a").alias("hub")).union(links.select("b")).union(shared).distinct()
+    joined = named.join(hubs, "hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    return connected_components(checkpoint(links.union(joined)))
+
+
+def verified_links(sets: pd.DataFrame, within: int, similarity: float) -> pd.DataFrame:
     """A spanning forest of the links of one cell: ``home`` rows against all rows (``node``, ``fp``, ``shingles``)."""
     sets = sets.sort_values("home", ascending=False).drop_duplicates("node")
     node, fp, home = sets["node"].to_numpy(), sets["fp"].to_numpy(), sets["home"].to_numpy()
@@ -57,7 +101,7 @@ def verified_links(sets: pd.DataFrame, radius: int, similarity: float) -> pd.Dat
     sizes = np.array([len(s) for s in shingles])
     forest, edges = Forest(len(node)), []
     for a in np.flatnonzero(home).tolist():
-        close = (np.bitwise_count((fp ^ fp[a]).view(np.uint64)) <= radius) \
+        close = (np.bitwise_count((fp ^ fp[a]).view(np.uint64)) <= within) \
             & (np.minimum(sizes, sizes[a]) >= similarity * np.maximum(sizes, sizes[a]))
         for b in np.flatnonzero(close).tolist():
             if a == b or forest.find(a) == forest.find(b):
@@ -70,17 +114,17 @@ def verified_links(sets: pd.DataFrame, radius: int, similarity: float) -> pd.Dat
 
 
 def text_classes(docs: DataFrame, radius: int = 7, similarity: float = 0.8, cell: int = 256,
-                 cell_bytes: int = 32 << 20) -> DataFrame:
+                 cell_bytes: int = 32 << 20, several: int = 1) -> DataFrame:
     """``(fp, text, low, label)``: every distinct text by fingerprint and hash, its smallest id, and the label of its class."""
     named = _named(docs)
     rows = named.select(F.struct("__id", "__text", "__size").alias("doc_id"), F.col("__bytes").alias("text"))
-    hashed = fingerprints(rows, 3).select("fp", F.col("doc_id.__text").alias("text"), F.col("doc_id.__id").alias("id"),
+    hashed = fingerprint_sets(rows, several).select(F.col("prints")[0].alias("fp"), "prints", F.col("doc_id.__text").alias("text"), F.col("doc_id.__id").alias("id"),
                                           F.col("doc_id.__size").alias("size"))
-    texts = checkpoint(hashed.groupBy("fp", "text").agg(F.min("id").alias("low"), F.max("size").alias("size"))
+    texts = checkpoint(hashed.groupBy("fp", "text").agg(F.min("id").alias("low"), F.max("size").alias("size"), F.first("prints").alias("prints"))
                        .withColumn("node", F.xxhash64("fp", "text")))
-    near = connected_components(checkpoint(similar_fingerprints(texts.select("fp").distinct(), radius)))
-    groups = texts.join(near.withColumnRenamed("node", "at"), F.col("fp") == F.col("at"), "left")
-    groups = groups.select("fp", "text", "low", "size", "node", F.coalesce("label", "fp").alias("group"))
+    near = candidate_groups(texts, radius, several)
+    groups = texts.join(near.withColumnRenamed("node", "at"), F.col("node") == F.col("at"), "left")
+    groups = groups.select("fp", "text", "low", "size", "node", F.coalesce("label", "node").alias("group"))
     # Candidate groups hold at least two texts; only their texts are read again.
     blocks = F.ceil(F.greatest(F.count(F.lit(1)) / cell, F.sum("size") / cell_bytes)).cast("int")
     sizes = groups.groupBy(F.col("group").alias("g")).agg(F.count(F.lit(1)).alias("n"), blocks.alias("blocks")).where("n > 1")
@@ -97,7 +141,7 @@ def text_classes(docs: DataFrame, radius: int = 7, similarity: float = 0.8, cell
     # Two texts meet once: only the cells on and above the diagonal are needed.
     places = F.filter(F.array_distinct(F.concat(row, F.filter(column, lambda p: p["r"] != p["c"]))), lambda p: p["r"] <= p["c"])
     cells = sets.select("node", "fp", "group", "shingles", F.inline(places))
-    links = cells.groupBy("group", "r", "c").applyInPandas(lambda pdf: verified_links(pdf, radius, similarity), "a long, b long")
+    links = cells.groupBy("group", "r", "c").applyInPandas(lambda pdf: verified_links(pdf, radius if several == 1 else BITS, similarity), "a long, b long")
     labels = connected_components(checkpoint(links))
     return texts.join(labels.withColumnRenamed("node", "at"), F.col("node") == F.col("at"), "left").select(
         "fp", "text", "low", F.coalesce("label", "node").alias("label"))
@@ -105,7 +149,7 @@ def text_classes(docs: DataFrame, radius: int = 7, similarity: float = 0.8, cell
 
 def drop_near_duplicates(docs: DataFrame, radius: int = 7, similarity: float = 0.8) -> DataFrame:
     """One document of every class, all columns."""
-    classes = text_classes(docs, radius, similarity)
+    classes = text_classes(docs, radius, similarity, several=PRINTS)
     keepers = checkpoint(classes.groupBy("label").agg(F.min(F.struct("low", "text")).alias("k")).select("k.low", "k.text"))
     kept = _named(docs).drop("__bytes").join(keepers, (F.col("__id") == F.col("low")) & (F.col("__text") == F.col("text")))
     return kept.dropDuplicates(["__id", "__text"]).select("__row.*")

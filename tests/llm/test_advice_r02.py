@@ -3,9 +3,9 @@
 import math
 from collections import Counter
 
-from portolan.llm import decontamination, line_dedup, suffix_tree
+from portolan.llm import decontamination, line_dedup, near_dedup, suffix_tree
 from portolan.llm.common import utf8
-from tests.llm.helpers import docs_frame, words
+from tests.llm.helpers import docs_frame, shingle_set, simhash, words
 
 
 def brute_scores(texts, mass=10.0, cutoff=3.0, floor=2, depth=3):
@@ -101,3 +101,20 @@ def test_line_dedup_finds_unpunctuated_passages_at_any_offset(spark):
         runs = {tuple(p[k:k + 50]) for k in range(len(p) - 49)}
         left += any(tuple(t[k:k + 50]) in runs for k in range(len(t) - 49))
     assert left <= 0.1 * len(passages), left
+
+
+def test_near_dedup_recall_by_jaccard_alone(spark):
+    """Pairs of 0.8 to 0.9 by brute force on five-word shingles, whatever the distance of their fingerprints."""
+    import random
+    rng, texts = random.Random(8), []
+    while len(texts) < 120:
+        base = [f"w{rng.randrange(10**6)}" for _ in range(rng.randint(60, 200))]
+        cut = rng.randint(len(base) // 20, len(base) // 5)
+        other = base[:len(base) - cut] if len(texts) % 4 else [*base[:-cut // 2], *(f"z{rng.randrange(10**6)}" for _ in range(cut // 2))]
+        a, b = shingle_set(" ".join(base)), shingle_set(" ".join(other))
+        if 0.8 <= len(a & b) / len(a | b) <= 0.9:
+            texts += [" ".join(base), " ".join(other)]
+    far = sum((simhash(texts[i]) ^ simhash(texts[i + 1])).bit_count() > 7 for i in range(0, 120, 2))
+    out = near_dedup.drop_near_duplicates(docs_frame(spark, list(enumerate(texts)))).count()
+    print("pairs beyond 7 bits:", far, "found:", 120 - out, "of 60")
+    assert far >= 15 and 120 - out >= 50
