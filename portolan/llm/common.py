@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import gc
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portolan.session import checkpoint_root
+from portolan.session import checkpoint_root, scratch_path
 
 #: White space and words of every operator here: the six ASCII white-space bytes.
 SPACE = r"[\x20\x09-\x0D]"
@@ -32,6 +33,28 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that are done with. It does so when the driver's garbage collectors
+    meet them, which on an idle heap may be half an hour away (``spark.cleaner.periodicGC.interval``). Call this
+    where large shuffles have just been written off by :func:`staged`; a checkpoint holds on to them until it is read."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def staged(df: DataFrame, name: str) -> tuple[DataFrame, Callable[[], None]]:
+    """``df`` written to the shared scratch folder and read back, and what deletes the files. Call it when
+    all that reads them has itself been written or checkpointed."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+
+    def delete() -> None:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+    return spark.read.schema(df.schema).parquet(path), delete
+
+
 def word_count(text: Column) -> Column:
     """Words of a text; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -10,8 +10,8 @@ first occurrence (by id, text hash, line) stays and all later ones cover their t
 except lines that the first occurrence itself covers. Covered lines are merged per document
 and removed.
 
-Built-in functions only. The texts are read twice to hash windows (cheaper than writing
-them) and shuffled once, by document, to remove lines. Windows travel as two 64-bit hashes of
+Built-in functions only. The texts are read once to hash their lines, which are written as numbers and read for both window
+passes, and shuffled once, by document, to remove lines. Windows travel as two 64-bit hashes of
 their lines' hashes; only those that repeat are written. A passage that a third of all documents share is one
 row per task in the counting, and in the joins its rows are split by AQE: both sides are
 read from files and dealt anew.
@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from portolan.llm.common import checkpoint, table
+from portolan.llm.common import free_shuffles, staged, table
 
 _S, _W, _B = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]", r"[\x20\x09\x0B-\x0D]"
 KEYS = ["__h1", "__h2"]
@@ -42,14 +42,22 @@ def line_pattern(least: int = 4, most: int = 12) -> str:
     return (f"{_S}*(?:{_W}+{_B}+){{0,{least - 1}}}(?:{_W}*[^\\x20\\x09-\\x0D{CUTS}]{_B}+){{0,{most - least}}}{_W}+{_S}*")
 
 
+def _line(least: int = 4, most: int = 12) -> str:
+    """The line of :func:`line_pattern` without the white space around it, for Java: no step takes back what it has matched, because
+    a word is passed over only if another follows."""
+    blank = r"[ \t\x0B\f\r]++"
+    return (rf"(?:\S++{blank}(?=\S)){{0,{least - 1}}}+(?:\S++(?<![{CUTS}]){blank}(?=\S)){{0,{most - least}}}+\S++")
+
+
 def lines(text: Column, least: int = 4, most: int = 12) -> Column:
     """The wrapped lines; joined they are the text. A text without words has none."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(line_pattern(least, most)), F.lit(0))
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(rf"\s*+{_line(least, most)}\s*+"), F.lit(0))
 
 
-def line_hash(line: Column) -> Column:
-    """The hash of a line without the white space around it."""
-    return F.xxhash64(F.btrim(line, F.lit(" \t\n\v\f\r")))
+def line_hashes(text: Column, least: int = 4, most: int = 12) -> Column:
+    """The hashes of the lines without the white space around them."""
+    bare = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(rf"\s*+({_line(least, most)})"), F.lit(1))
+    return F.transform(bare, lambda line: F.xxhash64(line))
 
 
 def _names() -> tuple[Column, Column]:
@@ -60,10 +68,19 @@ def _names() -> tuple[Column, Column]:
     return number.alias("__id"), F.pmod(hashed, F.lit(1 << 31)).alias("__text")
 
 
+def _hashed(docs: DataFrame) -> DataFrame:
+    """``(__id, __text, __l)``: the hashes of every document's lines."""
+    return docs.select(*_names(), line_hashes(F.col("text")).alias("__l"))
+
+
 def _windows(docs: DataFrame) -> DataFrame:
+    return _window_rows(_hashed(docs))
+
+
+def _window_rows(hashed: DataFrame) -> DataFrame:
     """``(__id, __at, __h1, __h2)``, a row per window of three lines, by two hashes of its three line hashes.
     ``__at`` holds the window's line number above the 31 bits of the text's hash."""
-    parts = docs.select(*_names(), F.transform(lines(F.col("text")), line_hash).alias("__l")).where(F.size("__l") >= 3)
+    parts = hashed.where(F.size("__l") >= 3)
     # The lines meet themselves one and two further on; past the end there is null.
     threes = F.arrays_zip(F.col("__l").alias("a"), F.slice("__l", 2, F.size("__l")).alias("b"), F.slice("__l", 3, F.size("__l")).alias("c"))
     rows = parts.select("__id", "__text", F.posexplode(threes).alias("__pos", "__w")).where("__w.c is not null")
@@ -77,12 +94,21 @@ def covered_lines(docs: DataFrame) -> DataFrame:
 
     The first pass counts by one hash, which finds all that may repeat; among those, both hashes decide.
     """
-    windows = _windows(docs)
-    repeated = checkpoint(windows.groupBy("__h1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("__h1"))
-    found = checkpoint(windows.join(repeated, "__h1"))
+    spark = docs.sparkSession
+    free_shuffles(spark)
+    # The texts are split once: a condition on the lines here would split them twice.
+    hashed, delete = staged(_hashed(docs), "line-hashes")
+    windows = _window_rows(hashed)
+    repeated, forget = staged(windows.groupBy("__h1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("__h1"), "repeated")
+    free_shuffles(spark)
+    found, _ = staged(windows.join(repeated, "__h1"), "repeated-windows")
+    delete()
+    forget()
+    free_shuffles(spark)
     text, pos = F.col("__at").bitwiseAND(F.lit((1 << 31) - 1)), F.shiftright("__at", 31).cast("int")
     place = F.struct("__id", text.alias("__text"), pos.alias("__pos"))
-    first = checkpoint(found.groupBy(*KEYS).agg(F.min(place).alias("__first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
+    first, _ = staged(found.groupBy(*KEYS).agg(F.min(place).alias("__first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "first-windows")
+    free_shuffles(spark)
     later = (found.select(*KEYS, place.alias("__p")).join(first, KEYS).where(F.col("__p") != F.col("__first"))
              .select("__p.*", "__first"))
     same = (F.col("__id") == F.col("__first.__id")) & (F.col("__text") == F.col("__first.__text"))
