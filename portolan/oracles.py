@@ -337,6 +337,22 @@ SELECT p_brand, type AS first_type, size AS first_size, price AS first_price FRO
         "SELECT f.i94addr, round(avg(c.Temperature), 4) AS avg_source_temperature, "
         "count(c.Temperature) AS n_with_temperature FROM fact f LEFT JOIN country c ON f.i94res = c.Code "
         "GROUP BY f.i94addr", "fact", "country")
+
+    def new_keys(name: str, key: str) -> str:
+        # The last two months; every other month comes before them.
+        return (f"SELECT '{name}' AS key, m.i94yr, m.i94mon, CAST(count(f.k) AS BIGINT) AS n_rows, count(DISTINCT f.k) AS n_keys, "
+                f"count(DISTINCT CASE WHEN f.n > 1 THEN f.k END) AS repeated_keys, count_if(f.n > 1) AS repeated_rows, "
+                f"count(DISTINCT CASE WHEN f.first < (m.i94yr, m.i94mon) THEN f.k END) AS seen_elsewhere, "
+                f"count_if(f.n > 1) = 0 AND count_if(f.first < (m.i94yr, m.i94mon)) = 0 AS passed "
+                f"FROM (SELECT DISTINCT i94yr, i94mon FROM fact ORDER BY i94yr DESC, i94mon DESC LIMIT 2) m JOIN "
+                f"(SELECT i94yr, i94mon, {key} AS k, count(*) OVER (PARTITION BY i94yr, i94mon, {key}) AS n, "
+                f"min((i94yr, i94mon)) OVER (PARTITION BY {key}) AS first FROM fact) f "
+                f"ON f.i94yr = m.i94yr AND f.i94mon = m.i94mon GROUP BY m.i94yr, m.i94mon")
+
+    o["dq_incremental_keys"] = with_views(f"{new_keys('cicid', 'cicid')} UNION ALL {new_keys('fltno', 'CAST(fltno AS BIGINT)')}", "fact")
+    for name in ("date_dimension", "average_stay", "visitors_by_nationality", "visitors_by_airline", "visitors_by_origin", "destination_source_lift",
+                 "visitor_demographics", "demographics_correlation", "temperature_correlation", "destination_source_climate"):
+        o[f"rolled_{name}"] = o[name]  # the same answer, finished from monthly states
     return o
 
 

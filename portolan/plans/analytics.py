@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from portolan import schemas
@@ -80,7 +80,11 @@ def visitors_by(fact: DataFrame, column: str, name: str = "visitors") -> DataFra
 def visitors_by_country(fact: DataFrame, country: DataFrame, code: str = "i94cit") -> DataFrame:
     """(Country, visitors) by the country that ``code`` points to (i94cit: nationality,
     i94res: residence). Codes without a country count under a null Country."""
-    per_code = visitors_by(fact, code, "_n")
+    return named_by_country(visitors_by(fact, code, "_n"), country, code)
+
+
+def named_by_country(per_code: DataFrame, country: DataFrame, code: str) -> DataFrame:
+    """``visitors_by_country`` from the counts ``_n`` per code."""
     names = country.select(F.col("Code").alias("_code"), "Country")
     named = per_code.join(names, per_code[code] == names["_code"], "left")
     return named.groupBy("Country").agg(F.sum("_n").alias("visitors"))
@@ -98,6 +102,11 @@ def visitor_demographics(fact: DataFrame, states: DataFrame, genders: Sequence[s
     Visitors without a listed state count under a null name."""
     share = [(F.count_if(F.col("gender") == g) / F.nullif(F.count("gender"), F.lit(0))).alias(f"share_{g}") for g in genders]
     per_state = fact.groupBy(dest).agg(F.count(F.lit(1)).alias("visitors"), F.avg(age).alias("avg_age"), *share)
+    return demographics_of(per_state, states, genders, dest)
+
+
+def demographics_of(per_state: DataFrame, states: DataFrame, genders: Sequence[str], dest: str) -> DataFrame:
+    """``visitor_demographics`` from ``visitors``, ``avg_age`` and ``share_*`` per destination."""
     names = states.select(F.col("Code").alias("_code"), "State", "TotalPopulation")
     joined = per_state.join(names, per_state[dest] == names["_code"], "left")
     return joined.select(dest, F.col("State").alias("state"), F.col("TotalPopulation").alias("population"), "visitors", "avg_age",
@@ -109,6 +118,11 @@ def destination_source_lift(fact: DataFrame, dest: str = "i94addr", src: str = "
     """(dest, src, visitors, lift) with lift = n * N / (n_dest * n_src): how much more often a
     destination is chosen by a source than if the two were independent (1 = independent)."""
     pairs = fact.where(F.col(dest).isNotNull()).groupBy(dest, src).agg(F.count(F.lit(1)).alias("visitors"))
+    return lift_of_pairs(pairs, dest, src)
+
+
+def lift_of_pairs(pairs: DataFrame, dest: str, src: str) -> DataFrame:
+    """``destination_source_lift`` from ``visitors`` per pair."""
     total = pairs.agg(F.sum("visitors")).scalar()
     n_dest = F.sum("visitors").over(Window.partitionBy(dest))
     n_src = F.sum("visitors").over(Window.partitionBy(src))
@@ -116,29 +130,49 @@ def destination_source_lift(fact: DataFrame, dest: str = "i94addr", src: str = "
     return pairs.select(dest, src, "visitors", lift.alias("lift"))
 
 
+def correlation(a: Column, b: Column) -> Column:
+    """``corr``, but null where one side doesn't vary (``corr`` divides by zero there, an error in ANSI mode)."""
+    both = a.isNotNull() & b.isNotNull()
+    x, y = F.when(both, a), F.when(both, b)
+    return F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(x) * F.var_pop(y)))
+
+
 def demographics_correlation(fact: DataFrame, states: DataFrame, columns: Sequence[str],
                              dest: str = "i94addr") -> DataFrame:
     """One row: states matched, and corr(visitors per state, column) for each state column."""
     per_state = fact.where(F.col(dest).isNotNull()).groupBy(dest).agg(F.count(F.lit(1)).alias("_n"))
+    return state_correlation(per_state, states, columns, dest)
+
+
+def state_correlation(per_state: DataFrame, states: DataFrame, columns: Sequence[str], dest: str) -> DataFrame:
+    """``demographics_correlation`` from the counts ``_n`` per destination."""
     joined = per_state.join(states, per_state[dest] == states["Code"], "inner")
     return joined.agg(F.count(F.lit(1)).alias("states_matched"),
-                      *[F.corr(F.col("_n").cast("double"), F.col(f"`{c}`").cast("double")).alias(f"corr_{c}")
+                      *[correlation(F.col("_n").cast("double"), F.col(f"`{c}`").cast("double")).alias(f"corr_{c}")
                         for c in columns])
 
 
 def temperature_correlation(fact: DataFrame, country: DataFrame, src: str = "i94res") -> DataFrame:
     """One row: countries matched, corr(visitors per source country, its temperature)."""
-    per_src = visitors_by(fact, src, "_n")
+    return climate_correlation(visitors_by(fact, src, "_n"), country, src)
+
+
+def climate_correlation(per_src: DataFrame, country: DataFrame, src: str) -> DataFrame:
+    """``temperature_correlation`` from the counts ``_n`` per source."""
     joined = per_src.join(country.select("Code", "Temperature"), per_src[src] == F.col("Code"), "inner")
     return joined.agg(F.count(F.lit(1)).alias("countries_matched"),
-                      F.corr(F.col("_n").cast("double"), F.col("Temperature")).alias("corr_temperature"))
+                      correlation(F.col("_n").cast("double"), F.col("Temperature")).alias("corr_temperature"))
 
 
 def destination_source_climate(fact: DataFrame, country: DataFrame, dest: str = "i94addr",
                                src: str = "i94res") -> DataFrame:
     """(dest, avg_source_temperature, n_with_temperature): mean temperature of the visitors'
     countries of residence per destination, over visitors whose country has one."""
-    pairs = fact.groupBy(dest, src).agg(F.count(F.lit(1)).alias("_n"))
+    return climate_of_pairs(fact.groupBy(dest, src).agg(F.count(F.lit(1)).alias("_n")), country, dest, src)
+
+
+def climate_of_pairs(pairs: DataFrame, country: DataFrame, dest: str, src: str) -> DataFrame:
+    """``destination_source_climate`` from the counts ``_n`` per pair."""
     temps = country.select(F.col("Code").alias("_code"), F.col("Temperature").alias("_t"))
     joined = pairs.join(temps, pairs[src] == temps["_code"], "left")
     weight = F.when(F.col("_t").isNotNull(), F.col("_n"))

@@ -36,8 +36,9 @@ class Sources:
 
 
 def build_warehouse(spark: SparkSession, sources: Sources, output_root: str, database: str,
-                    debug_size: int | None = None) -> DataFrame:
-    """Run every job and load the warehouse; returns the per-table check report."""
+                    debug_size: int | None = None, whole_months: bool = True) -> DataFrame:
+    """Run every job and load the warehouse; returns the per-table check report. ``whole_months=False``: the arrivals are a piece
+    of their months and are merged into them by key; by default a delivered month replaces the month that is there."""
     out = output_root.rstrip("/")
     raw = immigration.read_immigration(spark, sources.immigration, sources.immigration_format,
                                        debug_size=debug_size, **sources.immigration_options)
@@ -54,8 +55,8 @@ def build_warehouse(spark: SparkSession, sources: Sources, output_root: str, dat
     demographics.process_states(state_lookup(spark, sources.state_lookup), cities, f"{out}/states.parquet")
     countries.process_countries(temps, country_lookup(spark, sources.country_lookup), f"{out}/country.parquet")
     tables = {name: spark.read.parquet(f"{out}/{name}.parquet") for name in ("immigration", "country", "states")}
-    # The fact keeps every delivered month (each load replaces only its own months), so the
-    # date dimension is derived from the whole loaded fact, not from this delivery alone.
-    tables["date"] = lambda: immigration.date_dimension(spark.table(f"`{database}`.`immigration`"))
+    # The fact keeps every delivered month, so the date dimension covers all of them: it is united from the days of
+    # each month, of which only the delivered ones are read from the fact.
+    tables["date"] = lambda load: load.answers().date_dimension()
     # The staged fact is already clustered by its partitions: no second shuffle of it.
-    return warehouse.warehouse_load(spark, database, f"{out}/warehouse", tables, rebalance=False)
+    return warehouse.warehouse_load(spark, database, f"{out}/warehouse", tables, rebalance=not whole_months, whole_months=whole_months)

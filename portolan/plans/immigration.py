@@ -60,7 +60,7 @@ def date_dimension(facts: DataFrame, columns: Sequence[str] = tuple(schemas.IMMI
     are parsed. For raw records use :func:`date_dimension_of_days`, which works on numbers.
     """
     texts = facts.select(F.explode(F.array(*[F.col(c) for c in columns])).alias("text_")).distinct()
-    return _calendar(texts.select(iso_date(F.col("text_")).alias("day_")))
+    return calendar(texts.withColumnRenamed("text_", "date"))
 
 
 def date_dimension_of_days(raw: DataFrame, columns: Sequence[str] = tuple(schemas.IMMIGRATION_DATE_COLUMNS)) -> DataFrame:
@@ -70,6 +70,11 @@ def date_dimension_of_days(raw: DataFrame, columns: Sequence[str] = tuple(schema
     return _calendar(numbers.select(day_number_to_date(F.col("number_")).alias("day_")))
 
 
+def calendar(dates: DataFrame) -> DataFrame:
+    """The date dimension of the ISO dates in the column ``date``."""
+    return _calendar(dates.select(iso_date(F.col("date")).alias("day_")))
+
+
 def _calendar(days: DataFrame) -> DataFrame:
     days = days.where(F.col("day_").isNotNull()).distinct()
     parts = date_parts(F.col("day_"))
