@@ -31,6 +31,7 @@ def main(argv: list[str] | None = None) -> None:
     build.add_argument("--out", required=True, help="output folder (shared storage)")
     build.add_argument("--database", required=True)
     build.add_argument("--debug-size", type=int, help="keep only this many arrival records")
+    build.add_argument("--pieces", action="store_true", help="the arrivals are a piece of their months: merge them in by key")
     build.add_argument("--hive", action="store_true", help="keep the catalog in the cluster's metastore")
     args = parser.parse_args(argv)
 
@@ -40,7 +41,7 @@ def main(argv: list[str] | None = None) -> None:
                       country_lookup=args.country_lookup, airport=args.airport,
                       immigration_format=args.immigration_format,
                       immigration_options=dict(o.split("=", 1) for o in args.immigration_option))
-    report = build_warehouse(spark, sources, args.out, args.database, args.debug_size)
+    report = build_warehouse(spark, sources, args.out, args.database, args.debug_size, whole_months=not args.pieces)
     report.show(truncate=False)
 
 

@@ -7,6 +7,7 @@ inside whole-stage code generation and Catalyst can prune and push through it.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,27 +22,71 @@ def _as_type(dtype: T.DataType | str) -> T.DataType:
     return T._parse_datatype_string(dtype)
 
 
+# Text that can be cast to a number: a decimal number with an exponent, or a hexadecimal one, between blanks and
+# control characters. Other text is not cast at all, as a cast that fails costs an exception for every value.
+NUMBER_TEXT = (r"^[\x00-\x20\x7F-\x9F]*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|0[xX][0-9a-fA-F.]+[pP][+-]?\d+)[dDfF]?"
+               r"[\x00-\x20\x7F-\x9F]*$")
+_BITS = {T.ByteType: 7, T.ShortType: 15, T.IntegerType: 31, T.LongType: 63}
+
+
+def _in_range(column: Column, source: T.DataType, target: T.DataType) -> Column | None:
+    """Whether a number fits an integral type, after truncation; None if every one does."""
+    bits = _BITS[type(target)]
+    if isinstance(source, _INTEGRAL):
+        return None if _BITS[type(source)] <= bits else column.between(-(1 << bits), (1 << bits) - 1)
+    high = float(1 << bits)
+    # Doubles next to the ends of bigint are whole; Spark takes 2^63 for its largest value. NaN is above all.
+    return (column >= -high) & (column <= high) if bits == 63 else (column > -high - 1) & (column < high)
+
+
 def lenient_cast(column: Column, source: T.DataType, target: T.DataType | str) -> Column:
     """Cast that yields null where the value does not fit, never an error.
 
     Text holding a decimal number (``'5.0'``) still reaches an integral type: the
     plain cast is tried first, then a cast through double (which truncates, like a
-    cast of a double does).
+    cast of a double does). Values that can't be cast are told by their form or range, not by a cast that fails.
     """
     target = _as_type(target)
-    if isinstance(source, T.StringType) and isinstance(target, _INTEGRAL):
-        return F.coalesce(column.try_cast(target), column.try_cast("double").try_cast(target))
+    if isinstance(target, _INTEGRAL):
+        if isinstance(source, T.StringType):
+            number = column.try_cast("double")
+            return F.when(column.rlike(NUMBER_TEXT),
+                          F.coalesce(column.try_cast(target), F.when(_in_range(number, T.DoubleType(), target), number.try_cast(target))))
+        if isinstance(source, (*_INTEGRAL, T.DoubleType, T.FloatType)):
+            fits = _in_range(column, source, target)
+            return column.cast(target) if fits is None else F.when(fits, column.try_cast(target))
     return column.try_cast(target)
 
 
-def convert_types(df: DataFrame, types: Mapping[str, T.DataType | str]) -> DataFrame:
-    """Cast the named columns that exist; names absent from ``df`` are ignored."""
+def convert_types(df: DataFrame, types: Mapping[str, T.DataType | str], rejects: str | None = None) -> DataFrame:
+    """Cast the named columns that exist; names absent from ``df`` are ignored.
+
+    ``rejects`` names a column to add: the values of the row that were there and are null after the cast, as an array of ``(column,
+    value, reason)``, or null if all came through. It is computed in the same pass.
+    """
     current = {field.name: field.dataType for field in df.schema.fields}
     present = {name: dtype for name, dtype in types.items() if name in current}
-    if not present:
-        return df
-    return df.withColumns({name: lenient_cast(F.col(f"`{name}`"), current[name], dtype)
-                           for name, dtype in present.items()})
+    cast = {name: lenient_cast(F.col(f"`{name}`"), current[name], dtype) for name, dtype in present.items()}
+    if rejects is not None:
+        lost = []
+        for name, done in cast.items():
+            column = F.col(f"`{name}`")
+            reason = F.lit("out of range")
+            if isinstance(current[name], T.StringType):
+                reason = F.when(column.rlike(NUMBER_TEXT), reason).otherwise(F.lit("not a number"))
+            entry = F.struct(F.lit(name).alias("column"), column.cast("string").alias("value"), reason.alias("reason"))
+            lost.append(F.when(column.isNotNull() & done.isNull(), entry))
+        empty = F.lit(None).cast("array<struct<column:string,value:string,reason:string>>")
+        # Only rows that lose a value build the array.
+        any_lost = reduce(lambda a, b: a | b, [entry.isNotNull() for entry in lost]) if lost else F.lit(False)
+        cast[rejects] = F.when(any_lost, F.array_compact(F.array(*lost))) if lost else empty
+    return df.withColumns(cast) if cast else df
+
+
+def rejected_values(df: DataFrame, key: str, rejects: str) -> DataFrame:
+    """``(key, column, value, reason)``: a row for every value that a conversion lost (see :func:`convert_types`)."""
+    return (df.where(F.col(f"`{rejects}`").isNotNull()).select(F.col(f"`{key}`"), F.explode(F.col(f"`{rejects}`")).alias("_r"))
+            .select(F.col(f"`{key}`"), "_r.column", "_r.value", "_r.reason"))
 
 
 def drop_columns(df: DataFrame, *groups: Iterable[str]) -> DataFrame:

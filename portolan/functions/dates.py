@@ -41,6 +41,11 @@ def date_difference(first: Column, second: Column) -> Column:
     return F.datediff(iso_date(second.cast("string")), iso_date(first.cast("string")))
 
 
+def day_difference(first: Column, second: Column) -> Column:
+    """Signed days from ``first`` to ``second`` (day numbers); null if either is null."""
+    return (second - first).cast("int")
+
+
 def date_parts(date: Column) -> dict[str, Column]:
     """Calendar attributes of a DATE: ISO week of year, day of week with Sunday = 1."""
     return {

@@ -85,10 +85,20 @@ def mean_and_first(df: DataFrame, key: str, value: str, firsts: Sequence[str],
                    order_by: Column | None = None, ignore_nulls: bool = False,
                    mean_name: str = "mean") -> DataFrame:
     """Per key: mean of ``value`` (text is read as a number, non-numbers skipped) and the
-    first row's ``firsts``."""
-    aggs, unpack = first_value_columns({c: c for c in firsts}, order_by, ignore_nulls)
-    mean = F.avg(_c(value).try_cast("double")).alias(mean_name)
-    return df.groupBy(_c(key)).agg(mean, *aggs).select(_c(key), _c(mean_name), *unpack)
+    first row's ``firsts``.
+
+    In two steps: rows are first united by key and attributes with sums, counts and the smallest ``order_by``, all of fixed
+    width, so that the many rows of a source meet a hash aggregation; only the distinct attributes of a key (as many as
+    it has coordinates, say) meet the aggregation that carries text. Rows that tie in ``order_by`` are ordered by their attributes.
+    """
+    number = _c(value).try_cast("double")
+    order = [] if order_by is None else [F.min(order_by).alias("_low")]
+    united = df.groupBy(_c(key), *[_c(c) for c in firsts]).agg(F.sum(number).alias("_sum"), F.count(number).alias("_n"), *order)
+    place = F.struct(*[_c(c) for c in firsts]) if order_by is None else \
+        F.when(F.col("_low").isNotNull(), F.struct(F.col("_low"), *[_c(c) for c in firsts]))
+    aggs, unpack = first_value_columns({c: c for c in firsts}, place, ignore_nulls)
+    mean = (F.sum("_sum") / F.nullif(F.sum("_n"), F.lit(0))).alias(mean_name)
+    return united.groupBy(_c(key)).agg(mean, *aggs).select(_c(key), _c(mean_name), *unpack)
 
 
 def two_level_mean(df: DataFrame, outer: str, inner: str, value: str,

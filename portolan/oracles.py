@@ -168,6 +168,8 @@ def _oracles() -> dict[str, str]:
     o["land_temperature"] = with_views(
         "SELECT seq, AverageTemperature, Latitude, Longitude, Country, City FROM temperature_raw",
         "temperature_raw")
+    o["land_temperature_by_city"] = with_views(
+        "SELECT seq, AverageTemperature, Latitude, Longitude, Country, City FROM temperature_raw WHERE City LIKE '%7'", "temperature_raw")
     o["land_airport"] = "SELECT s_suppkey, s_name, s_acctbal, s_nationkey FROM supplier"
     o["stage_table_load"] = with_views("SELECT * FROM date_dim", "date_dim")
     o["monthly_refresh"] = with_views(f"SELECT {FACT_COLUMNS} FROM fact", "fact")
@@ -269,13 +271,21 @@ SELECT p_brand, type AS first_type, size AS first_size, price AS first_price FRO
                 f"{there} AND coalesce({passed.format(v=value)}, false) AS passed")
 
     o["dq_sql_checks"] = " UNION ALL ".join(
-        check(sql, expected, "{v} IS NULL" if expected is None else "false" if "p_type" in sql else "{v} = "
-              + (_q(expected) if isinstance(expected, str) else str(expected))) for sql, expected in SQL_CHECKS)
-    loss = {"big": "abs(cicid * 100000) >= 2147483648", "visatype": "visatype IS NOT NULL"}
-    counted = [*(c for c in schemas.IMMIGRATION_INTEGER_COLUMNS if c in RAW_COLUMNS), "big", "fltno", "visatype"]
+        check(sql, expected, "{v} IS NULL" if expected is None else
+              f"typeof({{v}}) = 'VARCHAR' AND CAST({{v}} AS VARCHAR) = {_q(expected)}" if isinstance(expected, str) else
+              f"typeof({{v}}) <> 'VARCHAR' AND TRY_CAST({{v}} AS DOUBLE) = {expected}") for sql, expected in SQL_CHECKS)
+    # A value is lost if it is there and no integer of its type: text that isn't a number, or a number out of range.
+    typed = {c: ("BIGINT" if c in schemas.IMMIGRATION_LONG_COLUMNS else "INTEGER", c)
+             for c in schemas.IMMIGRATION_INTEGER_COLUMNS if c in RAW_COLUMNS}
+    typed |= {"big": ("INTEGER", "cicid * 100000"), "fltno": ("INTEGER", "fltno"), "visatype": ("INTEGER", "visatype")}
+    lost = {c: f"({x}) IS NOT NULL AND TRY_CAST(trunc(TRY_CAST({x} AS DOUBLE)) AS {t}) IS NULL" for c, (t, x) in typed.items()}
     o["dq_cast_loss"] = with_views(" UNION ALL ".join(
-        f"SELECT '{c}' AS \"column\", count_if({loss.get(c, 'false')}) AS lost, "
-        f"count_if({loss.get(c, 'false')}) = 0 AS passed FROM visits_raw" for c in counted), "visits_raw")
+        f"SELECT '{c}' AS \"column\", count_if({x}) AS lost, count_if({x}) = 0 AS passed FROM visits_raw" for c, x in lost.items()), "visits_raw")
+    values = {**{c: f"CAST({x} AS VARCHAR)" for c, (_, x) in typed.items()}, "big": "CAST(CAST(cicid AS BIGINT) * 100000 AS VARCHAR)"}
+    o["dq_rejects"] = with_views(" UNION ALL ".join(
+        f"SELECT CAST(trunc(cicid) AS BIGINT) AS cicid, '{c}' AS \"column\", {values[c]} AS value, "
+        f"CASE WHEN TRY_CAST({typed[c][1]} AS DOUBLE) IS NULL THEN 'not a number' ELSE 'out of range' END AS reason "
+        f"FROM visits_raw WHERE {x}" for c, x in lost.items()), "visits_raw")
     o["warehouse_load"] = with_views(" UNION ALL ".join(
         f"SELECT '{t}' AS \"table\", '{k.strip(chr(34))}' AS key, count(*) AS n_rows, "
         f"count_if({k} IS NULL) AS null_keys FROM {v}" for t, v, k in dq),

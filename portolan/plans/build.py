@@ -15,11 +15,15 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from portolan.operators.quality import cast_loss_report, raise_on_failure
+from portolan.functions.columns import rejected_values
 from portolan.plans import countries, demographics, immigration, landing, warehouse
 from portolan.sources.lookups import country_lookup, state_lookup
 
 
+#: Column of the staged fact with the values that conversion lost; ``rejected_arrivals`` lists them.
+REJECTS = "_rejects"
+
+
 @dataclass(frozen=True)
 class Sources:
     """Where the raw inputs are. ``immigration_format`` is any installed Spark source and
@@ -42,11 +46,9 @@ def build_warehouse(spark: SparkSession, sources: Sources, output_root: str, dat
     out = output_root.rstrip("/")
     raw = immigration.read_immigration(spark, sources.immigration, sources.immigration_format,
                                        debug_size=debug_size, **sources.immigration_options)
-    # A key that is there must not become null on its way into the fact.
-    raise_on_failure(cast_loss_report(raw, {c: immigration.IMMIGRATION_TYPES[c] for c in ("cicid", "i94yr", "i94mon")}),
-                     "Key conversion")
-    immigration.process_immigration(raw, output_path=f"{out}/immigration.parquet",
-                                    date_output_path=f"{out}/date.parquet")
+    # A key that is there must not become null on its way into the fact. What other columns lose is kept next to it.
+    immigration.process_immigration(raw, output_path=f"{out}/immigration.parquet", date_output_path=f"{out}/date.parquet",
+                                    rejects=REJECTS, must_keep=["cicid", "i94yr", "i94mon"])
     temps = landing.process_temperature(spark, sources.temperature, f"{out}/temperature.parquet")
     if sources.airport:
         landing.process_airport(spark, sources.airport, f"{out}/airport.parquet")
@@ -60,3 +62,8 @@ def build_warehouse(spark: SparkSession, sources: Sources, output_root: str, dat
     tables["date"] = lambda load: load.answers().date_dimension()
     # The staged fact is already clustered by its partitions: no second shuffle of it.
     return warehouse.warehouse_load(spark, database, f"{out}/warehouse", tables, rebalance=not whole_months, whole_months=whole_months)
+
+
+def rejected_arrivals(spark: SparkSession, output_root: str) -> DataFrame:
+    """``(cicid, column, value, reason)`` of the last delivery built below ``output_root``."""
+    return rejected_values(spark.read.parquet(f"{output_root.rstrip('/')}/immigration.parquet"), "cicid", REJECTS)

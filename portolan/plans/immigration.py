@@ -13,12 +13,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from portolan import schemas
-from portolan.functions.columns import convert_types, drop_columns
-from portolan.functions.dates import convert_day_numbers, date_parts, day_number_to_date, iso_date
+from portolan.functions.columns import convert_types, drop_columns, rejected_values  # noqa: F401 (re-exported)
+from portolan.functions.dates import convert_day_numbers, date_parts, day_difference, day_number_to_date, iso_date
+from portolan.operators.quality import DataQualityError
 from portolan.sources.io import load_data, save_data
 
 
@@ -40,14 +41,14 @@ def read_immigration(spark: SparkSession, path: str, format: str = "parquet",
     return load_data(spark, path, format, list(columns), debug_size, order_by=order_by, **options)
 
 
-def immigration_facts(raw: DataFrame, columns: Sequence[str] = schemas.IMMIGRATION_READ_COLUMNS) -> DataFrame:
-    """Raw arrival records -> fact rows (lazy)."""
+def immigration_facts(raw: DataFrame, columns: Sequence[str] = schemas.IMMIGRATION_READ_COLUMNS, rejects: str | None = None) -> DataFrame:
+    """Raw arrival records -> fact rows (lazy). ``rejects`` adds a column of the values that no type took (``convert_types``)."""
     present = [c for c in columns if c in raw.columns]
     df = raw.select(*present)
-    df = convert_types(df, IMMIGRATION_TYPES)
+    df = convert_types(df, IMMIGRATION_TYPES, rejects)
     if "arrdate" in df.columns and "depdate" in df.columns:
         # Signed days from arrival to departure; null when either day is unknown.
-        df = df.withColumn("stay", (F.col("depdate") - F.col("arrdate")).cast("int"))
+        df = df.withColumn("stay", day_difference(F.col("arrdate"), F.col("depdate")))
     df = convert_day_numbers(df, schemas.IMMIGRATION_DATE_COLUMNS)
     return drop_columns(df, schemas.IMMIGRATION_HIGH_NULL_COLUMNS, schemas.IMMIGRATION_UNUSED_COLUMNS)
 
@@ -84,7 +85,8 @@ def _calendar(days: DataFrame) -> DataFrame:
 def process_immigration(raw: DataFrame, output_path: str | None = None, date_output_path: str | None = None,
                         partition_by: Sequence[str] | None = tuple(schemas.IMMIGRATION_PARTITION_COLUMNS),
                         saved_columns: str | Sequence[str] = "*",
-                        max_records_per_file: int | None = None, rebalance: bool = True) -> DataFrame:
+                        max_records_per_file: int | None = None, rebalance: bool = True,
+                        rejects: str | None = None, must_keep: Sequence[str] = ()) -> DataFrame:
     """Build the fact, write it partitioned by arrival year/month, and write the date
     dimension. When the fact is written first, the date dimension reads just its two
     date columns back instead of recomputing the fact.
@@ -92,9 +94,23 @@ def process_immigration(raw: DataFrame, output_path: str | None = None, date_out
     ``rebalance`` shuffles rows on the partition columns before the write (few, evenly
     sized files per month, hot months split by AQE). Input delivered one file per month
     is already clustered: pass ``rebalance=False`` to write it without a shuffle.
+
+    ``rejects`` names a column of the written fact that holds the values lost in conversion (:func:`rejected_values` reads them
+    from there). A lost value of the columns ``must_keep`` raises :class:`DataQualityError` when the fact has been
+    written: they are counted while it is written, so the source is read once.
     """
-    facts = immigration_facts(raw)
-    if output_path is not None:
+    facts = immigration_facts(raw, rejects=rejects)
+    if output_path is not None and must_keep:
+        if rejects is None:
+            raise ValueError("must_keep needs a rejects column")
+        lost = Observation("lost")
+        of = lambda c: F.coalesce(F.exists(F.col(rejects), lambda r: r["column"] == c), F.lit(False))
+        save_data(facts.observe(lost, *[F.count_if(of(c)).alias(c) for c in must_keep]), output_path, columns=saved_columns,
+                  partition_by=list(partition_by or []), max_records_per_file=max_records_per_file, rebalance=rebalance)
+        failed = {c: n for c, n in lost.get.items() if n}
+        if failed:
+            raise DataQualityError(f"Key conversion validation FAILED: values lost {failed}")
+    elif output_path is not None:
         save_data(facts, output_path, columns=saved_columns, partition_by=list(partition_by or []),
                   max_records_per_file=max_records_per_file, rebalance=rebalance)
     if date_output_path is not None:

@@ -18,8 +18,8 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from portolan import fixtures as fx
 from portolan import schemas
 from portolan.checks import SQL_CHECKS
-from portolan.functions.columns import convert_types, drop_columns, refactor_values, rename_columns
-from portolan.functions.dates import convert_day_numbers, date_difference
+from portolan.functions.columns import convert_types, drop_columns, refactor_values, rejected_values, rename_columns
+from portolan.functions.dates import convert_day_numbers, day_difference
 from portolan.functions.text import title_case
 from portolan.operators.aggregate import first_values, pivot_sum
 from portolan.operators.quality import (cast_loss_report, duplicate_key_report, null_key_report, orphan_report,
@@ -113,6 +113,16 @@ def land_temperature(spark, d):
     return read_partitioned(spark, path, StructType([*fields, StructField("Country", StringType())]))
 
 
+def land_temperature_by_city(spark, d):
+    """The temperatures landed by country and, inside, in order of city; read back for the cities whose name ends in 7."""
+    temps = fx.temperature_raw(spark, d)
+    path = scratch_path(spark, "temperature-city")
+    landing.land(temps, path, ["Country"], cluster_by=["City", "seq"])
+    fields = [f for f in temps.schema.fields if f.name != "Country"]
+    landed = read_partitioned(spark, path, StructType([*fields, StructField("Country", StringType())]))
+    return landed.where(F.col("City").endswith("7"))
+
+
 def land_airport(spark, d):
     airports = fx.table(spark, d, "supplier")
     path = scratch_path(spark, "airport")
@@ -232,8 +242,8 @@ def sas_dates(spark, d):
 
 
 def stay_length(spark, d):
-    return facts(spark, d).select("cicid", "arrdate", "depdate",
-                                  date_difference(F.col("arrdate"), F.col("depdate")).alias("stay"))
+    raw = convert_types(fx.visits_raw(spark, d).select("cicid", "arrdate", "depdate"), immigration.IMMIGRATION_TYPES)
+    return convert_day_numbers(raw.withColumn("stay", day_difference(F.col("arrdate"), F.col("depdate"))), ["arrdate", "depdate"])
 
 
 # --- jobs ------------------------------------------------------------------------------
@@ -347,9 +357,10 @@ def dq_incremental_keys(spark, d):
 def dq_sql_checks(spark, d):
     """SQL checks with integer, fractional, text, null and missing results."""
     fx.table(spark, d, "part").createOrReplaceTempView("portolan_part")
-    return sql_check_report(spark, [{"check_sql": sql.replace("FROM part", "FROM portolan_part"), "expected_result": expected}
-                                    for sql, expected in SQL_CHECKS]).withColumn(
-        "check_sql", F.regexp_replace("check_sql", "portolan_part", "part"))
+    report = sql_check_report(spark, [{"check_sql": sql.replace("FROM part", "FROM portolan_part"), "expected_result": expected}
+                                      for sql, expected in SQL_CHECKS])
+    spark.catalog.dropTempView("portolan_part")  # the statements are resolved by now
+    return report.withColumn("check_sql", F.regexp_replace("check_sql", "portolan_part", "part"))
 
 
 def dq_cast_loss(spark, d):
@@ -360,6 +371,14 @@ def dq_cast_loss(spark, d):
                                   "visatype": "int"})
 
 
+def dq_rejects(spark, d):
+    """The values that a conversion of the arrivals loses, written next to the converted rows and listed from there."""
+    raw = fx.visits_raw(spark, d).withColumn("big", F.col("cicid").cast("bigint") * 100000)
+    path = scratch_path(spark, "converted")
+    save_data(convert_types(raw, {**immigration.IMMIGRATION_TYPES, "big": "int", "fltno": "int", "visatype": "int"}, rejects="_rejects"), path)
+    return rejected_values(load_data(spark, path), "cicid", "_rejects")
+
+
 def _dimensions(spark, d):
     """Country, states and date, each written once."""
     return (stage(country(spark, d), "country"), stage(states(spark, d), "states"), stage(dates(spark, d), "date"))
@@ -506,6 +525,7 @@ QUERIES: dict[str, Query] = {
     "parquet_roundtrip": parquet_roundtrip,
     "partitioned_fact_write": partitioned_fact_write,
     "land_temperature": land_temperature,
+    "land_temperature_by_city": land_temperature_by_city,
     "land_airport": land_airport,
     "stage_table_load": stage_table_load,
     "monthly_refresh": monthly_refresh,
@@ -552,5 +572,6 @@ QUERIES: dict[str, Query] = {
     "temperature_correlation": temperature_correlation,
     "destination_source_climate": destination_source_climate,
     "dq_incremental_keys": dq_incremental_keys,
+    "dq_rejects": dq_rejects,
     **{name: globals()[name] for name in ROLLED},
 }
