@@ -310,6 +310,26 @@ def simhash_components(docs: DataFrame, size: int = 3, radius: int = 3) -> DataF
     return hashed.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
+def drop_near_duplicates(docs: DataFrame, size: int = 3, radius: int = 3) -> DataFrame:
+    """One document of every component stays, all columns: the one with the smallest id (null after all others, then
+    the smallest text hash). Of rows that repeat id and text one stays, the smallest.
+
+    Only ids, hashes and fingerprints meet in the search; the texts are shuffled once, by id and text hash, with rows
+    that repeat both made one in the map tasks."""
+    key = [F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("__id"),
+           F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("__text")]
+    hashed = fingerprints(docs.select(F.struct(*key).alias("doc_id"), "text"), size)
+    distinct = checkpoint(hashed.groupBy("fp").agg(F.min("doc_id").alias("low")))
+    labels = connected_components(checkpoint(similar_fingerprints(distinct, radius)))
+    named = distinct.join(labels, F.col("fp") == F.col("node"), "left").select(F.coalesce("label", "fp").alias("label"), "low")
+    keepers = checkpoint(named.groupBy("label").agg(F.min("low").alias("k"))
+                         .select(F.col("k.__id").alias("__i"), F.col("k.__text").alias("__t")))
+    # Maps have no order; any of the rows that differ only there will do.
+    one = F.any_value if any("map<" in kind for _, kind in docs.dtypes) else F.min
+    rows = docs.select(F.struct(*docs.columns).alias("__row"), *key).groupBy("__id", "__text").agg(one("__row").alias("__row"))
+    return rows.join(keepers, (F.col("__id") == F.col("__i")) & (F.col("__text") == F.col("__t")), "left_semi").select("__row.*")
+
+
 def op5_simhash(spark, sf_dir: str) -> DataFrame:
     """Contract query of operator 5."""
     found = simhash_components(table(spark, sf_dir, "documents"))
