@@ -8,8 +8,8 @@ hand, and each stage works on all that its predecessor kept:
    drop the documents below its threshold.
 2. ``line_dedup``: remove passages that stand earlier in the corpus (operator 4). A document
    whose lines all go is a copy and goes with them.
-3. ``near_dedup``: keep one document of each class of near-duplicates (operator 5; verified on
-   five-word shingles, similarity 0.8 or more).
+3. ``near_dedup``: keep one document of each component of near-duplicates (operator 5 by its contract: three-word
+   shingles, at most 3 differing bits).
 4. ``decontaminate``: drop documents that hold a benchmark item (operator 9).
 5. ``mix``: sources to target weights along the curriculum (operator 1): a row per copy
    taken, in training order, with ``epoch`` and ``position``.
@@ -23,9 +23,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portolan.llm import decontamination, line_dedup, mixing, near_dedup, quality
-from portolan.llm.common import checkpoint, table
-from portolan.session import stage
+from portolan.llm import decontamination, line_dedup, mixing, quality, simhash
+from portolan.llm.common import checkpoint, staged, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +37,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dedup.drop_near_duplicates(docs)
+    return simhash.drop_near_duplicates(docs)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,8 +57,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the documents of ``sf_dir``. A stage's rows are deleted when its successor's are written."""
+    docs, delete = table(spark, sf_dir, "documents"), None
     for name, function in STAGES:
-        docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
+        docs, later = staged(function(spark, docs, sf_dir), f"pipeline-{name}")
+        if delete:
+            delete()
+        delete = later
     return docs
