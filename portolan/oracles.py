@@ -348,6 +348,13 @@ SELECT p_brand, type AS first_type, size AS first_size, price AS first_price FRO
         "count(c.Temperature) AS n_with_temperature FROM fact f LEFT JOIN country c ON f.i94res = c.Code "
         "GROUP BY f.i94addr", "fact", "country")
 
+    arrivals = ("SELECT cicid, CASE WHEN CAST(fltno AS BIGINT) % 17 = 0 THEN NULL WHEN CAST(fltno AS BIGINT) % 19 = 0 THEN CAST(fltno AS BIGINT) + 1000000000 "
+                "WHEN CAST(fltno AS BIGINT) % 3 = 1 THEN 1 ELSE CAST(fltno AS BIGINT) END AS part, stay FROM fact")
+    o["colocated_join"] = with_views("SELECT a.*, p.p_brand, p.p_type FROM arrivals a LEFT JOIN part p ON a.part = p.p_partkey", "fact",
+                                     extra=(("arrivals", arrivals),))
+    o["colocated_orphans"] = with_views("SELECT a.* FROM arrivals a WHERE a.part IS NOT NULL AND NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = a.part)",
+                                        "fact", extra=(("arrivals", arrivals),))
+
     def new_keys(name: str, key: str) -> str:
         # The last two months; every other month comes before them.
         return (f"SELECT '{name}' AS key, m.i94yr, m.i94mon, CAST(count(f.k) AS BIGINT) AS n_rows, count(DISTINCT f.k) AS n_keys, "

@@ -22,6 +22,7 @@ from portolan.functions.columns import convert_types, drop_columns, refactor_val
 from portolan.functions.dates import convert_day_numbers, day_difference
 from portolan.functions.text import title_case
 from portolan.operators.aggregate import first_values, pivot_sum
+from portolan.operators.colocated import join_colocated, save_colocated
 from portolan.operators.quality import (cast_loss_report, duplicate_key_report, null_key_report, orphan_report,
                                         row_count_report, sql_check_report)
 from portolan.operators.uniqueness import incremental_key_report, key_bitmaps
@@ -411,6 +412,25 @@ def decode_codes(spark, d):
     ])
 
 
+def _colocated(spark, d):
+    """Arrivals and parts stored by part number: some arrivals have none, some one that no part has, and one part's share is hot."""
+    number = F.col("fltno").cast("bigint")
+    key = (F.when(number % 17 == 0, F.lit(None)).when(number % 19 == 0, number + 1_000_000_000).when(number % 3 == 1, F.lit(1)).otherwise(number))
+    database, location = f"portolan_{uuid.uuid4().hex[:10]}", scratch_path(spark, "colocated")
+    spark.sql(f"CREATE DATABASE `{database}` LOCATION '{location}'")
+    save_colocated(facts(spark, d).select("cicid", key.alias("part"), "stay"), f"{database}.arrivals", "part", 8, location)
+    save_colocated(fx.table(spark, d, "part").select("p_partkey", "p_brand", "p_type"), f"{database}.parts", "p_partkey", 8, location, dimension=True)
+    return f"{database}.arrivals", f"{database}.parts"
+
+
+def colocated_join(spark, d):
+    return join_colocated(spark, *_colocated(spark, d), "part", "p_partkey", ["p_brand", "p_type"])
+
+
+def colocated_orphans(spark, d):
+    return join_colocated(spark, *_colocated(spark, d), "part", "p_partkey", [], "left_anti")
+
+
 def normalize_state_codes(spark, d):
     normalized = analytics.normalize_state_codes(facts(spark, d), stage(states(spark, d), "states"))
     return analytics.visitors_by(normalized, "i94addr")
@@ -571,6 +591,8 @@ QUERIES: dict[str, Query] = {
     "demographics_correlation": demographics_correlation,
     "temperature_correlation": temperature_correlation,
     "destination_source_climate": destination_source_climate,
+    "colocated_join": colocated_join,
+    "colocated_orphans": colocated_orphans,
     "dq_incremental_keys": dq_incremental_keys,
     "dq_rejects": dq_rejects,
     **{name: globals()[name] for name in ROLLED},
