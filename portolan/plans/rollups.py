@@ -17,6 +17,7 @@ bitmap of the keys seen, 4 KB for every 32,768 consecutive keys.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,11 +69,15 @@ def write_states(facts: DataFrame, months: Iterable[str], root: str, version: st
     """The states of the ``months`` (as ``versions.partition_key`` names them) that ``facts`` holds, as ``version`` below ``root``: one folder
     a state and load, however many months. Returns which folder counts for each month, as ``versions.publish`` takes it. Each
     state reads its own columns of ``facts``: pass a written table."""
-    months, folders = list(months), {}
-    for name, state in states.items():
-        written = versions.write_version(state(facts), f"{root}/{name}", [], version)
-        folders |= {f"{name}/{month}": f"{name}/{v}" for v in written.values() for month in months}
-    return folders
+    months = list(months)
+
+    def write(name: str) -> dict[str, str]:
+        written = versions.write_version(states[name](facts), f"{root}/{name}", [], version)
+        return {f"{name}/{month}": f"{name}/{v}" for v in written.values() for month in months}
+
+    # The states don't depend on each other: concurrent jobs.
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        return {k: v for part in pool.map(write, states) for k, v in part.items()}
 
 
 def read_state(spark: SparkSession, root: str, name: str, partitions: Mapping[str, str], states: Mapping[str, State] = STATES) -> DataFrame:

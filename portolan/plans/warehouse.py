@@ -328,10 +328,14 @@ def _merge_fact(load: Load, name: str, key: str, source: DataFrame | Callable[[L
 def _write_states(load: Load, fact: str, states: Mapping[str, rollups.State]) -> None:
     """The states of the months just written, and of those that lack one (loaded before the state was kept)."""
     delivered, months = _folders(load.written, fact), _folders(load.counting(), fact)
+    groups: dict[tuple[str, ...], dict[str, rollups.State]] = {}
     for name, state in states.items():
         known = _folders(load.basis.partitions, f"{MONTHLY}{name}")
-        needed = {k: v for k, v in months.items() if k in delivered or k not in known}
-        written = rollups.write_states(load._read(fact, needed.values()), needed, f"{load.location}/{MONTHLY}".rstrip("/"), load.version, {name: state})
+        needed = tuple(k for k in months if k in delivered or k not in known)
+        groups.setdefault(needed, {})[name] = state
+    for needed, same in groups.items():
+        facts = load._read(fact, [months[k] for k in needed])
+        written = rollups.write_states(facts, needed, f"{load.location}/{MONTHLY}".rstrip("/"), load.version, same)
         load.written |= {f"{MONTHLY}{k}": f"{MONTHLY}{v}" for k, v in written.items()}
 
 
