@@ -19,8 +19,8 @@ of such sizes that share one with it are compared exactly, without fingerprints.
 
 The items are a stated query set against all documents. They are read in blocks of at most
 ``block_items`` items and ``block_bytes`` bytes, and each block's index is broadcast, so what is
-broadcast is bounded by the two parameters however large the benchmark is; the documents
-are scanned once per block and never shuffled.
+broadcast is bounded by the two parameters however large the benchmark is: a block's index is given back when its
+results are written. The documents are scanned once per block; they are shuffled only by ``decontaminate`` with several blocks, once.
 
 Words are runs of letters, digits and marks of any script, lower-cased, so punctuation, case and
 spacing don't hide a copy. Items of fewer than five words are one shingle. Defined results: null
@@ -35,6 +35,8 @@ import pickle
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -43,7 +45,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from portolan.llm.common import byte_rows, table, utf8
+from portolan.llm.common import byte_rows, staged, table, utf8
 
 WORDS = re.compile(r"\w+")
 SHINGLE = 5
@@ -245,13 +247,19 @@ def blocks(benchmark: DataFrame, block_items: int, block_bytes: int) -> Iterator
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, radius: int = 16,
                  block_items: int = 20_000, block_bytes: int = 16 << 20) -> DataFrame:
     """``(doc_id, item_id, start_word, words, distance, similarity)``: the best window of every item in
-    every document that holds it."""
+    every document that holds it.
+
+    Of several blocks, each one's rows are written and its index is given back before the next block is read; only the
+    last block's stay to be evaluated."""
     spark = docs.sparkSession
     kind, item_kind = (f.schema[c].dataType.simpleString() for f, c in ((docs, "doc_id"), (benchmark, "item_id")))
     schema = f"doc_id {kind}, item_id {item_kind}, start_word int, words int, distance int, similarity double"
-    found = None
+    found, last = [], None
     for ids, texts in blocks(benchmark, block_items, block_bytes):
-        shared = spark.sparkContext.broadcast(cloudpickle.dumps(BenchmarkIndex(ids, texts, radius, similarity)))
+        if last is not None:
+            found[-1] = staged(found[-1], "block-hits")[0]
+            last.destroy()
+        last = shared = spark.sparkContext.broadcast(cloudpickle.dumps(BenchmarkIndex(ids, texts, radius, similarity)))
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index, known = pickle.loads(shared.value), WordHashes()
@@ -265,27 +273,33 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8,
         from pyspark.sql.pandas.types import to_arrow_schema
 
         fields = to_arrow_schema(spark.createDataFrame([], schema).schema)
-        part = docs.select("doc_id", utf8(F.col("text")).alias("text")).mapInArrow(search, schema)
-        found = part if found is None else found.union(part)
-    return found if found is not None else spark.createDataFrame([], schema)
+        found.append(docs.select("doc_id", utf8(F.col("text")).alias("text")).mapInArrow(search, schema))
+    return reduce(DataFrame.union, found) if found else spark.createDataFrame([], schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, radius: int = 16,
                   block_items: int = 20_000, block_bytes: int = 16 << 20) -> DataFrame:
-    """The documents that hold no benchmark item, all columns, row by row: a block of items after the
-    other drops the rows in which it finds one."""
+    """The documents that hold no benchmark item, all columns. A benchmark of one block is searched where the documents are read; of
+    several, the documents found in each are put down by id and text hash, and taken out in one join."""
     spark = docs.sparkSession
-    for ids, texts in blocks(benchmark, block_items, block_bytes):
-        shared = spark.sparkContext.broadcast(cloudpickle.dumps(BenchmarkIndex(ids, texts, radius, similarity)))
-
-        def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index, known = pickle.loads(shared.value), WordHashes()
-            for part in byte_rows(batches):
-                keep = [not index.search(word_hashes(t or "", known)) for t in part.column("text").to_pylist()]
-                yield part.filter(pa.array(keep, pa.bool_()))
-
-        docs = docs.mapInArrow(clean, docs.schema)
-    return docs
+    some = list(islice(blocks(benchmark, block_items, block_bytes), 2))
+    if not some:
+        return docs
+    if len(some) > 1:
+        key = F.struct(F.col("doc_id"), F.xxhash64("text").alias("text"))
+        hits = contaminated(docs.select(key.alias("doc_id"), "text"), benchmark, similarity, radius, block_items, block_bytes)
+        hits = hits.select(F.col("doc_id.doc_id").alias("__i"), F.col("doc_id.text").alias("__t")).distinct()
+        rows = docs.select(F.struct(*docs.columns).alias("__row"), F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__text"))
+        return rows.join(hits, F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__text") == F.col("__t")), "left_anti").select("__row.*")
+    shared = spark.sparkContext.broadcast(cloudpickle.dumps(BenchmarkIndex(*some[0], radius, similarity)))
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, known = pickle.loads(shared.value), WordHashes()
+        for part in byte_rows(batches):
+            keep = [not index.search(word_hashes(t or "", known)) for t in part.column("text").to_pylist()]
+            yield part.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(clean, docs.schema)
 
 
 def op9_decontamination(spark, sf_dir: str) -> DataFrame:
