@@ -15,7 +15,9 @@ Records: ``response`` holds an HTTP head and the payload; ``revisit`` holds head
 the response with the same payload. Defined results: a null payload counts as empty; null ids and
 URLs have no header; rows that repeat the largest id of their payload are all responses; an empty
 table gives an archive without records. The digest is over the whole payload (SHA-1, base32), and
-the reader recomputes it for every payload it reads and raises on a difference.
+the reader recomputes the digest that a record names, by its own algorithm, for every payload it reads and raises on a difference. So it
+does on bytes that are no record; blank lines and empty members between records are passed over. An archive that does not say a payload's length
+has it taken from the payload (null if payloads are not read).
 
 Files are opened by pyarrow's file systems, so a folder may be local to all (as in tests) or in any store that pyarrow opens.
 """
@@ -48,6 +50,17 @@ NUMBERS = ("page_id", "refers_to", "payload_bytes")
 MANIFEST = "_manifest-"
 
 
+def matches(payload: bytes, digest: str | None) -> bool:
+    """Whether a digest as archives label it (``sha1:``, ``sha256:`` and so on, in base32 or hex digits) is that of the payload. No digest
+    and algorithms that Python lacks match everything."""
+    name, found, value = (digest or "").strip().partition(":")
+    name = name.lower().replace("-", "")
+    if not found or name not in hashlib.algorithms_guaranteed or name.startswith("shake"):
+        return True
+    raw, value = hashlib.new(name, payload).digest(), value.strip()
+    return value.upper().rstrip("=") == base64.b32encode(raw).decode().rstrip("=") or value.lower() == raw.hex()
+
+
 def open_folder(path: str):
     """pyarrow's file system and path of a folder."""
     from pyarrow import fs
@@ -64,6 +77,8 @@ def member(data: bytes) -> bytes:
     squeeze = zlib.compressobj(6, zlib.DEFLATED, -15)
     body = squeeze.compress(data) + squeeze.flush()
     length = 20 + len(body) + 8
+    if length >= 1 << 32:  # too long for the field: such a member is read to its end
+        return b"\x1f\x8b\x08\0\0\0\0\0\0\xff" + body + struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF)
     return (b"\x1f\x8b\x08\x04\0\0\0\0\0\xff" + struct.pack("<H", 8) + b"SL" + struct.pack("<HI", 4, length) + body
             + struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF))
 
@@ -183,13 +198,18 @@ class WarcReader(DataSourceReader):
             while at < stop:
                 item = one(f, at, size)
                 if item.headers is None:
-                    break
+                    if item.blank():
+                        at = item.end()
+                        continue
+                    raise ValueError(f"{segment.file} at {at}: no WARC headers")
                 row = self._row(item.headers)
+                if row["payload_bytes"] is None and row["record_type"] == "response" and self.with_payload:
+                    row["payload_bytes"] = len(item.payload())  # an archive from elsewhere, which doesn't say
                 if all(row.get(c) in values for c, values in self.wanted.items()):
                     payload = None
                     if self.with_payload and row["record_type"] == "response":
-                        payload = item.block().partition(b"\r\n\r\n")[2]
-                        if row["payload_digest"] and sha1_base32(payload) != row["payload_digest"]:
+                        payload = item.payload()
+                        if not matches(payload, item.headers.get(HEADERS["payload_digest"].lower())):
                             raise ValueError(f"{segment.file} at {at}: the payload doesn't match its digest")
                         row["payload_bytes"] = len(payload)
                     yield tuple(payload if c == "payload" else row.get(c) for c in self.schema.names)
@@ -207,33 +227,52 @@ class WarcReader(DataSourceReader):
         return row
 
 
+class _Payload:
+    """What both kinds of record have in common."""
+
+    _payload: bytes | None = None
+
+    def payload(self) -> bytes:
+        """The block after the HTTP headers; a block without them is all payload."""
+        if self._payload is None:
+            block = self.block()
+            self._payload = block.partition(b"\r\n\r\n")[2] if block.startswith(b"HTTP/") else block
+        return self._payload
+
+
 def parse_headers(head: bytes) -> dict[str, str]:
     rows = (line.partition(b":") for line in head.split(b"\r\n")[1:])
     return {k.decode("utf-8", "replace").strip().lower(): v.decode("utf-8", "replace").strip() for k, _, v in rows}
 
 
-class PlainRecord:
+class PlainRecord(_Payload):
     """A record of an uncompressed archive: headers now, the block on demand."""
 
     def __init__(self, f, at: int, size: int):
         self.f, self.head = f, b""
-        while b"\r\n\r\n" not in self.head and at + len(self.head) < size:
+        while b"\r\n\r\n" not in self.head.lstrip(b"\r\n") and at + len(self.head) < size:
             f.seek(at + len(self.head))
             self.head += f.read(4096)
-        head, found, _ = self.head.partition(b"\r\n\r\n")
-        self.headers = parse_headers(head) if found else None
-        if found:
-            self.start, self.length = at + len(head) + 4, int(self.headers["content-length"])
+        # Lines left over between records belong to the one before.
+        lead = len(self.head) - len(self.head.lstrip(b"\r\n"))
+        head, found, _ = self.head[lead:].partition(b"\r\n\r\n")
+        self.headers = parse_headers(head) if found and head.startswith(b"WARC/") else None
+        self.size = size
+        if self.headers is not None:
+            self.start, self.length = at + lead + len(head) + 4, int(self.headers["content-length"])
+
+    def blank(self) -> bool:
+        return not self.head.strip()
 
     def block(self) -> bytes:
         self.f.seek(self.start)
         return self.f.read(self.length)
 
     def end(self) -> int:
-        return self.start + self.length + 4
+        return self.start + self.length + 4 if self.headers is not None else self.size
 
 
-class GzipRecord:
+class GzipRecord(_Payload):
     """A record in a gzip member: inflated as far as its headers now, the rest on demand."""
 
     def __init__(self, f, at: int, size: int):
@@ -244,12 +283,16 @@ class GzipRecord:
         self.length = None
         if len(first) == 20 and first[3] & 4 and first[12:14] == b"SL":
             self.length = struct.unpack("<I", first[16:20])[0]
-        while b"\r\n\r\n" not in self.data and not self.inflate.eof and self._more(2048, 4096):
+        while b"\r\n\r\n" not in self.data.lstrip(b"\r\n") and not self.inflate.eof and self._more(2048, 4096):
             pass
-        head, found, self.rest = self.data.partition(b"\r\n\r\n")
-        if found:
+        head, found, self.rest = self.data.lstrip(b"\r\n").partition(b"\r\n\r\n")
+        if found and head.startswith(b"WARC/"):
             self.headers = parse_headers(head)
 
+    def blank(self) -> bool:
+        """Whether the member holds nothing; an empty one is allowed anywhere."""
+        return self.inflate.eof and not self.data.strip()
+
     def _more(self, compressed: int, most: int = 0) -> bool:
         raw = self.inflate.unconsumed_tail
         if not raw:
@@ -299,7 +342,8 @@ class WarcDataSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
-    """Make ``format("warc")`` known and let Spark push filters into Python sources."""
+    """Make ``format("warc")`` known and let Spark push filters into Python sources: ``spark.sql.python.filterPushdown.enabled`` is set
+    for the whole session."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcDataSource)
 
