@@ -6,8 +6,9 @@ content, a row per live digest with its smallest id and its number of live rows.
 probes the filter first: a miss proves a new digest; a hit is verified against the stored
 content of the shard, so a false hit never joins two texts. A digest that finds no slot
 after a bounded chain of moves overflows the filter, which is then rebuilt at twice the size
-from the stored digests. ``delete`` takes rows away and removes the fingerprint of a digest
-whose last live row went.
+from the stored digests. ``delete`` takes live rows away, of which the index keeps a table (digest, id, number) beside the
+shards: a row that isn't live takes nothing, a digest whose smallest id goes gets the next live one, and the
+fingerprint of a digest whose last live row went is removed. Shards split in two as they grow beyond ``shard_rows`` digests.
 
 Every step is a Spark job over the shards. A batch is reduced to a row per digest and
 record batch before it is shuffled, so a group of copies that holds a third of all rows
@@ -113,11 +114,14 @@ class Shard:
         if not self.filter.insert(digest):
             self._rebuild(self.filter.buckets * 2)
 
-    def take(self, digest: bytes, rows: int) -> None:
+    def take(self, digest: bytes, rows: int, keep: int | None = None) -> None:
+        """Take live rows away; ``keep`` is the smallest id that stays."""
         live = self.content.get(digest) if digest in self.filter else None
         if live is None:
             return
         live[1] -= rows
+        if keep is not None:
+            live[0] = keep
         if live[1] <= 0:
             del self.content[digest]
             self.filter.remove(digest)
@@ -127,6 +131,18 @@ class Shard:
         if not all(self.filter.insert(d) for d in self.content):
             self._rebuild(buckets * 2)
 
+    def split(self, shard: int, shards: int) -> list[dict]:
+        """The states of the two shards that take its place when their number doubles."""
+        import xxhash
+
+        parts = {shard: Shard(), shard + shards: Shard()}
+        for d, (keep, rows) in self.content.items():
+            # Spark's xxhash64 of bytes is XXH64 with seed 42; as a signed number.
+            value = xxhash.xxh64_intdigest(d, seed=42)
+            value -= (value >> 63) << 64
+            parts[value % (2 * shards)].add(d, keep, rows)
+        return [part.state(k) for k, part in parts.items()]
+
     def state(self, shard: int) -> dict:
         keeps, counts = zip(*self.content.values(), strict=True) if self.content else ((), ())
         return {"shard": shard, "filter": np.array(self.filter.slots, "<u2").tobytes(), "digests": b"".join(self.content),
@@ -152,9 +168,12 @@ def _reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def reduced(digests: DataFrame) -> DataFrame:
     """``(digest, keep, rows)``, a row per digest and record batch, from ``(doc_id, digest)``."""
-    keyed = digests.select("digest", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("keep"),
-                           F.lit(1).cast("long").alias("rows"))
-    return keyed.mapInArrow(_reduce, "digest binary, keep long, rows long")
+    return _numbered(digests).mapInArrow(_reduce, "digest binary, keep long, rows long")
+
+
+def _numbered(digests: DataFrame) -> DataFrame:
+    """``(digest, keep, rows)`` of each row ``(doc_id, digest)``, null ids as ``NO_ID``."""
+    return digests.select("digest", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("keep"), F.lit(1).cast("long").alias("rows"))
 
 
 def _shard(shards: int) -> Column:
@@ -162,35 +181,67 @@ def _shard(shards: int) -> Column:
 
 
 class CuckooIndex:
-    """A sharded index: ``table`` has a row per shard. Operations return a new index; nothing is
-    changed in place, so a lost executor only repeats its shards."""
+    """A sharded index: ``table`` has a row per shard, ``rows`` the rows inserted and taken (``digest``, ``keep``: the id, ``rows``: how many
+    more or fewer). Operations return a new index; nothing is changed in place, so a lost executor only repeats its shards.
+    ``shard_rows``, if given, is the number of digests a shard that an insert should not leave far behind."""
 
-    def __init__(self, state: DataFrame, shards: int):
-        self.table, self.shards = state, shards
+    def __init__(self, state: DataFrame, shards: int, rows: DataFrame | None = None, shard_rows: int | None = None):
+        self.table, self.shards, self.rows, self.shard_rows = state, shards, rows, shard_rows
 
     @classmethod
-    def empty(cls, spark, shards: int = 1) -> CuckooIndex:
-        return cls(spark.createDataFrame([], STATE), shards)
+    def empty(cls, spark, shards: int = 1, shard_rows: int | None = None) -> CuckooIndex:
+        return cls(spark.createDataFrame([], STATE), shards, None, shard_rows)
 
     def insert(self, digests: DataFrame) -> CuckooIndex:
         """Add the rows ``(doc_id, digest)``."""
-        return self._apply(digests, +1)
+        batch = reduced(digests)
+        index = self._grown(batch) if self.shard_rows else self
+        rows = _numbered(digests)
+        return index._apply(batch.withColumn("taken", F.lit(False)), rows if self.rows is None else self.rows.unionByName(rows))
 
     def delete(self, digests: DataFrame) -> CuckooIndex:
-        """Take the rows ``(doc_id, digest)`` away. A digest's smallest id stays until its last row goes."""
-        return self._apply(digests, -1)
-
-    def _apply(self, digests: DataFrame, sign: int) -> CuckooIndex:
-        batch = reduced(digests).withColumn("shard", _shard(self.shards))
+        """Take the rows ``(doc_id, digest)`` away, each as often as it is given and live."""
+        if self.rows is None:
+            return self
+        gone = _numbered(digests).groupBy("digest", "keep").agg(F.sum("rows").alias("gone"))
+        # Only rows of the digests that the batch names are looked at.
+        touched = gone.select(F.col("digest").alias("__d")).distinct()
+        live = self.rows.join(touched, F.col("digest") == F.col("__d"), "left_semi").groupBy("digest", "keep").agg(F.sum("rows").alias("rows"))
+        taken = live.where("rows > 0").join(gone, ["digest", "keep"], "left").select(
+            "digest", "keep", "rows", F.least("rows", F.coalesce("gone", F.lit(0))).alias("gone"))
+        taken = checkpoint(taken)
+        stays = F.min(F.when(F.col("rows") > F.col("gone"), F.col("keep")))
+        batch = taken.groupBy("digest").agg(stays.alias("keep"), F.sum("gone").alias("rows")).where("rows > 0")
+        rows = self.rows.unionByName(taken.where("gone > 0").select("digest", "keep", (-F.col("gone")).alias("rows")))
+        return self._apply(batch.select("digest", F.coalesce("keep", F.lit(NO_ID)).alias("keep"), "rows", F.lit(True).alias("taken")), checkpoint(rows))
+
+    def _apply(self, batch: DataFrame, live: DataFrame) -> CuckooIndex:
+        batch = batch.withColumn("shard", _shard(self.shards))
 
         def step(key, state: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
             shard = Shard(state.iloc[0].to_dict() if len(state) else None)
-            for d, keep, n in zip(rows["digest"], rows["keep"], rows["rows"], strict=True):
-                shard.add(d, keep, n) if sign > 0 else shard.take(d, n)
+            for d, keep, n, taken in zip(rows["digest"], rows["keep"], rows["rows"], rows["taken"], strict=True):
+                shard.take(d, n, keep) if taken else shard.add(d, keep, n)
             return pd.DataFrame([shard.state(int(key[0]))])
 
         merged = self.table.groupBy("shard").cogroup(batch.groupBy("shard")).applyInPandas(step, STATE)
-        return CuckooIndex(checkpoint(merged), self.shards)
+        return CuckooIndex(checkpoint(merged), self.shards, live, self.shard_rows)
+
+    def _grown(self, batch: DataFrame) -> CuckooIndex:
+        """The index with its shards doubled until the batch leaves them within about ``shard_rows`` digests."""
+        held = self.table.agg(F.coalesce(F.sum(F.octet_length("digests")), F.lit(0))).first()[0] // 32
+        index, expected = self, held + batch.count()
+        while expected > index.shards * self.shard_rows:
+            shards = index.shards
+
+            def split(batches: Iterator[pa.RecordBatch], shards=shards) -> Iterator[pa.RecordBatch]:
+                for part in batches:
+                    for row in part.to_pylist():
+                        states = pd.DataFrame(Shard(row).split(row["shard"], shards))
+                        yield pa.RecordBatch.from_pandas(states, preserve_index=False)
+
+            index = CuckooIndex(index.table.mapInArrow(split, STATE), 2 * shards, self.rows, self.shard_rows)
+        return CuckooIndex(checkpoint(index.table), index.shards, index.rows, self.shard_rows) if index is not self else self
 
     def content(self) -> DataFrame:
         """The live digests: ``digest``, ``keep_id``, ``group_size``."""

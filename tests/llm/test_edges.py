@@ -287,7 +287,33 @@ def test_cuckoo_index_inserts_deletes_and_resizes(spark):
     assert live == {hashlib.sha256(str(i).encode()).digest(): (i, 3) for i in range(50)}
     index = index.delete(digests([*range(10), *range(50, 60), *range(100, 110), 11]))
     sizes = {r.keep_id: r.group_size for r in index.content().collect()}
-    assert sizes == {i: 2 if i == 11 else 3 for i in range(10, 50)}
+    assert sizes == {61 if i == 11 else i: 2 if i == 11 else 3 for i in range(10, 50)}  # 11 went, 61 is the next live id
+
+
+def test_cuckoo_index_follows_live_rows(spark):
+    """Random inserts and deletes, of repeated, unknown and null ids too, against a plain multiset; shards split on the way."""
+    import random
+    from collections import Counter
+    rng, live = random.Random(4), Counter()
+    index = exact_dedup.CuckooIndex.empty(spark, shards=1, shard_rows=16)
+    name = lambda k: hashlib.sha256(str(k).encode()).digest()
+    for step in range(4):
+        rows = [(rng.choice([None, *range(30)]), name(rng.randrange(60))) for _ in range(80)]
+        frame = spark.createDataFrame(rows, "doc_id long, digest binary")
+        if step % 2:
+            index = index.delete(frame)
+            for r in rows:
+                live[r] -= live[r] > 0
+        else:
+            index = index.insert(frame)
+            live.update(rows)
+        want = {}
+        for (i, d), n in live.items():
+            if n:
+                keep, size = want.get(d, (None, 0))
+                want[d] = (min((x for x in (keep, i) if x is not None), default=None), size + n)
+        assert {bytes(r.digest): (r.keep_id, r.group_size) for r in index.content().collect()} == want
+    assert index.shards > 2 and index.delete(spark.createDataFrame([(1, name("none"))], "doc_id long, digest binary")).content().count() == len(want)
 
 
 def test_cuckoo_filter_overflow_keeps_every_digest():
