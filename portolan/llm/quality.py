@@ -7,9 +7,9 @@ one), by Newton steps whose gradient and Hessian are one aggregation each. The t
 the quantile of the labelled strengths that splits them as the labels do, and a document's
 score is its probability of being preferred to a document at the threshold.
 
-The model is fitted on at most ``max_train`` labelled documents, those with the smallest hash of
-their id; that bound is a documented parameter and the only sample. Features and scores cover
-every document and its whole text. Features come from the text alone.
+The model is fitted on all labelled documents. Their features are narrow rows, joined with the labels after the texts are
+counted, so no text is shuffled; ranks and the threshold come from range-partitioned sorts (:func:`numbered`). Features and scores
+cover every document and its whole text. Features come from the text alone.
 
 Defined results: null and empty texts have the features of no characters and the score that follows from them;
 labels other than 0 and 1 are ignored, the larger label wins where an id is labelled twice; a repeated
@@ -25,7 +25,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from portolan.llm.common import SPACE, checkpoint, remainder, table
+from portolan.llm.common import SPACE, checkpoint, remainder, staged, table
+from portolan.session import stage
 
 FEATURES = ("log_words", "word_length", "letters", "capitals", "digits", "marks", "symbols", "exclaim",
             "distinct", "stop_share", "line_words", "symbol_words")
@@ -81,41 +82,78 @@ class BradleyTerry:
         return F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(self.threshold) - self.strength(x)))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, max_train: int) -> DataFrame:
-    """``doc_id``, ``label`` and features ``x0``.. of at most ``max_train`` labelled documents. The chosen ids are at most ``max_train``
-    rows, which bounds the broadcast; the documents are scanned once and not shuffled."""
+def known_features() -> list[Column]:
+    """The columns ``x0``.. of :func:`text_features`."""
+    return [F.col(f"x{k}") for k in range(len(FEATURES))]
+
+
+def text_features(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and the features ``x0``.. of every document."""
+    return counted(docs.select("doc_id", "text")).select("doc_id", *[x.alias(f"x{k}") for k, x in enumerate(features())])
+
+
+def labelled_features(featured: DataFrame, labels: DataFrame, max_train: int | None = None) -> DataFrame:
+    """``doc_id``, ``label`` and features of the labelled documents among ``featured`` (:func:`text_features`); with ``max_train``
+    at most so many ids, those of the smallest hash."""
     chosen = (labels.where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull())
-              .groupBy(F.col("doc_id").alias("__id")).agg(F.max("label").cast("int").alias("label"))
-              .orderBy(F.xxhash64("__id"), "__id").limit(max_train))
-    found = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"))
-    return counted(found).select("doc_id", "label", *[x.alias(f"x{k}") for k, x in enumerate(features())])
+              .groupBy(F.col("doc_id").alias("__id")).agg(F.max("label").cast("int").alias("label")))
+    if max_train is not None:
+        chosen = chosen.orderBy(F.xxhash64("__id"), "__id").limit(max_train)
+    return featured.join(chosen, F.col("doc_id") == F.col("__id")).select("doc_id", "label", *known_features())
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, max_train: int | None = None) -> DataFrame:
+    """:func:`labelled_features` of documents as they are."""
+    return labelled_features(text_features(docs), labels, max_train)
+
+
+def numbered(rows: DataFrame, order: list[Column]) -> DataFrame:
+    """Add ``__i``, a row's place (from 0) in the ``order``. The rows are sorted in ranges, one a task; a count per range passes the driver."""
+    number = F.monotonically_increasing_id()  # the task's number and, in the last 33 bits, the row's place in it
+    placed = checkpoint(rows.repartitionByRange(*order).sortWithinPartitions(*order)).select(
+        "*", F.shiftright(number, 33).cast("int").alias("__range"), number.bitwiseAND(F.lit((1 << 33) - 1)).alias("__at"))
+    before, starts = 0, {}
+    for r in placed.groupBy("__range").agg(F.count(F.lit(1)).alias("n")).orderBy("__range").collect():
+        starts[r["__range"]] = before
+        before += r["n"]
+    start = F.get(F.array(*[F.lit(starts.get(k, 0)).cast("long") for k in range(max(starts, default=0) + 1)]), F.col("__range"))
+    return placed.withColumn("__i", F.col("__at") + start).drop("__range", "__at")
 
 
 def preference_pairs(sample: DataFrame, scaled: list[Column], partners: int) -> DataFrame:
     """Differences ``d0``.. of the ``scaled`` features of a good and a bad document: every row of the larger class
-    meets ``partners`` rows of the other, dealt round-robin."""
-    ranked = sample.select("label", (F.row_number().over(_rank_window()) - 1).alias("i"), *[x.alias(f"z{k}") for k, x in enumerate(scaled)])
+    meets ``partners`` rows of the other, dealt round-robin in order of the ids' hash."""
+    z = [f"z{k}" for k in range(len(scaled))]
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    placed = numbered(sample.select("doc_id", "label", *[x.alias(c) for c, x in zip(z, scaled, strict=True)]),
+                      [F.col("label"), F.xxhash64("doc_id"), F.col("doc_id"), *map(F.col, z)])
+    ranked = placed.select("label", (F.col("__i") - F.when(F.col("label") == 1, F.lit(sizes[0])).otherwise(F.lit(0))).alias("i"), *z)
     many = 1 if sizes[1] >= sizes[0] else 0
     few, sign = sizes[1 - many], 1.0 if many == 1 else -1.0
     left = ranked.where(F.col("label") == many).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(partners - 1))))
     left = left.withColumn("j", (F.col("i") * partners + F.col("k") * (1 + few // partners)) % few).alias("a")
     right = ranked.where(F.col("label") == 1 - many).withColumnRenamed("i", "j").alias("b")
-    return left.join(right, "j").select(*[((F.col(f"a.z{k}") - F.col(f"b.z{k}")) * sign).alias(f"d{k}") for k in range(len(scaled))])
+    return left.join(right, "j").select(*[((F.col(f"a.{c}") - F.col(f"b.{c}")) * sign).alias(f"d{k}") for k, c in enumerate(z)])
 
 
-def _rank_window():
-    from pyspark.sql import Window
+def fit(docs: DataFrame, labels: DataFrame, max_train: int | None = None, partners: int = 4, ridge: float = 1e-3,
+        steps: int = 20) -> BradleyTerry:
+    """Learn from ``labels`` (``doc_id``, ``label``) which texts are preferred: from all of them, unless ``max_train`` says how many."""
+    return fit_features(text_features(docs), labels, max_train, partners, ridge, steps)
 
-    return Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
 
+def fit_features(featured: DataFrame, labels: DataFrame, max_train: int | None = None, partners: int = 4, ridge: float = 1e-3,
+                 steps: int = 20) -> BradleyTerry:
+    """:func:`fit` on the features of the documents."""
+    sample, delete = staged(labelled_features(featured, labels, max_train), "labelled")
+    try:
+        return _fitted(sample, partners, ridge, steps)
+    finally:
+        delete()
 
-def fit(docs: DataFrame, labels: DataFrame, max_train: int = 20_000, partners: int = 4, ridge: float = 1e-3,
-        steps: int = 20) -> BradleyTerry:
-    """Learn from ``labels`` (``doc_id``, ``label``) which texts are preferred."""
-    size = len(FEATURES)
-    known = [F.col(f"x{k}") for k in range(size)]
-    sample = checkpoint(labelled_sample(docs, labels, max_train))
+
+def _fitted(sample: DataFrame, partners: int, ridge: float, steps: int) -> BradleyTerry:
+    size, known = len(FEATURES), known_features()
     stats = sample.agg(F.count(F.lit(1)).alias("n"), F.sum(F.lit(1) - F.col("label")).alias("bad"),
                        *[F.avg(x).alias(f"m{k}") for k, x in enumerate(known)],
                        *[F.stddev_pop(x).alias(f"s{k}") for k, x in enumerate(known)]).first()
@@ -145,14 +183,20 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = 20_000, partners: i
     model = BradleyTerry(tuple(map(float, weights)), tuple(means), tuple(scales), 0.0)
     # The quantile that leaves as many labelled documents below as are labelled bad: half-way
     # between the two strengths on either side of that rank.
-    cut = (stats["bad"] - 0.5) / max(stats["n"] - 1, 1)
-    threshold = sample.select(model.strength(known).alias("s")).agg(F.percentile("s", F.lit(min(cut, 1.0)))).first()[0]
+    bad = int(stats["bad"])
+    strengths = numbered(sample.select(model.strength(known).alias("s")), [F.col("s")])
+    threshold = strengths.where(F.col("__i").between(bad - 1, bad)).agg(F.avg("s")).first()[0]
     return BradleyTerry(model.weights, model.means, model.scales, float(threshold))
 
 
 def quality_scores(docs: DataFrame, model: BradleyTerry) -> DataFrame:
     """``doc_id``, ``score`` and ``predicted`` of every document."""
-    return (counted(docs.select("doc_id", "text")).select("doc_id", model.score(features()).alias("score"))
+    return score_features(text_features(docs), model)
+
+
+def score_features(featured: DataFrame, model: BradleyTerry) -> DataFrame:
+    """:func:`quality_scores` from the features of the documents."""
+    return (featured.select("doc_id", model.score(known_features()).alias("score"))
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
 
 
@@ -173,7 +217,7 @@ def training_labels(labels: DataFrame) -> DataFrame:
 
 def op2_quality_scores(spark, sf_dir: str) -> DataFrame:
     """Contract query of operator 2."""
-    docs = table(spark, sf_dir, "documents")
-    model = fit(docs, training_labels(table(spark, sf_dir, "labels")))
-    return quality_scores(docs, model).select(
+    featured = stage(text_features(table(spark, sf_dir, "documents")), "features")  # narrow rows; each text is counted once
+    model = fit_features(featured, training_labels(table(spark, sf_dir, "labels")))
+    return score_features(featured, model).select(
         "doc_id", F.coalesce(remainder(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"), "score", "predicted")
