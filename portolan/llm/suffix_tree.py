@@ -4,8 +4,7 @@ The tree's contexts are word sequences of length 0 to ``depth`` (3). Counts come
 
 1. Words are counted by a distributed aggregation. The root predicts every token with the
    smoothed frequency ``(c + 1) / (N + V + 1)``; what is left is the unseen words' share.
-2. A string is a candidate if it occurs at least ``floor`` times: 2, or a number that rises as the square root of the
-   corpus (:func:`rising_floor`), which the query takes. Strings of every
+2. A string is a candidate if it occurs at least ``floor`` (2) times, however large the corpus is. Strings of every
    length are counted in a shuffle; a longer string is never more frequent than its parts, so only strings whose two
    parts are candidates are counted. The parts are looked up in a bitmap of fixed size, whose false hits
    cost a row in the shuffle and no more.
@@ -29,7 +28,6 @@ row every probability is one. Other columns are not read.
 
 from __future__ import annotations
 
-import math
 import pickle
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -317,22 +315,15 @@ class Model:
     tree: SuffixTree
 
 
-def rising_floor(tokens: int) -> int:
-    """The square root of the millions of tokens, 2 at least: 6 for 30 million, 12 for 140 million, 92 for 8.4 billion. It rises far
-    more slowly than the corpus, so the strings that reach it become ever more, about as the square root of the corpus."""
-    return max(2, math.ceil(math.sqrt(tokens / 1e6)))
-
-
 def learn(texts: DataFrame, least: float = 3e-6, frequent: float = 2e-6, mass: float = 10.0, cutoff: float = 3.0,
-          floor: int | None = 2, depth: int = 3) -> Model:
-    """Learn from ``text`` (UTF-8 bytes) of every row. Strings that occur ``floor`` times (None: :func:`rising_floor`) are candidates. Those above ``least`` (at most
+          floor: int = 2, depth: int = 3) -> Model:
+    """Learn from ``text`` (UTF-8 bytes) of every row. Strings that occur ``floor`` times are candidates. Those above ``least`` (at most
     ``1 / least`` a length) and words above ``frequent`` (at most ``1 / frequent``) are broadcast."""
     counts, drop_counts = staged(word_counts(texts), "word-counts")
     sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     total, distinct = int(sums[0]), int(sums[1])
     rows = (counts.where(F.col("word").isNull() | (F.col("n") >= max(2.0, frequent * total)))
             .toPandas())  # at most 1 / frequent words
-    floor = rising_floor(total) if floor is None else floor
     ends = int(rows.loc[rows["word"].isna(), "n"].sum())
     rows = rows[rows["word"].notna()].sort_values(["n", "word"], ascending=[False, True])
     words, n = [bytes(w) for w in rows["word"]], rows["n"].to_numpy(np.int64)
@@ -430,6 +421,6 @@ def op3_suffix_tree(spark, sf_dir: str) -> DataFrame:
     """Contract query of operator 3."""
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(remainder(F.col("doc_id"), 7) == 2, F.lit(False))
-    model = learn(docs.where(~held_out).select(utf8(F.col("text")).alias("text")), floor=None, depth=2)
+    model = learn(docs.where(~held_out).select(utf8(F.col("text")).alias("text")), depth=2)
     return score_documents(docs, model).select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens",
                                                "base_score", "score")
