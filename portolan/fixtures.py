@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from portolan.functions.dates import date_to_day_number
-from portolan.session import app_id, scratch_path
+from portolan.session import app_id, scratch_path, sized_shuffles
 
 # Fixed values of the role views.
 RACE_VALUES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
@@ -56,7 +56,8 @@ def visits_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (app_id(spark), sf_dir.rstrip("/"))
     if key not in _STAGED:
         path = scratch_path(spark, "visits_raw")
-        visits_raw_view(spark, sf_dir).write.parquet(path)
+        with sized_shuffles(spark, [f"{key[1]}/{name}.parquet" for name in ("lineitem", "orders", "customer", "supplier", "part")]):
+            visits_raw_view(spark, sf_dir).write.parquet(path)
         _STAGED[key] = path
     return spark.read.schema(VISITS_RAW_SCHEMA).parquet(_STAGED[key])
 

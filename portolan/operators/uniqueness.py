@@ -16,11 +16,13 @@ from pyspark.sql import functions as F
 def key_bitmaps(df: DataFrame, key: str, partition_by: Sequence[str]) -> DataFrame:
     """``(*partition_by, bucket, seen, n_rows, repeated_keys, repeated_rows)``: per partition and bucket the keys as a bitmap, their rows, and
     the keys (and their rows) that occur more than once in the partition. Null keys are left out. The partitions' own
-    keys are shuffled, once."""
+    keys are shuffled, to be counted and then to their bucket, so that a bitmap is built once, in one task: built in part by every
+    task that met some of a bucket's keys, a sparse bucket's bitmap would be shuffled nearly once a key."""
     number = F.col(f"`{key}`").cast("long")
     per_key = df.select(*partition_by, number.alias("_k")).where(F.col("_k").isNotNull()).groupBy(*partition_by, "_k").agg(F.count(F.lit(1)).alias("_n"))
     many = F.when(F.col("_n") > 1, F.col("_n"))
-    return per_key.groupBy(*partition_by, F.bitmap_bucket_number("_k").alias("bucket")).agg(
+    dealt = per_key.withColumn("bucket", F.bitmap_bucket_number("_k")).repartition(*partition_by, "bucket")
+    return dealt.groupBy(*partition_by, "bucket").agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("_k")).alias("seen"), F.sum("_n").alias("n_rows"),
         F.count(many).alias("repeated_keys"), F.coalesce(F.sum(many), F.lit(0)).alias("repeated_rows"))
 

@@ -26,6 +26,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 from portolan import schemas
 from portolan.operators.uniqueness import key_bitmaps
 from portolan.plans import analytics, immigration
+from portolan.session import sized_shuffles
 from portolan.sources import versions
 
 MONTH = list(schemas.IMMIGRATION_PARTITION_COLUMNS)
@@ -76,7 +77,7 @@ def write_states(facts: DataFrame, months: Iterable[str], root: str, version: st
         return {f"{name}/{month}": f"{name}/{v}" for v in written.values() for month in months}
 
     # The states don't depend on each other: concurrent jobs.
-    with ThreadPoolExecutor(max_workers=4) as pool:
+    with sized_shuffles(facts.sparkSession, facts.inputFiles()), ThreadPoolExecutor(max_workers=4) as pool:
         return {k: v for part in pool.map(write, states) for k, v in part.items()}
 
 
