@@ -7,7 +7,7 @@ The tree's contexts are word sequences of length 0 to ``depth`` (3). Counts come
 2. A string is a candidate if it occurs at least ``floor`` (2) times, however large the corpus is. Strings of every
    length are counted in a shuffle; a longer string is never more frequent than its parts, so only strings whose two
    parts are candidates are counted. The parts are looked up in a bitmap of fixed size, whose false hits
-   cost a row in the shuffle and no more.
+   cost 16 bytes in the shuffle and no more.
 3. Divergence test: a context s is retained if ``n(s) * KL(P(.|s) || P(.|suffix of s))`` is at least
    ``cutoff`` nats for every symbol it predicts itself.
 4. Smoothing: a predicted symbol gets ``(n(s x) + mass * P(x|suffix)) / (n(s) + mass)``; all other symbols share
@@ -19,9 +19,11 @@ along a text are a sum over the strings in it: a context's factor wherever it st
 and what a predicted symbol has beyond that factor. These weights form a table that grows with the
 corpus. The strings of relative frequency ``least`` and the words of relative frequency ``frequent`` (at most
 ``1 / least`` a length and ``1 / frequent``) are broadcast and added up in place, so nothing that is met in a
-join is hot; all others are counted per document, met with the table in a shuffle join, and summed back.
+shuffle is hot; all others are sent to the table's part that their key belongs to, and the sums come back to the document.
 
-Words and strings are told apart by 64-bit hashes. Defined results: a null text counts as empty and scores its end token; a null
+Words and strings are told apart by 64-bit hashes. What goes through a shuffle goes in packs: rows of a part number (of the
+hash, so that no key is hot) and a few thousand numbers as bytes, which NumPy adds up and looks up a part at a time. There
+are more parts for a larger corpus, so that a part stays small. Defined results: a null text counts as empty and scores its end token; a null
 id is a training row; repeated rows are learned from and scored each; an empty table gives an empty result; with no training
 row every probability is one. Other columns are not read.
 """
@@ -29,11 +31,9 @@ row every probability is one. Other columns are not read.
 from __future__ import annotations
 
 import pickle
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -42,142 +42,258 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from portolan.llm.common import byte_rows, free_shuffles, remainder, staged, table, utf8
-from portolan.session import stage
 
-END, SHORT, CHUNK = 0, 24, 1 << 22
-BITMAP, HELD = 27, 4_000_000  # most bits of a position in a bitmap; strings held before they are added up
+END, CHUNK, PACK, BATCH = 0, 1 << 21, 1 << 17, 1 << 21  # bytes: of text, of a pack, of a record batch
+BITMAP, HELD = 27, 1_200_000  # most bits of a position in a bitmap; strings held before they are added up
+PART, ROUNDS = 1 << 20, 4  # tokens of the corpus for a part; rounds in which documents are scored
 END_HASH, MIX, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
+LONG = 64  # bytes of a word that are hashed eight at a time
+ROW = "part long, kind byte, size long, data binary"
+LEVEL, FOUND, WEIGHT, WORD, STRING = range(5)  # kinds of packs
 
+LETTER = np.ones(256, bool)
+LETTER[[9, 10, 11, 12, 13, 32]] = False
+FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)  # masks of the first 0 to 8 bytes
 
-def word_key(word: bytes) -> bytes:
-    """The word itself, or a 25-byte digest of a long one."""
-    if len(word) <= SHORT or len(word) == 25 and word[:9] == b"\0" * 9:
-        return word
-    import hashlib
 
-    return b"\0" * 9 + hashlib.md5(word).digest()
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * MIX
+    x = (x ^ (x >> np.uint64(29))) * MIX2
+    return x ^ (x >> np.uint64(32))
 
 
-def word_chunks(text: bytes) -> Iterator[list[bytes]]:
-    """The text's words, lower-cased, in chunks of about 4 MB of text cut between words."""
-    start = 0
-    while len(text) - start > CHUNK:
-        stop = start + CHUNK
-        while stop < len(text) and text[stop] not in b" \t\n\v\f\r":
-            stop += 1
-        yield text[start:stop].lower().split()
+def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word ``data[begin:end]``; words of up to eight bytes and one length never share one.
+    ``data`` ends with 16 bytes more, its length is a multiple of 8."""
+    cells = data.view(np.uint64)
+
+    def eight(at: np.ndarray, left: np.ndarray) -> np.ndarray:
+        cell, shift = at >> 3, ((at & 7) << 3).astype(np.uint64)
+        both = (cells[cell] >> shift) | ((cells[cell + 1] << np.uint64(1)) << (np.uint64(63) - shift))
+        return both & FIRST[np.minimum(left, 8)]
+
+    size = end - begin
+    out = mixed(eight(begin, size) ^ (size.astype(np.uint64) * END_HASH))
+    for done in range(8, LONG, 8):
+        more = np.flatnonzero(size > done)
+        if not len(more):
+            return out
+        out[more] = mixed(out[more] * MIX2 ^ eight(begin[more] + done, size[more] - done))
+    import xxhash
+
+    for i in np.flatnonzero(size > LONG).tolist():
+        out[i] ^= np.uint64(xxhash.xxh64_intdigest(data[begin[i]:end[i]].tobytes(), seed=42))
+    return out
+
+
+def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all tokens of the texts, one after the other, each text's words (lower-cased) and its end, and where the ends stand."""
+    offsets = np.concatenate([[0], np.cumsum(pa.compute.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))])
+    text = b"".join(texts.to_pylist()).lower()
+    data = np.frombuffer(text + bytes(16 + -len(text) % 8), np.uint8)
+    hashes, ends, start, document = [], [], 0, 0
+    while document < len(texts):
+        # As many whole texts as make about 2 MB, or a piece of one text cut between words.
+        last = max(int(np.searchsorted(offsets, start + CHUNK, "right")) - 1, document)
+        stop = int(offsets[last])
+        whole = last > document
+        if not whole:
+            stop = start + CHUNK
+            while stop < offsets[document + 1] and LETTER[data[stop]]:
+                stop += 1
+        low = start & ~7
+        part = data[low:(stop + 7 & ~7) + 16]
+        letter = LETTER[part[:stop - low + 1]]
+        letter[:start - low], letter[stop - low] = False, False
+        first = letter.copy()
+        edges = offsets[document:last + 1] - low if whole else np.zeros(0, np.int64)
+        first[edges[(edges > start - low) & (edges < stop - low)]] = False  # the word before ends there
+        inner = np.zeros(len(letter), bool)
+        inner[1:] = letter[:-1] & first[1:]
+        begin = np.flatnonzero(letter & ~inner)
+        end = np.flatnonzero(letter[:-1] & ~inner[1:]) + 1
+        words = word_hashes(part, begin, end)
+        if whole:
+            at = np.searchsorted(begin, edges[1:]) + np.arange(last - document)
+        else:
+            at = np.full(int(stop >= offsets[document + 1]), len(words), np.int64)
+        out = np.full(len(words) + len(at), END_HASH)
+        word = np.ones(len(out), bool)
+        word[at] = False
+        out[word] = words
+        ends.append(at + sum(map(len, hashes)))
+        hashes.append(out)
+        document += len(at)
         start = stop
-    yield text[start:].lower().split()
+    if not hashes:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate(hashes), np.concatenate(ends)
+
+
+def extend(context: np.ndarray, tail: np.ndarray) -> np.ndarray:
+    """The keys of the strings that begin with ``context`` and go on, one word later, as ``tail``; the key of a word is its hash."""
+    return mixed(context * MIX + tail)
+
+
+def strings(hashes: np.ndarray, ends: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The keys of the texts' strings of 1, 2, .. ``depth + 1`` words by their first word, and which of them lie in one text."""
+    inside = np.ones(len(hashes), bool)
+    out = hashes, inside
+    yield out
+    inside = inside.copy()
+    inside[ends] = False
+    for _ in range(depth):
+        key, valid = out
+        out = extend(key[:-1], key[1:]), inside[:len(key) - 1] & valid[1:] if len(key) else valid
+        yield out
+
+
+class Index:
+    """Where values stand in sorted distinct keys."""
+
+    def __init__(self, keys: np.ndarray):
+        bits = min(22, max(1, len(keys).bit_length()))
+        self.keys, self.shift = keys, np.uint64(64 - bits)
+        self.first = np.append(np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << self.shift), len(keys)).astype(np.int32 if len(keys) < 1 << 31 else np.int64)
+
+    def find(self, values: np.ndarray) -> np.ndarray:
+        """The position of each value; -1 if it isn't there."""
+        slot = (values >> self.shift).astype(np.int64)
+        at, stop = self.first[slot], self.first[slot + 1]
+        out = np.full(len(values), -1, np.int64)
+        todo = np.flatnonzero(at < stop)
+        at, stop, wanted = at[todo], stop[todo], values[todo]
+        while len(todo):
+            hit = self.keys[at] == wanted
+            out[todo[hit]] = at[hit]
+            at = at + 1
+            go = ~hit & (at < stop)
+            todo, at, stop, wanted = todo[go], at[go], stop[go], wanted[go]
+        return out
 
 
-def word_counts(texts: DataFrame) -> DataFrame:
-    """``(word, n)`` over all texts; the end of a text is counted as the null word. Tasks add up their
-    own words before the shuffle, ``200,000`` distinct ones at a time."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
-        ends = 0
+def planes(columns: np.ndarray) -> bytes:
+    """The columns, of each the first bytes of all numbers, then the second ones and so on: what is small or in order compresses well."""
+    return columns.view(np.uint8).reshape(len(columns), -1, 8).transpose(0, 2, 1).tobytes()
 
-        def flush() -> pa.RecordBatch:
-            out = pa.record_batch({"word": pa.array([*map(word_key, held), None], pa.binary()),
-                                   "n": pa.array([*held.values(), ends], pa.int64())})
-            held.clear()
-            return out
 
-        for part in byte_rows(batches, limit=CHUNK):
-            for text in part.column("text").to_pylist():
-                ends += 1
-                for words in word_chunks(text):
-                    held.update(words)
-                    if len(held) > 200_000:
-                        yield flush()
-                        ends = 0
-        if ends or held:
-            yield flush()
+def from_planes(data: bytes, width: int) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, 8, -1).transpose(0, 2, 1)).view(np.uint64)[:, :, 0]
+
+
+def packs(columns: list[np.ndarray], by: np.ndarray, parts: int, kind: int) -> Iterator[pa.RecordBatch]:
+    """The numbers, dealt to ``parts`` by their hash ``by``, in packs of 128 KB and record batches of 2 MB at most; the order within a part is kept."""
+    if not len(by):
+        return
+    part = (by % np.uint64(parts)).astype(np.uint16 if parts <= 1 << 16 else np.int64)
+    order = np.argsort(part, kind="stable")
+    both, part = np.stack([c.view(np.uint64)[order] for c in columns]), part[order]
+    del order
+    edges = runs(part)
+    most = max(1, PACK // (8 * len(columns)))
+    edges = np.unique(np.concatenate([edges, *(np.arange(a, b, most) for a, b in zip(edges, [*edges[1:], len(part)], strict=True) if b - a > most)]))
+    sizes = np.diff(edges, append=len(part))
+    start = 0
+    while start < len(edges):
+        stop = max(start + 1, int(np.searchsorted(edges, edges[start] + BATCH // (8 * len(columns)))))
+        yield pa.record_batch({"part": pa.array(part[edges[start:stop]].astype(np.int64)), "kind": pa.array(np.full(stop - start, kind, np.int8)),
+                               "size": pa.array(sizes[start:stop].astype(np.int64)),
+                               "data": pa.array([planes(both[:, a:a + n]) for a, n in zip(edges[start:stop], sizes[start:stop], strict=True)], pa.binary())})
+        start = stop
 
-    return texts.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
+def unpacked(rows: pa.Table | pa.RecordBatch, kind: int, width: int) -> np.ndarray:
+    """The ``width`` columns of the packs of ``kind``."""
+    held = [from_planes(d.as_buffer(), width) for k, d in zip(rows.column("kind").to_pylist(), rows.column("data"), strict=True) if k == kind]
+    return np.concatenate(held, axis=1) if held else np.zeros((width, 0), np.uint64)
 
-class Vocabulary:
-    """Frequent words by number (1..), the end as 0; -1 for every other word."""
 
-    def __init__(self, words: list[bytes]):
-        self.ids = {w: i + 1 for i, w in enumerate(words)}
-        self.size = len(words) + 1
+def as_table(batches: Iterator[pa.RecordBatch]) -> pa.Table:
+    return pa.Table.from_batches(batches, pa.schema([("part", pa.int64()), ("kind", pa.int8()), ("size", pa.int64()), ("data", pa.binary())]))
 
-    def encode(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.ids.get, words, repeat(-1)), np.int64, len(words))
 
+def runs(*columns: np.ndarray) -> np.ndarray:
+    """Where a run of equal values begins in columns that are ordered."""
+    if not len(columns[0]):
+        return np.zeros(0, np.int64)
+    return np.flatnonzero(np.concatenate([[True], reduce(np.logical_or, (c[1:] != c[:-1] for c in columns))]))
 
-class WordHashes(dict):
-    """A 64-bit hash per word, computed when a word is first met."""
 
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
+def added(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The distinct keys in order, and the sums of their values."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = runs(keys)
+    return keys[first], *(np.add.reduceat(v[order], first) if len(first) else v for v in values)
 
-        self[word] = value = xxhash.xxh64_intdigest(word_key(word), seed=42)
-        return value
 
-    def document(self, text: bytes) -> np.ndarray:
-        """The hash of every word of the text, and the end's."""
-        return np.concatenate([*map(self.encode, word_chunks(text)), np.full(1, END_HASH)])
+def word_counts(texts: DataFrame) -> DataFrame:
+    """Packs of ``key, n`` over all texts, in as many parts as a shuffle has; the end of a text is counted as a word."""
+    parts = max(16, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
-    def encode(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > 500_000:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        size = 0
 
+        def flush() -> Iterator[pa.RecordBatch]:
+            keys = np.concatenate(held)
+            held.clear()
+            keys.sort()
+            first = runs(keys)
+            keys, n = keys[first], np.diff(np.append(first, len(keys)))
+            yield from packs([keys, n], keys, parts, WORD)
 
-def extend(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-    """The keys of the strings ``context symbol``; the key of a word is its hash, of the empty context 0."""
-    out = context * MIX + symbol
-    out = (out ^ (out >> np.uint64(29))) * MIX2
-    return np.where(context == 0, symbol, out ^ (out >> np.uint64(32)))
+        for part in byte_rows(batches, limit=CHUNK):
+            held.append(tokens(part.column("text"))[0])
+            size += len(held[-1])
+            if size > HELD:
+                yield from flush()
+                size = 0
+        if size:
+            yield from flush()
 
+    def add(rows: pa.Table) -> pa.Table:
+        key, n = added(*unpacked(rows, WORD, 2))
+        return as_table(packs([key, n], np.zeros(len(key), np.uint64) + np.uint64(rows.column("part")[0].as_py()), parts, WORD))
 
-def strings(hashes: np.ndarray, depth: int) -> list[np.ndarray]:
-    """The keys of the document's strings of 1, 2, .. ``depth + 1`` words, by their first word."""
-    out = [hashes]
-    for k in range(1, min(depth + 1, len(hashes))):
-        out.append(extend(out[-1][:-1], hashes[k:]))
-    return out
+    return texts.mapInArrow(count, ROW).groupBy("part").applyInArrow(add, ROW)
+
+
+class Vocabulary:
+    """Frequent words by number (1..), the end as 0; -1 for every other word."""
 
+    def __init__(self, hashes: np.ndarray):
+        order = np.argsort(hashes)
+        self.index, self.number, self.size = Index(hashes[order]), order, len(hashes)
 
-def position_of(keys: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Where ``values`` stand in the sorted ``keys``; -1 if they don't."""
-    if not len(keys):
-        return np.full(len(values), -1, np.int64)
-    at = np.minimum(np.searchsorted(keys, values), len(keys) - 1)
-    return np.where(keys[at] == values, at, -1)
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        at = self.index.find(hashes)
+        return np.where(at >= 0, self.number[at], -1)
+
+    def encode(self, words: list[bytes]) -> np.ndarray:
+        return self.find(tokens(pa.array([b" ".join(words)], pa.binary()))[0][:-1])
 
 
-def bitmap(keys: DataFrame) -> np.ndarray:
-    """Which values of the last bits the column ``key`` has: 32 to 64 positions a row, ``2^BITMAP`` at most.
-    It reaches the driver in 1,024 blocks."""
-    size = min(BITMAP, max(16, (32 * keys.count()).bit_length()))
-    block = size - 10
+def bitmap(rows: DataFrame, kind: int, width: int) -> np.ndarray:
+    """Which values of the last bits the keys (first column) of the packs have: 32 to 64 positions a key, ``2^BITMAP`` at most.
+    It reaches the driver in 64 blocks."""
+    rows = rows.where(F.col("kind") == kind)
+    bits = min(BITMAP, max(16, (32 * (rows.agg(F.sum("size")).first()[0] or 0)).bit_length()))
+    block = np.uint64(bits - 6)
 
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits: dict[int, np.ndarray] = {}
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column("at").to_numpy()
-            for b in np.unique(at >> block).tolist():
-                bits.setdefault(b, np.zeros(1 << block, bool))[at[at >> block == b] & ((1 << block) - 1)] = True
-                if len(bits) > 64:
-                    yield packed(bits)
-        if bits:
-            yield packed(bits)
-
-    def packed(bits: dict[int, np.ndarray]) -> pa.RecordBatch:
-        out = pa.record_batch({"block": pa.array(list(bits), pa.int64()),
-                               "bits": pa.array([np.packbits(b, bitorder="little").tobytes() for b in bits.values()], pa.binary())})
-        bits.clear()
-        return out
+            at = unpacked(batch, kind, width)[0] & np.uint64((1 << bits) - 1)
+            yield from packs([at], at >> block, 64, kind)
+
+    def mark(rows: pa.Table) -> pa.Table:
+        marked = np.zeros(1 << int(block), bool)
+        marked[(unpacked(rows, kind, 1)[0] & np.uint64((1 << int(block)) - 1)).astype(np.int64)] = True
+        return rows.slice(0, 1).set_column(3, "data", pa.array([np.packbits(marked, bitorder="little").tobytes()], pa.binary()))
 
-    at = F.col("key").bitwiseAND(F.lit((1 << size) - 1)).alias("at")
-    dealt = keys.select(at, F.shiftright(at, block).alias("b")).repartition("b").sortWithinPartitions("b").select("at")
-    out = np.zeros((1 << 10, 1 << (block - 6)), np.uint64)
-    for row in dealt.mapInArrow(mark, "block long, bits binary").collect():
-        out[row["block"]] |= np.frombuffer(row["bits"], np.uint64)
+    out = np.zeros((64, 1 << (bits - 12)), np.uint64)
+    for row in rows.mapInArrow(deal, ROW).groupBy("part").applyInArrow(mark, ROW).select("part", "data").collect():
+        out[row["part"]] = np.frombuffer(row["data"], np.uint64)
     return out.ravel()
 
 
@@ -186,91 +302,121 @@ def may_hold(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
-def string_counts(texts: DataFrame, length: int, floor: int, parts: np.ndarray, name: str) -> tuple[DataFrame, Callable[[], None]]:
-    """``(ctx, sym, n)`` (and what deletes it) of the strings of ``length`` words that occur ``floor`` times; ``parts`` is the bitmap of
-    those one word shorter."""
+def counted(context: np.ndarray, tail: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct strings, about in the order of their contexts, and how often they stand there."""
+    key = extend(context, tail)
+    order = np.argsort((context >> np.uint64(32) << np.uint64(32)) | (key >> np.uint64(32)))
+    context, tail = context[order], tail[order]
+    first = runs(context, tail)
+    n = np.diff(np.append(first, len(tail))) if n is None else np.add.reduceat(n[order], first) if len(first) else n
+    return context[first], tail[first], n
+
+
+def string_counts(texts: DataFrame, length: int, floor: int, bits: np.ndarray, parts: int, name: str) -> tuple[DataFrame, Callable[[], None]]:
+    """Packs of ``context, tail, n`` by tail (and what deletes them) of the strings of ``length`` words that occur ``floor`` times; ``bits``
+    is the bitmap of those one word shorter."""
     spark = texts.sparkSession
-    shared = spark.sparkContext.broadcast(parts.tobytes())
+    shared = spark.sparkContext.broadcast(bits.tobytes())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, known = np.frombuffer(shared.value, np.uint64), WordHashes()
+        bits = np.frombuffer(shared.value, np.uint64)
         held: list[np.ndarray] = []
-        n = 0
+        size = 0
 
-        def flush() -> pa.RecordBatch:
+        def flush() -> Iterator[pa.RecordBatch]:
             both = np.concatenate(held, axis=1)
-            key = extend(both[0], both[1])
-            order = np.argsort(key)
-            key, both = key[order], both[:, order]
-            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            times = np.diff([*first, both.shape[1]])
-            return pa.record_batch({"ctx": pa.array(both[0, first].view(np.int64)), "sym": pa.array(both[1, first].view(np.int64)),
-                                    "n": pa.array(times.astype(np.int64))})
+            held.clear()
+            context, tail, n = counted(*both)
+            del both
+            yield from packs([context, tail, n], extend(context, tail), parts, FOUND)
 
         for part in byte_rows(batches, limit=CHUNK):
-            for text in part.column("text").to_pylist():
-                hashes = known.document(text)
-                if len(hashes) < length:
-                    continue
-                shorter = strings(hashes, length - 2)[-1]
-                hit = may_hold(bits, shorter)
-                at = np.flatnonzero(hit[:-1] & hit[1:])
-                held.append(np.stack([shorter[at], hashes[at + length - 1]]))
-                n += len(at)
-                if n > HELD:
-                    yield flush()
-                    held, n = [], 0
-        if n:
-            yield flush()
-
-    found = staged(texts.mapInArrow(count, "ctx long, sym long, n long").groupBy("ctx", "sym").agg(F.sum("n").alias("n"))
-                   .where(F.col("n") >= floor), name)
+            hashes, ends = tokens(part.column("text"))
+            *_, (shorter, _), (_, valid) = strings(hashes, ends, length - 1)
+            hit = may_hold(bits, shorter)
+            at = np.flatnonzero(valid & hit[:-1] & hit[1:])
+            held.append(np.stack([shorter[at], shorter[at + 1]]))
+            size += len(at)
+            if size > HELD:
+                yield from flush()
+                size = 0
+        if size:
+            yield from flush()
+
+    def add(rows: pa.Table) -> pa.Table:
+        context, tail, n = counted(*unpacked(rows, FOUND, 3))
+        often = n >= np.uint64(floor)
+        return as_table(packs([context[often], tail[often], n[often]], tail[often], parts, FOUND))
+
+    found = staged(texts.mapInArrow(count, ROW).groupBy("part").applyInArrow(add, ROW), name)
     shared.destroy()
     free_shuffles(spark)
     return found
 
 
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds the strings' keys and the keys of their suffixes (``tail``)."""
-    for batch in batches:
-        ctx, sym, suffix = (batch.column(c).to_numpy().view(np.uint64) for c in ("ctx", "sym", "suffix"))
-        yield pa.record_batch({"key": pa.array(extend(ctx, sym).view(np.int64)), "tail": pa.array(extend(suffix, sym).view(np.int64)),
-                               **{c: batch.column(c) for c in ("ctx", "n", "times")}})
-
+def predictions(found: DataFrame, drop_found: Callable[[], None], shorter: DataFrame, mass: float, cutoff: float, length: int, last: bool, whole: int,
+                parts: int) -> tuple[DataFrame, Callable[[], None]]:
+    """From the strings ``found``, packs of LEVEL, ``key, n, c, fix`` of each (but for the last length), and of WEIGHT, ``key, weight, factor, n, length`` of
+    those that predict and of the contexts retained among theirs (and what deletes them).
 
-def predictions(counted: DataFrame, shorter: DataFrame, mass: float, cutoff: float, length: int) -> tuple[DataFrame, Callable[[], None], DataFrame, Callable[[], None]]:
-    """``(key, tail, n, base, fix)`` of the strings ``counted`` and ``(key, weight, factor, n, length)`` of those that predict and of the contexts
-    retained among theirs, each with what deletes it.
-
-    ``shorter`` has the strings one word shorter. ``base`` is the root's log10 of the last word, ``fix`` its
+    ``shorter`` has the strings one word shorter. ``c`` is the count of the last word, which makes the root's log10 of it (``base``), ``fix`` its
     correction after the rest of the string, ``weight`` what a prediction adds to the factors of the contexts before it.
     """
-    contexts = shorter.select(F.col("key").alias("ctx"), F.col("tail").alias("suffix"), F.col("n").alias("times"))
-    keyed = counted.join(contexts, "ctx").select("ctx", "sym", "suffix", "n", "times").mapInArrow(
-        _keyed, "key long, tail long, ctx long, n long, times long")
-    parents = shorter.select(F.col("key").alias("tail"), "base", F.col("fix").alias("less"))
-    rows, drop_rows = staged(keyed.join(parents, "tail"), f"strings-{length}-rows")
-    free_shuffles(counted.sparkSession)
-    parent = F.pow(F.lit(10.0), F.col("base") + F.col("less"))
-    p = (F.col("n") + mass * parent) / (F.col("times") + mass)
-    sums = rows.select("ctx", "times", p.alias("p"), parent.alias("parent")).groupBy("ctx").agg(
-        F.max("times").alias("times"), F.count(F.lit(1)).alias("k"), F.sum(F.col("p") * F.log(F.col("p") / F.col("parent"))).alias("kl"),
-        F.greatest(1 - F.sum("p"), F.lit(1e-12)).alias("rest"), F.greatest(1 - F.sum("parent"), F.lit(1e-12)).alias("left"))
-    divergence = F.col("kl") + F.col("rest") * F.log(F.col("rest") / F.col("left"))
-    kept, drop_kept = staged(sums.where(F.col("times") * divergence >= cutoff * F.col("k"))
-                             .select(F.col("ctx").alias("key"), F.log10(F.col("rest") / F.col("left")).alias("factor"), F.col("times").alias("n")), f"contexts-{length}")
-    own = F.log10(p) - F.col("base")
-    joined = rows.join(kept.select(F.col("key").alias("ctx"), "factor"), "ctx", "left")
-    fixed, drop_fixed = staged(joined.select(
-        "key", "tail", "n", "base", F.when(F.col("factor").isNotNull(), own).otherwise(F.col("less")).alias("fix"),
-        F.when(F.col("factor").isNotNull(), own - F.col("less") - F.col("factor")).alias("weight")), f"strings-{length}")
-    drop_rows()
-    weights, drop_weights = staged(
-        fixed.where("weight is not null").select("key", "weight", F.lit(0.0).alias("factor"), "n", F.lit(length).alias("length"))
-        .union(kept.select("key", F.lit(0.0).alias("weight"), "factor", "n", F.lit(length - 1).alias("length"))), f"weights-{length}")
-    drop_kept()
-    free_shuffles(counted.sparkSession)
-    return fixed, drop_fixed, weights, drop_weights
+    def after_tail(rows: pa.Table) -> pa.Table:
+        key, _, c, fix = by_key(unpacked(rows, LEVEL, 4))
+        context, tail, n = unpacked(rows, FOUND, 3)
+        at = Index(key).find(tail)
+        context, tail, n, at = context[at >= 0], tail[at >= 0], n[at >= 0], at[at >= 0]
+        return as_table(packs([context, tail, n, c[at], fix[at]], context, parts, FOUND))
+
+    def test(rows: pa.Table) -> pa.Table:
+        key, times, _, _ = by_key(unpacked(rows, LEVEL, 4))
+        context, tail, n, c, less = unpacked(rows, FOUND, 5)
+        order = np.lexsort((tail, context))
+        context, tail, n, c, less = context[order], tail[order], n[order], c[order], less[order].view(np.float64)
+        if not len(context):
+            return as_table(iter([]))
+        first = runs(context)
+        k = np.diff(np.append(first, len(context)))
+        every = times[Index(key).find(context[first])].astype(np.float64)
+        base = root_log10(c, whole)
+        parent = 10.0 ** (base + less)
+        p = (n + mass * parent) / (np.repeat(every, k) + mass)
+        rest, left = (np.maximum(1 - np.add.reduceat(x, first), 1e-12) for x in (p, parent))
+        divergence = np.add.reduceat(p * np.log(p / parent), first) + rest * np.log(rest / left)
+        kept, factor = every * divergence >= cutoff * k, np.log10(rest / left)
+        own, retained = np.log10(p) - base, np.repeat(kept, k)
+        string, contexts = extend(context, tail), context[first][kept]
+        weight = (own - less - np.repeat(factor, k))[retained]
+
+        def out() -> Iterator[pa.RecordBatch]:
+            if not last:
+                yield from packs([string, n, c, np.where(retained, own, less)], string, parts, LEVEL)
+            for keys, weights, factors, ns, size in ((string[retained], weight, np.zeros(len(weight)), n[retained], length),
+                                                     (contexts, np.zeros(len(contexts)), factor[kept], every[kept].astype(np.int64), length - 1)):
+                yield from packs([keys, weights, factors, ns, np.full(len(keys), size)], keys, parts, WEIGHT)
+
+        return as_table(out())
+
+    spark, level = found.sparkSession, shorter.where(F.col("kind") == LEVEL)
+    parents, drop_parents = staged(found.union(level).groupBy("part").applyInArrow(after_tail, ROW), f"parents-{length}")
+    drop_found()
+    free_shuffles(spark)
+    out = staged(parents.union(level).groupBy("part").applyInArrow(test, ROW), f"strings-{length}")
+    drop_parents()
+    free_shuffles(spark)
+    return out
+
+
+def by_key(columns: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The columns of LEVEL packs in the order of the first."""
+    columns = columns[:, np.argsort(columns[0])]
+    return columns[0], columns[1], columns[2], columns[3].view(np.float64)
+
+
+def root_log10(n: np.ndarray, whole: int) -> np.ndarray:
+    """The root's prediction of words by their counts."""
+    return np.log10((n.astype(np.float64) + 1) / whole)
 
 
 @dataclass
@@ -280,7 +426,7 @@ class SuffixTree:
     vocabulary: Vocabulary
     root: np.ndarray  # log10 of the root's prediction by word number
     hashes: np.ndarray  # by word number
-    keys: np.ndarray  # frequent strings of any length (sorted)
+    index: Index  # of the frequent strings of any length
     weight: np.ndarray  # what they add as a prediction
     factor: np.ndarray  # and as a context before a token
     pairs: np.ndarray  # keys of the frequent strings of two words that are predictions
@@ -291,130 +437,198 @@ class SuffixTree:
     def corrections(self, ids: np.ndarray) -> float:
         """The sum of the corrections along a document in word numbers (-1: any other word)."""
         hashes = np.where(ids >= 0, self.hashes[ids], np.uint64(1))
-        return self.met(strings(hashes, self.depth))[0]
-
-    def met(self, keys: list[np.ndarray]) -> tuple[float, np.ndarray]:
-        """The corrections of the frequent strings, and the keys that may be among the others."""
-        total, rest = 0.0, [np.zeros(0, np.uint64)]
-        for k in keys:
-            at = position_of(self.keys, k)
-            hit = at[at >= 0]
-            total += float(self.weight[hit].sum() + self.factor[at[:-1][at[:-1] >= 0]].sum())
-            cold = k[at < 0]
-            rest.append(cold[may_hold(self.others, cold)])
-        return total, np.concatenate(rest)
+        total = 0.0
+        for keys, _ in strings(hashes, np.zeros(0, np.int64), self.depth):
+            at = self.index.find(keys)
+            total += float(self.weight[at[at >= 0]].sum() + self.factor[at[:-1][at[:-1] >= 0]].sum())
+        return total
 
 
 @dataclass
 class Model:
-    """What is learned: ``(key, c, w)``, a row per word and weighted string of the corpus, their totals and the tree."""
+    """What is learned: packs of WORD, ``key, c``, and of STRING, ``key, w``, of the corpus, in so many parts, their totals and the tree."""
 
     weights: DataFrame
+    parts: int
     total: int
     distinct: int
     tree: SuffixTree
 
 
+def chosen(rows: DataFrame, kind: int, width: int, choose: Callable[[np.ndarray], list[np.ndarray]], parts: int, to: int) -> DataFrame:
+    """Packs of kind ``to``, by their first column, of what ``choose`` makes of the columns of the packs of ``kind``."""
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = choose(unpacked(batch, kind, width))
+            yield from packs(columns, columns[0], parts, to)
+
+    return rows.where(F.col("kind") == kind).mapInArrow(deal, ROW)
+
+
+def gathered(rows: DataFrame, width: int) -> np.ndarray:
+    """The columns of the packs, on the driver."""
+    held = [from_planes(r["data"], width) for r in rows.select("data").collect()]
+    return np.concatenate([np.zeros((width, 0), np.uint64), *held], axis=1)
+
+
 def learn(texts: DataFrame, least: float = 3e-6, frequent: float = 2e-6, mass: float = 10.0, cutoff: float = 3.0,
           floor: int = 2, depth: int = 3) -> Model:
     """Learn from ``text`` (UTF-8 bytes) of every row. Strings that occur ``floor`` times are candidates. Those above ``least`` (at most
     ``1 / least`` a length) and words above ``frequent`` (at most ``1 / frequent``) are broadcast."""
-    counts, drop_counts = staged(word_counts(texts), "word-counts")
-    sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    total, distinct = int(sums[0]), int(sums[1])
-    rows = (counts.where(F.col("word").isNull() | (F.col("n") >= max(2.0, frequent * total)))
-            .toPandas())  # at most 1 / frequent words
-    ends = int(rows.loc[rows["word"].isna(), "n"].sum())
-    rows = rows[rows["word"].notna()].sort_values(["n", "word"], ascending=[False, True])
-    words, n = [bytes(w) for w in rows["word"]], rows["n"].to_numpy(np.int64)
-    end = F.lit(int(END_HASH.view(np.int64)))
-    # Spark's xxhash64 of bytes is XXH64 with seed 42, as in WordHashes.
-    corpus = counts.select(F.when(F.col("word").isNull(), end).otherwise(F.xxhash64("word")).alias("key"), "n", "word")
-    level = corpus.where(F.col("n") >= floor).select(
-        "key", F.lit(0).cast("long").alias("tail"), "n", F.log10((F.col("n") + 1) / F.lit(float(total + distinct + 1))).alias("base"),
-        F.lit(0.0).alias("fix"))
-    level, drop_level = staged(level, "strings-1")
-    parts, drops = [], []
+    spark = texts.sparkSession
+    words, drop_words = staged(word_counts(texts), "word-counts")
+    free_shuffles(spark)
+    distinct = int(words.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0])
+    total = int(gathered(chosen(words, WORD, 2, lambda c: [c[1].sum(keepdims=True)], 1, WORD), 1).sum())
+    parts = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2, total // PART)
+
+    often = np.uint64(np.ceil(max(2.0, frequent * total)))
+    hashes, n = gathered(chosen(words, WORD, 2, lambda c: [*c[:, (c[1] >= often) | (c[0] == END_HASH)]], 1, WORD), 2)  # at most 1 / frequent words
+    order = np.lexsort((hashes, n.max(initial=0) - n, hashes != END_HASH))
+    hashes, n = hashes[order], n[order]
+    if not len(hashes):
+        hashes, n = np.full(1, END_HASH), np.zeros(1, np.uint64)
+
+    def first_level(c: np.ndarray) -> list[np.ndarray]:
+        key, n = c[:, c[1] >= np.uint64(floor)]
+        return [key, n, n, np.zeros(len(n))]
+
+    level, drop_level = staged(chosen(words, WORD, 2, first_level, parts, LEVEL), "strings-1")
+    tables, drops = [level], [drop_level]
     for length in range(2, depth + 2):
-        counted, drop_counted = string_counts(texts, length, floor, bitmap(level), f"counts-{length}")
-        longer, drop_longer, weights, drop_weights = predictions(counted, level, mass, cutoff, length)
-        # Every table goes when its last reader has written.
-        drop_counted()
-        drop_level()
-        level, drop_level = longer, drop_longer
-        parts.append(weights)
-        drops.append(drop_weights)
-    drop_level()
-    both, drop_both = staged(reduce(DataFrame.union, parts).groupBy("key").agg(
-        F.sum("weight").alias("weight"), F.sum("factor").alias("factor"), F.max("n").alias("n"), F.max("length").alias("length")), "string-weights")
-    for drop in drops:
+        found, drop_found = string_counts(texts, length, floor, bitmap(tables[-1], LEVEL, 4), parts, f"counts-{length}")
+        longer, drop_longer = predictions(found, drop_found, tables[-1], mass, cutoff, length, length == depth + 1, total + distinct + 1, parts)
+        tables.append(longer)
+        drops.append(drop_longer)
+    rare = np.uint64(np.ceil(max(2.0, least * total)))
+    weighted = reduce(DataFrame.union, tables[1:])
+    hot = gathered(chosen(weighted, WEIGHT, 5, lambda c: [*c[:, c[3] >= rare]], 1, WEIGHT), 5)  # at most 1 / least of each length
+    keys, weight, factor = added(hot[0], hot[1].view(np.float64), hot[2].view(np.float64))
+    two = np.isin(keys, hot[0][hot[4] == 2])
+
+    def cold(c: np.ndarray) -> list[np.ndarray]:
+        key, weight, factor, *_ = np.ascontiguousarray(c[:, c[3] < rare])
+        return [key, weight.view(np.float64) + factor.view(np.float64)]
+
+    # Every table goes when its last reader has written.
+    weights, _ = staged(chosen(weighted, WEIGHT, 5, cold, parts, STRING).union(chosen(words, WORD, 2, list, parts, WORD)), "weights")
+    for drop in (*drops, drop_words):
         drop()
-    hot = both.where(F.col("n") >= max(2.0, least * total)).toPandas()  # at most 1 / least of each length
-    hot = hot.assign(key=hot["key"].to_numpy(np.int64).view(np.uint64)).sort_values("key")
-    keys, weight, factor = (hot[c].to_numpy(t) for c, t in (("key", np.uint64), ("weight", np.float64), ("factor", np.float64)))
-    two = hot["length"].to_numpy(np.int64) == 2
-    cold = both.where(F.col("n") < max(2.0, least * total)).select("key", F.lit(None).cast("long").alias("c"), (F.col("weight") + F.col("factor")).alias("w"))
-    known = WordHashes()
-    tree = SuffixTree(Vocabulary(words), np.log10((np.concatenate([[ends], n]) + 1) / (total + distinct + 1)),
-                      np.concatenate([np.full(1, END_HASH), known.encode(words)]), keys, weight, factor,
-                      keys[two & (weight != 0)], keys[two & (factor != 0)], bitmap(cold), depth)
-    table_ = corpus.where("word is not null").select("key", F.col("n").alias("c"), F.lit(0.0).alias("w")).union(cold)
-    weights = stage(table_.groupBy("key").agg(F.max("c").alias("c"), F.sum("w").alias("w")), "weights")
-    drop_both()
-    drop_counts()
-    free_shuffles(texts.sparkSession)
-    return Model(weights, total, distinct, tree)
+    tree = SuffixTree(Vocabulary(hashes), root_log10(n, total + distinct + 1), hashes, Index(keys), weight, factor,
+                      keys[two & (weight != 0)], keys[two & (factor != 0)], bitmap(weights, STRING, 2), depth)
+    free_shuffles(spark)
+    return Model(weights, parts, total, distinct, tree)
+
+
+OWN, ASK_WORD, ASK_STRING, ANSWER = range(5, 9)  # kinds of packs
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
-    """One row per document: ``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``."""
-    shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model.tree))
+    """One row per document: ``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``. The documents are scored in
+    rounds by their text's hash, so that the shuffles hold a part of them at a time."""
+    spark, parts = docs.sparkSession, model.parts
+    shared = spark.sparkContext.broadcast(cloudpickle.dumps(model.tree))
     floor = -float(np.log10(model.total + model.distinct + 1))
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    rows_type = f"{ROW}, ids array<{id_type}>"
+
+    def home(row: np.ndarray) -> np.ndarray:
+        """Where what belongs to a document comes together: with its neighbours."""
+        return mixed(row.astype(np.uint64) >> np.uint64(8))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, known = pickle.loads(shared.value), WordHashes()
-        kinds = {"row": pa.int64(), "key": pa.int64(), "n": pa.int64(), "kind": pa.int8(), "known": pa.int64(), "base": pa.float64(), "fix": pa.float64()}
+        tree: SuffixTree = pickle.loads(shared.value)
+        both = tree.weight + tree.factor
+        asked: dict[int, list[np.ndarray]] = {ASK_WORD: [], ASK_STRING: []}
+        ids_type = None
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for kind, held in asked.items():
+                if held:
+                    keys, rows = np.concatenate(held, axis=1)
+                    held.clear()
+                    for batch in packs([keys, rows], keys, parts, kind):
+                        yield batch.append_column("ids", pa.nulls(batch.num_rows, ids_type))
+
+        size = 0
         for part in byte_rows(batches, limit=CHUNK):
-            own: dict[str, list] = {c: [] for c in kinds}
-            met: list[tuple[int, int, np.ndarray, np.ndarray]] = []
-            for row, text in zip(part.column("row").to_pylist(), part.column("text").to_pylist(), strict=True):
-                hashes, ids = [], []
-                for words in word_chunks(text):
-                    hashes.append(known.encode(words))
-                    ids.append(tree.vocabulary.encode(words))
-                hashes, ids = np.concatenate([*hashes, np.full(1, END_HASH)]), np.concatenate([*ids, np.zeros(1, np.int64)])
-                frequent = ids[ids >= 0]
-                fix, others = tree.met(strings(hashes, tree.depth))
-                # The document's own row is dealt out by its number.
-                values = (row, row * 0x9E3779B97F4A7C15 % (1 << 63), len(ids), 0, len(frequent) if tree.root[END] > floor else len(frequent) - 1,
-                          float(tree.root[frequent].sum()), fix)
-                for c, v in zip(own, values, strict=True):
-                    own[c].append(v)
-                for kind, keys in ((1, hashes[ids < 0]), (2, others)):
-                    met.append((row, kind, *np.unique(keys, return_counts=True)))
-            yield pa.record_batch({**{c: pa.array(v, kinds[c]) for c, v in own.items()}, "doc_id": part.column("doc_id")})
-            sizes = [len(m[2]) for m in met]
-            if sum(sizes):
-                columns = {"row": np.repeat([m[0] for m in met], sizes), "key": np.concatenate([m[2] for m in met]).view(np.int64),
-                           "n": np.concatenate([m[3] for m in met]), "kind": np.repeat([m[1] for m in met], sizes).astype(np.int8)}
-                nulls = {c: pa.nulls(sum(sizes), kinds[c]) for c in ("known", "base", "fix")}
-                yield pa.record_batch({**{c: pa.array(v, kinds[c]) for c, v in columns.items()}, **nulls,
-                                       "doc_id": pa.nulls(sum(sizes), part.column("doc_id").type)})
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), utf8(F.col("text")).alias("text")).mapInArrow(
-        score, f"row long, key long, n long, kind byte, known long, base double, fix double, doc_id {kind}")
-    # Frequent words and strings are met in place, so no key is hot in this join.
-    joined = rows.join(model.weights, "key", "left")
-    own, word = F.col("kind") == 0, F.col("kind") == 1
-    term = F.when(own, F.col("base")).when(word, F.col("n") * (F.log10(F.coalesce(F.col("c"), F.lit(0)) + F.lit(1.0)) + F.lit(floor)))
-    known = F.when(own, F.col("known")).when(word & F.col("c").isNotNull(), F.col("n")).otherwise(0)
-    fix = F.when(own, F.col("fix")).when(~word, F.col("n") * F.coalesce("w", F.lit(0.0)))
-    joined = joined.select("row", "doc_id", fix.alias("fix"), term.alias("term"), known.alias("k"), F.when(own, F.col("n")).alias("tokens"))
-    return (joined.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.sum("tokens").alias("n_tokens"), F.sum("k").alias("n_known"),
-                                      F.sum("term").alias("base_score"), F.sum("fix").alias("fix"))
-            .select("doc_id", "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), "base_score",
-                    (F.col("base_score") + F.col("fix")).alias("score")))
+            rows, ids_type = part.column("row").to_numpy(), pa.list_(part.column("doc_id").type)
+            hashes, ends = tokens(part.column("text"))
+            n = np.diff(ends, prepend=-1)
+            document = np.repeat(np.arange(len(ends)), n)
+            ids = tree.vocabulary.find(hashes)
+            frequent = ids >= 0
+            base = np.bincount(document[frequent], tree.root[ids[frequent]], len(ends))
+            known = np.bincount(document[frequent], minlength=len(ends)) - int(tree.root[END] <= floor)
+            fix = np.zeros(len(ends))
+            asked[ASK_WORD].append(np.stack([hashes[~frequent], rows[document[~frequent]].view(np.uint64)]))
+            cold = []
+            for k, (keys, valid) in enumerate(strings(hashes, ends, tree.depth)):
+                at = np.flatnonzero(valid & frequent if k == 0 else valid)  # the other words are asked for already
+                keys = keys[at]
+                met = tree.index.find(keys)
+                hit = met >= 0
+                fix += np.bincount(document[at[hit]], both[met[hit]], len(ends))
+                at, keys = at[~hit], keys[~hit]
+                held = may_hold(tree.others, keys)
+                cold.append(np.stack([keys[held], document[at[held]].view(np.uint64)]))
+            keys, owner = np.concatenate(cold, axis=1)
+            order = np.argsort(owner.astype(np.uint16) if len(ends) <= 1 << 16 else owner, kind="stable")
+            asked[ASK_STRING].append(np.stack([keys[order], rows[owner[order].astype(np.int64)].view(np.uint64)]))
+            size += len(keys) + asked[ASK_WORD][-1].shape[1]
+            place = home(rows)
+            edges = [*runs(place).tolist(), len(rows)]
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                own = next(packs([rows[a:b], n[a:b], known[a:b], base[a:b], fix[a:b]], place[a:b], parts, OWN))
+                yield own.append_column("ids", pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), part.column("doc_id").slice(a, b - a)))
+            if size > HELD:
+                yield from flush()
+                size = 0
+        yield from flush()
+
+    def look_up(rows: pa.Table) -> pa.Table:
+        """What was asked of a part, summed up by document: the corrections, the words' terms and how many are known."""
+        key, c = unpacked(rows, WORD, 2)
+        order = np.argsort(key)
+        words, c = Index(key[order]), np.append(c[order], np.zeros(1, np.uint64)).astype(np.float64)
+        key, w = unpacked(rows, STRING, 2)
+        key, w = added(key, w.view(np.float64))
+        weighted, w = Index(key), np.append(w, 0.0)
+        key, row = unpacked(rows, ASK_WORD, 2)
+        strings_, row_ = unpacked(rows, ASK_STRING, 2)
+        n, none = c[words.find(key)], np.zeros(len(strings_))
+        row, fix, base, known = added(np.concatenate([row, row_]), w[weighted.find(np.concatenate([key, strings_]))],
+                                      np.concatenate([np.log10(n + 1) + floor, none]), np.concatenate([n > 0, none]))
+        return as_table(packs([row, fix, base, known], home(row), parts, ANSWER))
+
+    def add_up(rows: pa.Table) -> pa.Table:
+        row, size, known, base, fix = unpacked(rows, OWN, 5)
+        order = np.argsort(row)
+        owner, *sums = unpacked(rows, ANSWER, 4)
+        at = order[Index(row[order]).find(owner)]
+        sums = [np.bincount(at, x.view(np.float64), len(row)) for x in sums]
+        ids = rows.filter(pa.array(rows.column("kind").to_numpy() == OWN)).column("ids").combine_chunks().flatten()
+        base = base.view(np.float64) + sums[1]
+        return pa.table({"doc_id": ids, "n_tokens": pa.array(size.view(np.int64)), "n_known": pa.array(known.view(np.int64) + sums[2].astype(np.int64)),
+                         "base_score": pa.array(base), "score": pa.array(base + fix.view(np.float64) + sums[0])})
+
+    def scored(turn: int) -> DataFrame:
+        mine = docs.select("doc_id", utf8(F.col("text")).alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == turn)
+        both, drop_both = staged(mine.withColumn("row", F.monotonically_increasing_id()).mapInArrow(score, rows_type), f"asked-{turn}")
+        own, asked = both.where(F.col("kind") == OWN), both.where(F.col("kind") != OWN).drop("ids")
+        answers = asked.union(model.weights).groupBy("part").applyInArrow(look_up, ROW).withColumn("ids", F.lit(None).cast(f"array<{id_type}>"))
+        out, _ = staged(own.union(answers).groupBy("part").applyInArrow(
+            add_up, f"doc_id {id_type}, n_tokens long, n_known long, base_score double, score double"), f"scores-{turn}")
+        drop_both()
+        return out
+
+    rounds = []
+    for turn in range(ROUNDS):
+        rounds.append(scored(turn))
+        free_shuffles(spark)
+    shared.destroy()
+    return reduce(DataFrame.union, rounds).select("doc_id", "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"),
+                                                  "base_score", "score")
 
 
 def op3_suffix_tree(spark, sf_dir: str) -> DataFrame:
