@@ -31,6 +31,7 @@ row every probability is one. Other columns are not read.
 from __future__ import annotations
 
 import pickle
+import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -56,6 +57,13 @@ LETTER[[9, 10, 11, 12, 13, 32]] = False
 FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)  # masks of the first 0 to 8 bytes
 
 
+def free_all_shuffles(spark) -> None:
+    """Objects that a first collection releases in the JVM are met by a second one only, a moment later."""
+    for _ in range(2):
+        free_shuffles(spark)
+        time.sleep(0.3)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * MIX
     x = (x ^ (x >> np.uint64(29))) * MIX2
@@ -350,7 +358,7 @@ def string_counts(texts: DataFrame, length: int, floor: int, bits: np.ndarray, p
 
     found = staged(texts.mapInArrow(count, ROW).groupBy("part").applyInArrow(add, ROW), name)
     shared.destroy()
-    free_shuffles(spark)
+    free_all_shuffles(spark)
     return found
 
 
@@ -401,10 +409,10 @@ def predictions(found: DataFrame, drop_found: Callable[[], None], shorter: DataF
     spark, level = found.sparkSession, shorter.where(F.col("kind") == LEVEL)
     parents, drop_parents = staged(found.union(level).groupBy("part").applyInArrow(after_tail, ROW), f"parents-{length}")
     drop_found()
-    free_shuffles(spark)
+    free_all_shuffles(spark)
     out = staged(parents.union(level).groupBy("part").applyInArrow(test, ROW), f"strings-{length}")
     drop_parents()
-    free_shuffles(spark)
+    free_all_shuffles(spark)
     return out
 
 
@@ -477,7 +485,7 @@ def learn(texts: DataFrame, least: float = 3e-6, frequent: float = 2e-6, mass: f
     ``1 / least`` a length) and words above ``frequent`` (at most ``1 / frequent``) are broadcast."""
     spark = texts.sparkSession
     words, drop_words = staged(word_counts(texts), "word-counts")
-    free_shuffles(spark)
+    free_all_shuffles(spark)
     distinct = int(words.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0])
     total = int(gathered(chosen(words, WORD, 2, lambda c: [c[1].sum(keepdims=True)], 1, WORD), 1).sum())
     parts = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2, total // PART)
@@ -516,7 +524,7 @@ def learn(texts: DataFrame, least: float = 3e-6, frequent: float = 2e-6, mass: f
         drop()
     tree = SuffixTree(Vocabulary(hashes), root_log10(n, total + distinct + 1), hashes, Index(keys), weight, factor,
                       keys[two & (weight != 0)], keys[two & (factor != 0)], bitmap(weights, STRING, 2), depth)
-    free_shuffles(spark)
+    free_all_shuffles(spark)
     return Model(weights, parts, total, distinct, tree)
 
 
@@ -625,7 +633,7 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     rounds = []
     for turn in range(ROUNDS):
         rounds.append(scored(turn))
-        free_shuffles(spark)
+        free_all_shuffles(spark)
     shared.destroy()
     return reduce(DataFrame.union, rounds).select("doc_id", "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"),
                                                   "base_score", "score")
