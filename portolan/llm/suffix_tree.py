@@ -52,8 +52,6 @@ LONG = 64  # bytes of a word that are hashed eight at a time
 ROW = "part long, kind byte, size long, data binary"
 LEVEL, FOUND, WEIGHT, WORD, STRING = range(5)  # kinds of packs
 
-LETTER = np.ones(256, bool)
-LETTER[[9, 10, 11, 12, 13, 32]] = False
 FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)  # masks of the first 0 to 8 bytes
 
 
@@ -70,6 +68,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def letters(data: np.ndarray) -> np.ndarray:
+    """Which bytes belong to a word: all but 9 to 13 and 32."""
+    return (data - np.uint8(9) > 4) & (data != 32)
+
+
 def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each word ``data[begin:end]``; words of up to eight bytes and one length never share one.
     ``data`` ends with 16 bytes more, its length is a multiple of 8."""
@@ -96,8 +99,9 @@ def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndar
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of all tokens of the texts, one after the other, each text's words (lower-cased) and its end, and where the ends stand."""
-    offsets = np.concatenate([[0], np.cumsum(pa.compute.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))])
-    text = b"".join(texts.to_pylist()).lower()
+    # Every text is followed by a space.
+    offsets = np.concatenate([[0], np.cumsum(pa.compute.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64) + 1)])
+    text = b" ".join([*texts.to_pylist(), b""]).lower()
     data = np.frombuffer(text + bytes(16 + -len(text) % 8), np.uint8)
     hashes, ends, start, document = [], [], 0, 0
     while document < len(texts):
@@ -107,22 +111,17 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         whole = last > document
         if not whole:
             stop = start + CHUNK
-            while stop < offsets[document + 1] and LETTER[data[stop]]:
+            while stop < offsets[document + 1] and letters(data[stop:stop + 1])[0]:
                 stop += 1
         low = start & ~7
         part = data[low:(stop + 7 & ~7) + 16]
-        letter = LETTER[part[:stop - low + 1]]
-        letter[:start - low], letter[stop - low] = False, False
-        first = letter.copy()
-        edges = offsets[document:last + 1] - low if whole else np.zeros(0, np.int64)
-        first[edges[(edges > start - low) & (edges < stop - low)]] = False  # the word before ends there
-        inner = np.zeros(len(letter), bool)
-        inner[1:] = letter[:-1] & first[1:]
-        begin = np.flatnonzero(letter & ~inner)
-        end = np.flatnonzero(letter[:-1] & ~inner[1:]) + 1
+        letter = np.zeros(stop - low + 2, bool)  # from the byte before on
+        letter[start - low + 1:-1] = letters(data[start:stop])
+        turns = np.flatnonzero(letter[1:] != letter[:-1])
+        begin, end = turns[::2], turns[1::2]
         words = word_hashes(part, begin, end)
         if whole:
-            at = np.searchsorted(begin, edges[1:]) + np.arange(last - document)
+            at = np.searchsorted(begin, offsets[document + 1:last + 1] - low) + np.arange(last - document)
         else:
             at = np.full(int(stop >= offsets[document + 1]), len(words), np.int64)
         out = np.full(len(words) + len(at), END_HASH)
@@ -156,13 +155,37 @@ def strings(hashes: np.ndarray, ends: np.ndarray, depth: int) -> Iterator[tuple[
         yield out
 
 
+def in_order(x: np.ndarray, exact: bool = True) -> np.ndarray:
+    """The positions of the numbers in their order, equal ones as they stand. Sorted are the numbers' first bits, with the positions below them;
+    unless ``exact``, numbers that differ in later bits only (more than a position has) may stand mixed."""
+    bits = max(1, len(x).bit_length())
+    up, low = np.uint64(64 - int(x.max(initial=0)).bit_length()), np.uint64((1 << bits) - 1)
+    both = x << up if up < 64 else x.copy()
+    both &= ~low
+    both |= np.arange(len(x), dtype=np.uint64)
+    both.sort()
+    order = (both & low).astype(np.int64)
+    if exact and up < bits:  # where first bits are equal, numbers may stand in another order
+        sorted_ = x[order]
+        wrong = np.flatnonzero(sorted_[1:] < sorted_[:-1])
+        if len(wrong):
+            both &= ~low
+            run = np.cumsum(np.concatenate([[False], both[1:] != both[:-1]]))
+            mixed_runs = np.zeros(run[-1] + 1, bool)
+            mixed_runs[run[wrong]] = True
+            few = np.flatnonzero(mixed_runs[run])
+            order[few] = order[few][np.lexsort((order[few], sorted_[few]))]
+    return order
+
+
 class Index:
-    """Where values stand in sorted distinct keys."""
+    """Where values stand in sorted distinct keys, which are hashes: with eight slots a key by their first bits, a slot seldom has two."""
 
     def __init__(self, keys: np.ndarray):
-        bits = min(22, max(1, len(keys).bit_length()))
+        bits = min(22, len(keys).bit_length() + 3)
         self.keys, self.shift = keys, np.uint64(64 - bits)
-        self.first = np.append(np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << self.shift), len(keys)).astype(np.int32 if len(keys) < 1 << 31 else np.int64)
+        slots = np.bincount((keys >> self.shift).astype(np.int64), minlength=1 << bits)
+        self.first = np.concatenate([[0], np.cumsum(slots)]).astype(np.int32 if len(keys) < 1 << 31 else np.int64)
 
     def find(self, values: np.ndarray) -> np.ndarray:
         """The position of each value; -1 if it isn't there."""
@@ -182,21 +205,25 @@ class Index:
 
 def planes(columns: np.ndarray) -> bytes:
     """The columns, of each the first bytes of all numbers, then the second ones and so on: what is small or in order compresses well."""
-    return columns.view(np.uint8).reshape(len(columns), -1, 8).transpose(0, 2, 1).tobytes()
+    return np.ascontiguousarray(columns.view(np.uint8).reshape(len(columns), -1, 8).transpose(0, 2, 1)).tobytes()
 
 
 def from_planes(data: bytes, width: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, 8, -1).transpose(0, 2, 1)).view(np.uint64)[:, :, 0]
 
 
-def packs(columns: list[np.ndarray], by: np.ndarray, parts: int, kind: int) -> Iterator[pa.RecordBatch]:
-    """The numbers, dealt to ``parts`` by their hash ``by``, in packs of 128 KB and record batches of 2 MB at most; the order within a part is kept."""
+def packs(columns: list[np.ndarray], by: np.ndarray, parts: int, kind: int, dealt: bool = False) -> Iterator[pa.RecordBatch]:
+    """The numbers, dealt to ``parts`` by their hash ``by``, in packs of 128 KB and record batches of 2 MB at most; the order within a part is kept.
+    ``dealt``: they are in the order of their parts already."""
     if not len(by):
         return
     part = (by % np.uint64(parts)).astype(np.uint16 if parts <= 1 << 16 else np.int64)
-    order = np.argsort(part, kind="stable")
-    both, part = np.stack([c.view(np.uint64)[order] for c in columns]), part[order]
-    del order
+    if dealt or parts == 1:
+        both = np.stack([c.view(np.uint64) for c in columns])
+    else:
+        order = np.argsort(part, kind="stable") if parts <= 1 << 16 else in_order(part.view(np.uint64))
+        both, part = np.stack([c.view(np.uint64)[order] for c in columns]), part[order]
+        del order
     edges = runs(part)
     most = max(1, PACK // (8 * len(columns)))
     edges = np.unique(np.concatenate([edges, *(np.arange(a, b, most) for a, b in zip(edges, [*edges[1:], len(part)], strict=True) if b - a > most)]))
@@ -229,12 +256,17 @@ def runs(*columns: np.ndarray) -> np.ndarray:
 
 def added(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     """The distinct keys in order, and the sums of their values."""
-    order = np.argsort(keys, kind="stable")
+    order = in_order(keys)
     keys = keys[order]
     first = runs(keys)
     return keys[first], *(np.add.reduceat(v[order], first) if len(first) else v for v in values)
 
 
+def places(rows: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Where values stand in ordered numbers that hold them and are no hashes: an :class:`Index` would keep all of them in one slot."""
+    return np.searchsorted(rows, values)
+
+
 def word_counts(texts: DataFrame) -> DataFrame:
     """Packs of ``key, n`` over all texts, in as many parts as a shuffle has; the end of a text is counted as a word."""
     parts = max(16, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -310,14 +342,23 @@ def may_hold(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
-def counted(context: np.ndarray, tail: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct strings, about in the order of their contexts, and how often they stand there."""
+def counted(context: np.ndarray, tail: np.ndarray, n: np.ndarray | None = None, parts: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct strings, in the order of the parts of their keys and about in that of their contexts, and how often they stand there.
+    Without ``n`` a string may come more than once."""
     key = extend(context, tail)
-    order = np.argsort((context >> np.uint64(32) << np.uint64(32)) | (key >> np.uint64(32)))
-    context, tail = context[order], tail[order]
-    first = runs(context, tail)
+    left = 64 - (parts - 1).bit_length()
+    half, mark = np.uint64(64 - left // 2), (context >> np.uint64(32) << np.uint64(32)) | (key >> np.uint64(32))
+    if parts > 1:
+        mark = key % np.uint64(parts) << np.uint64(left) | context >> half << np.uint64(left - left // 2) | key >> np.uint64(64 - left + left // 2)
+    order = in_order(mark, exact=n is not None)
+    strings_ = context[order], tail[order]
+    first = runs(*strings_)
+    if n is not None and len(first) > len(runs(mark[order])):  # two strings have one mark
+        order = np.lexsort((tail, context, mark))
+        strings_ = context[order], tail[order]
+        first = runs(*strings_)
     n = np.diff(np.append(first, len(tail))) if n is None else np.add.reduceat(n[order], first) if len(first) else n
-    return context[first], tail[first], n
+    return strings_[0][first], strings_[1][first], n
 
 
 def string_counts(texts: DataFrame, length: int, floor: int, bits: np.ndarray, parts: int, name: str) -> tuple[DataFrame, Callable[[], None]]:
@@ -334,9 +375,9 @@ def string_counts(texts: DataFrame, length: int, floor: int, bits: np.ndarray, p
         def flush() -> Iterator[pa.RecordBatch]:
             both = np.concatenate(held, axis=1)
             held.clear()
-            context, tail, n = counted(*both)
+            context, tail, n = counted(*both, parts=parts)
             del both
-            yield from packs([context, tail, n], extend(context, tail), parts, FOUND)
+            yield from packs([context, tail, n], extend(context, tail), parts, FOUND, dealt=True)
 
         for part in byte_rows(batches, limit=CHUNK):
             hashes, ends = tokens(part.column("text"))
@@ -380,7 +421,8 @@ def predictions(found: DataFrame, drop_found: Callable[[], None], shorter: DataF
     def test(rows: pa.Table) -> pa.Table:
         key, times, _, _ = by_key(unpacked(rows, LEVEL, 4))
         context, tail, n, c, less = unpacked(rows, FOUND, 5)
-        order = np.lexsort((tail, context))
+        order = in_order(tail)
+        order = order[in_order(context[order])]
         context, tail, n, c, less = context[order], tail[order], n[order], c[order], less[order].view(np.float64)
         if not len(context):
             return as_table(iter([]))
@@ -418,7 +460,7 @@ def predictions(found: DataFrame, drop_found: Callable[[], None], shorter: DataF
 
 def by_key(columns: np.ndarray) -> tuple[np.ndarray, ...]:
     """The columns of LEVEL packs in the order of the first."""
-    columns = columns[:, np.argsort(columns[0])]
+    columns = columns[:, in_order(columns[0])]
     return columns[0], columns[1], columns[2], columns[3].view(np.float64)
 
 
@@ -528,7 +570,7 @@ def learn(texts: DataFrame, least: float = 3e-6, frequent: float = 2e-6, mass: f
     return Model(weights, parts, total, distinct, tree)
 
 
-OWN, ASK_WORD, ASK_STRING, ANSWER = range(5, 9)  # kinds of packs
+OWN, ASK_WORD, ASK_STRING, ANSWER_WORD, ANSWER_STRING = range(5, 10)  # kinds of packs
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
@@ -597,24 +639,32 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     def look_up(rows: pa.Table) -> pa.Table:
         """What was asked of a part, summed up by document: the corrections, the words' terms and how many are known."""
         key, c = unpacked(rows, WORD, 2)
-        order = np.argsort(key)
+        order = in_order(key)
         words, c = Index(key[order]), np.append(c[order], np.zeros(1, np.uint64)).astype(np.float64)
         key, w = unpacked(rows, STRING, 2)
         key, w = added(key, w.view(np.float64))
         weighted, w = Index(key), np.append(w, 0.0)
-        key, row = unpacked(rows, ASK_WORD, 2)
-        strings_, row_ = unpacked(rows, ASK_STRING, 2)
-        n, none = c[words.find(key)], np.zeros(len(strings_))
-        row, fix, base, known = added(np.concatenate([row, row_]), w[weighted.find(np.concatenate([key, strings_]))],
-                                      np.concatenate([np.log10(n + 1) + floor, none]), np.concatenate([n > 0, none]))
-        return as_table(packs([row, fix, base, known], home(row), parts, ANSWER))
+        def out() -> Iterator[pa.RecordBatch]:
+            key, row = unpacked(rows, ASK_WORD, 2)
+            n = c[words.find(key)]
+            row, *sums = added(row, w[weighted.find(key)], np.log10(n + 1) + floor, (n > 0).astype(np.float64))
+            yield from packs([row, *sums], home(row), parts, ANSWER_WORD)
+            key, row = unpacked(rows, ASK_STRING, 2)
+            row, fix = added(row, w[weighted.find(key)])
+            row, fix = row[fix != 0], fix[fix != 0]  # the bitmap's false hits have no weight
+            yield from packs([row, fix], home(row), parts, ANSWER_STRING)
+
+        return as_table(out())
 
     def add_up(rows: pa.Table) -> pa.Table:
         row, size, known, base, fix = unpacked(rows, OWN, 5)
-        order = np.argsort(row)
-        owner, *sums = unpacked(rows, ANSWER, 4)
-        at = order[Index(row[order]).find(owner)]
-        sums = [np.bincount(at, x.view(np.float64), len(row)) for x in sums]
+        order = in_order(row)
+        sums = np.zeros((3, len(row)))
+        for kind, width in ((ANSWER_WORD, 4), (ANSWER_STRING, 2)):
+            owner, *answers = unpacked(rows, kind, width)
+            at = order[places(row[order], owner)]
+            for k, x in enumerate(answers):
+                sums[k] += np.bincount(at, x.view(np.float64), len(row))
         ids = rows.filter(pa.array(rows.column("kind").to_numpy() == OWN)).column("ids").combine_chunks().flatten()
         base = base.view(np.float64) + sums[1]
         return pa.table({"doc_id": ids, "n_tokens": pa.array(size.view(np.int64)), "n_known": pa.array(known.view(np.int64) + sums[2].astype(np.int64)),
